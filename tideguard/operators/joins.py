@@ -30,22 +30,24 @@ def lookup_even(facts: DataFrame, lookup: DataFrame, key: str, rows: str,
     ``lookup[rows]`` says how many fact rows a key has. There are at most
     |facts| / hot_rows hot keys; that list is small enough to broadcast. Fact
     rows with a hot key take their values from it and are then spread over
-    the shuffle by ``spread`` instead of piling up under the one key.
+    the shuffle by ``spread`` instead of piling up under the one key; so are
+    rows whose key is NULL. ``how``: "inner" or "left".
     """
     values = [c for c in lookup.columns if c != key]
     hot = lookup.filter(F.col(rows) > hot_rows).select(
         F.col(key).alias("__hot_key"), F.struct(*values).alias("__hot"))
     marked = facts.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left")
-    is_hot = F.col("__hot_key").isNotNull()
-    # Hot rows get a key that matches nothing and differs from row to row.
+    settled = F.col("__hot_key").isNotNull() | F.col(key).isNull()
+    # Settled rows match nothing further: a NULL key, and a spread that differs.
     marked = marked.withColumns({
-        "__join_key": F.when(~is_hot, F.col(key)),
-        "__spread": F.when(is_hot, F.xxhash64(F.col(spread))).otherwise(F.lit(0).cast("bigint"))})
+        "__join_key": F.when(~settled, F.col(key)),
+        "__spread": F.when(settled, F.xxhash64(F.col(spread)))
+        .otherwise(F.lit(0).cast("bigint"))})
     cold = lookup.filter(F.col(rows) <= hot_rows).select(
         F.col(key).alias("__cold_key"), F.struct(*values).alias("__cold"))
     joined = marked.join(
         cold.withColumn("__zero", F.lit(0).cast("bigint")),
-        F.expr("__join_key <=> __cold_key AND __spread = __zero"), "left")
+        F.expr("__join_key = __cold_key AND __spread = __zero"), "left")
     found = F.coalesce("__hot", "__cold")
     if how == "inner":
         joined = joined.filter(found.isNotNull())
