@@ -36,13 +36,14 @@ def score_stream(comments: DataFrame, scorer: Callable[[DataFrame], DataFrame],
     failure leaves no copies.
     """
     def handle(batch: DataFrame, number: int) -> None:
-        checked = validate_comments(batch.select(key, "comment_text"), config=config)
+        checked = validate_comments(batch.select(key, "comment_text"), config=config).persist()
         (checked.filter("NOT accepted").select(key, "reason")
          .write.mode("overwrite").parquet(f"{out}/rejected/batch={number}"))
         accepted = checked.filter("accepted").select(key, "comment_text")
         scored = accepted.join(scorer(accepted), key)
         (score_response(apply_thresholds(scored, config), config, key)
          .write.mode("overwrite").parquet(f"{out}/accepted/batch={number}"))
+        checked.unpersist()
 
     writer = (comments.writeStream.foreachBatch(handle)
               .option("checkpointLocation", checkpoint))
