@@ -28,18 +28,24 @@ what's when's where's who's why's would
 # What whitespace means to a regular expression, for trims.
 BLANKS = " \t\n\u000b\f\r"
 
-# One run of anything that cleaning turns into a space: links, and characters
-# other than a-z. A link always ends at whitespace, so dropping it and blanking
-# it give the same words. Possessive, so the matcher neither backtracks nor recurses.
-NOISE = r"(?:http\S++|[^a-z]++)++"
+LINK = r"http\S+"
+# What is no letter, blanks included: a run of it becomes one space.
+NOT_LETTERS = r"[^a-z]+"
 
 
 def clean_text(text: Column) -> Column:
     """Lower-case, drop links, keep letters only, single spaces, no outer spaces.
 
-    A single pass of one pattern; NULL stays NULL.
+    NULL stays NULL.
     """
-    return F.trim(F.regexp_replace(F.lower(text), NOISE, " "))
+    return F.trim(F.regexp_replace(
+        F.regexp_replace(F.lower(text), LINK, ""), NOT_LETTERS, " "))
+
+
+def has_letters(text: Column) -> Column:
+    """Is there anything left after cleaning? Stops at the first letter outside
+    a link, so it is far cheaper than cleaning and comparing with ''."""
+    return F.lower(text).rlike(r"^(?:http\S++|[^a-z])*+[a-z]")
 
 
 def strip_blanks(text: Column) -> Column:

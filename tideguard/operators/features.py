@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideguard.config import MIN_DOC_FREQ, NUM_FEATURES
+from tideguard.functions.rows import one_row_each
 from tideguard.operators.joins import HOT_KEY_ROWS, lookup_even
 
 
@@ -27,34 +28,41 @@ def term_counts(df: DataFrame, tokens: str = "tokens", key: str = "id",
     ``keep_empty`` gives a row without tokens one NULL term, so that it is
     still scored further on.
     """
-    unnest = F.explode_outer if keep_empty else F.explode
-    return (df.select(key, unnest(tokens).alias("term"))
-            .groupBy(key, "term").agg(F.count("*").alias("tf")))
+    rows = (df.select(key, F.explode_outer(tokens).alias("term")) if keep_empty
+            else one_row_each(df, "term", F.col(tokens), key))
+    return rows.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def document_frequency(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """(term, df) straight from the distinct words of each row."""
-    return (df.select(F.explode(F.array_distinct(F.col(tokens))).alias("term"))
+    return (one_row_each(df, "term", F.array_distinct(F.col(tokens)))
             .groupBy("term").agg(F.count("*").alias("df")))
 
 
+def frequency_of_counts(counts: DataFrame) -> DataFrame:
+    """(term, df) from term counts. It reads ``tf``, so that both uses of the
+    counts ask for the same columns and Spark shuffles them only once."""
+    return (counts.filter(F.col("term").isNotNull())
+            .groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df")))
+
+
 def idf(n_rows: Column, df: Column, min_doc_freq: int = MIN_DOC_FREQ) -> Column:
     """ln((N + 1) / (df + 1)); terms in fewer than ``min_doc_freq`` rows weigh 0."""
     return F.when(df >= min_doc_freq, F.log((n_rows + 1) / (df + 1))).otherwise(0.0)
 
 
-def idf_table(df: DataFrame, tokens: str = "tokens",
-              min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
+def idf_table(df: DataFrame, tokens: str = "tokens", min_doc_freq: int = MIN_DOC_FREQ,
+              frequencies: DataFrame | None = None) -> DataFrame:
     n_rows = df.agg(F.count("*").alias("n")).scalar()
-    return document_frequency(df, tokens).withColumn(
-        "idf", idf(n_rows, F.col("df"), min_doc_freq))
+    found = frequencies if frequencies is not None else document_frequency(df, tokens)
+    return found.withColumn("idf", idf(n_rows, F.col("df"), min_doc_freq))
 
 
 def tfidf(df: DataFrame, tokens: str = "tokens", key: str = "id",
           min_doc_freq: int = MIN_DOC_FREQ, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """(key, term, tf, idf, tfidf) over the exact vocabulary."""
-    weights = idf_table(df, tokens, min_doc_freq)
-    joined = lookup_even(term_counts(df, tokens, key), weights, "term", "df", key,
-                         hot_rows=hot_rows)
+    counts = term_counts(df, tokens, key)
+    weights = idf_table(df, tokens, min_doc_freq, frequency_of_counts(counts))
+    joined = lookup_even(counts, weights, "term", "df", key, hot_rows=hot_rows)
     return joined.select(key, "term", "tf", "idf",
                          (F.col("tf") * F.col("idf")).alias("tfidf"))

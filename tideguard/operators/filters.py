@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tideguard.config import (
     DEFAULT_LEXICON, DEFAULTS, LABELS, LEXICON_LABELS, LEXICON_MARK, ModerationConfig,
 )
-from tideguard.functions.text import clean_text, raw_words, strip_blanks
+from tideguard.functions.rows import one_row_each
+from tideguard.functions.text import clean_text, has_letters, raw_words, strip_blanks
 
 
 def drop_null_text(df: DataFrame, column: str = "comment_text") -> DataFrame:
@@ -19,7 +20,7 @@ def drop_null_text(df: DataFrame, column: str = "comment_text") -> DataFrame:
 
 def drop_empty_clean(df: DataFrame, column: str = "comment_text") -> DataFrame:
     """Cleans the text and keeps the rows in which something is left."""
-    return df.withColumn(column, clean_text(F.col(column))).filter(F.length(column) > 0)
+    return df.filter(has_letters(F.col(column))).withColumn(column, clean_text(F.col(column)))
 
 
 def rejection_reason(text: Column, config: ModerationConfig = DEFAULTS) -> Column:
@@ -59,7 +60,7 @@ def lexicon_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str,
     Spark broadcasts the lexicon when it is small and otherwise shuffles both
     sides, splitting words that very many rows contain (AQE skew join).
     """
-    pairs = df.select(F.col(key), F.explode(raw_words(F.col(text))).alias(word))
+    pairs = one_row_each(df, word, raw_words(F.col(text)), key)
     return pairs.join(lexicon.select(word).distinct(), word, "left_semi").select(key).distinct()
 
 

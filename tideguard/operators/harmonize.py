@@ -9,18 +9,19 @@ from tideguard.config import LABELS
 from tideguard.functions.labels import (
     CLASS_CODE_LABELS, VOTE_LABELS, labels_from_class, labels_from_grades, majority_of,
 )
-from tideguard.functions.text import clean_text
+from tideguard.functions.text import clean_text, has_letters
 from tideguard.sources.readers import HARMONISED_SCHEMA
 
 
 def _finish(df: DataFrame, source: str, drop_empty: bool) -> DataFrame:
-    """Clean, drop NULL (and on request empty) text, tag, put in schema order."""
-    tagged = df.withColumns({"comment_text": clean_text(F.col("comment_text")),
-                             "source": F.lit(source)})
-    kept = tagged.filter(F.col("comment_text").isNotNull())
-    if drop_empty:
-        kept = kept.filter(F.col("comment_text") != "")
-    return conform(kept)
+    """Drop NULL (and on request empty) text, clean, tag, put in schema order.
+
+    The conditions look at the raw text: put on the cleaned text, the optimizer
+    would push them below the cleaning and clean every row twice.
+    """
+    raw = F.col("comment_text")
+    kept = df.filter(has_letters(raw) if drop_empty else raw.isNotNull())
+    return conform(kept.withColumns({"comment_text": clean_text(raw), "source": F.lit(source)}))
 
 
 def conform(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideguard.config import DEFAULTS, LABELS, ModerationConfig
 from tideguard.functions.labels import first_max, set_names
@@ -198,5 +199,10 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
 
 def volume_buckets(flags: DataFrame, config: ModerationConfig = DEFAULTS,
                    order: str = "id", cells: int = DEFAULT_CELLS) -> DataFrame:
-    """Comments and flags in ``volume_buckets`` equal slices of the row order."""
+    """Comments and flags in ``volume_buckets`` equal slices of the row order.
+
+    Ids that are not numbers say nothing about time; their hash orders them.
+    """
+    if not isinstance(flags.schema[order].dataType, T.NumericType):
+        flags = flags.withColumn(order, F.xxhash64(order))
     return ntile_totals(flags, order, "any_flagged", config.volume_buckets, cells)

@@ -52,7 +52,8 @@ def vector_entries(df: DataFrame, vector: str, key: str) -> DataFrame:
     """Stored entries of a sparse vector column as (key, idx, value) rows."""
     stored = F.unwrap_udt(F.col(vector))
     pairs = F.arrays_zip(stored["indices"].alias("idx"), stored["values"].alias("value"))
-    return df.select(key, F.inline(pairs).alias("idx", "value"))
+    # The outer form, for the reason given in one_row_each.
+    return df.select(key, F.inline_outer(pairs).alias("idx", "value")).filter("idx IS NOT NULL")
 
 
 def linear_scores_hashed(df: DataFrame, vector: str, coefficients: DataFrame,

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tideguard.config import DEFAULTS, LABELS, ModerationConfig
 from tideguard.functions.hashing import bucket
-from tideguard.functions.text import NOISE
+from tideguard.functions.text import LINK, NOT_LETTERS
 from tideguard.operators.evaluation import auc_exact, precision_recall_f1
 from tideguard.operators.sampling import class_balance, in_train
 from tideguard.operators.scoring import score_multilabel
@@ -44,8 +44,8 @@ def text_stages(config: ModerationConfig = DEFAULTS, by_whitespace: bool = False
     """Raw ``comment_text`` to hashed counts. Cleaning is a stage too, so a saved
     model treats text at scoring time as it did at training time."""
     clean = SQLTransformer(statement=(
-        "SELECT *, trim(regexp_replace(lower(comment_text), "
-        f"r'{NOISE}', ' ')) AS clean_text FROM __THIS__"))
+        f"SELECT *, trim(regexp_replace(regexp_replace(lower(comment_text), r'{LINK}', ''), "
+        f"r'{NOT_LETTERS}', ' ')) AS clean_text FROM __THIS__"))
     cut = (Tokenizer(inputCol="clean_text", outputCol="words") if by_whitespace
            else RegexTokenizer(inputCol="clean_text", outputCol="words", pattern=r"\W"))
     return [clean, cut, StopWordsRemover(inputCol="words", outputCol="filtered_words"),

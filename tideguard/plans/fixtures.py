@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideguard.config import LABELS
+from tideguard.sources.readers import read_parallel
 
 # Probability of label L for event e of user u is
 # ((e * a + b) % 1000) / 1000 * ((u % 5 + 1) / 5).
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, for work that is heavy per row."""
+    return read_parallel(spark, f"{sf_dir}/documents.parquet", "doc_id")
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored events: real users and times, probabilities by arithmetic."""
     events = table(spark, sf_dir, "events")
@@ -42,7 +48,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the labels some of them have (NULL where they have none)."""
-    return (table(spark, sf_dir, "documents")
+    return (long_texts(spark, sf_dir)
             .join(table(spark, sf_dir, "labels"), "doc_id", "left")
             .select(F.col("doc_id").alias("id"), F.col("text").alias("comment_text"),
                     "lang", "source", "n_chars", "quality", "toxic"))

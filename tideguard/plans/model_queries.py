@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideguard.config import LABELS
 from tideguard.functions.scoring import with_probabilities
 from tideguard.operators import scoring, training
-from tideguard.plans.fixtures import table, training_comments
+from tideguard.plans.fixtures import long_texts, training_comments
 from tideguard.session import fresh_path
 
 # Where the six-label model of a table was saved in this application, so that
@@ -32,7 +32,7 @@ def six_label_model(spark, sf_dir) -> training.MultiLabelModel:
 
 
 def _all_documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return long_texts(spark, sf_dir).select(
         F.col("doc_id").alias("id"), F.col("text").alias("comment_text"))
 
 

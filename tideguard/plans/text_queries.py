@@ -13,10 +13,11 @@ from tideguard.functions.scoring import apply_thresholds, sigmoid
 from tideguard.functions.text import (
     STOP_WORDS, clean_text, clean_tokens, model_tokens, tokenize_regex, tokenize_whitespace,
 )
+from tideguard.functions.rows import one_row_each
 from tideguard.operators import features, filters, harmonize, profile, reports, sampling, scoring
 from tideguard.plans import sql_parts as sql
 from tideguard.plans.fixtures import (
-    SCORE_PARAMETERS, labelled_documents, predictions, six_label_comments, table,
+    SCORE_PARAMETERS, labelled_documents, long_texts, predictions, six_label_comments, table,
 )
 from tideguard.session import fresh_path
 from tideguard.sources import readers, writers
@@ -40,7 +41,7 @@ def _digits_text(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return long_texts(spark, sf_dir).select(
         F.col("doc_id").alias("id"), F.col("text").alias("comment_text"))
 
 
@@ -211,8 +212,8 @@ def remove_stopwords_query(spark, sf_dir):
 def stopword_anti_join(spark, sf_dir):
     """How often each word that is not a stop word occurs."""
     stop = spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
-    words = _documents(spark, sf_dir).select(
-        F.explode(clean_tokens(clean_text(F.col("comment_text")))).alias("word"))
+    words = one_row_each(_documents(spark, sf_dir), "word",
+                         clean_tokens(clean_text(F.col("comment_text"))))
     # A fixed list of 181 words, hence the broadcast.
     return (words.join(F.broadcast(stop), "word", "left_anti")
             .groupBy("word").agg(F.count("*").alias("n")))
@@ -257,8 +258,8 @@ def _scored_documents(spark, sf_dir):
 
 def lexicon_override(spark, sf_dir):
     """The lexicon is a table: the longest words of the benchmark passages."""
-    words = table(spark, sf_dir, "benchmark").select(
-        F.explode(tokenize_regex(clean_text(F.col("text")))).alias("word"))
+    words = one_row_each(table(spark, sf_dir, "benchmark"), "word",
+                         tokenize_regex(clean_text(F.col("text"))))
     lexicon = words.filter(F.length("word") >= LEXICON_MIN_CHARS)
     scored = _scored_documents(spark, sf_dir)
     hits = filters.lexicon_matches(scored, lexicon, "id", "comment_text").withColumn(
@@ -333,7 +334,7 @@ def _term_weight(k: int):
 def linear_score_tokens(spark, sf_dir):
     docs = _tokenised(spark, sf_dir)
     counts = features.term_counts(docs, keep_empty=True)
-    vocabulary = features.document_frequency(docs)
+    vocabulary = features.frequency_of_counts(counts)
     weights = vocabulary.withColumns(
         {f"w_{x}": _term_weight(k) for k, x in enumerate(LABELS)})
     scores = scoring.linear_scores(counts, weights, intercepts={"toxic": -0.25})

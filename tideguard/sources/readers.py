@@ -25,6 +25,23 @@ POST_SCHEMA = T.MapType(T.StringType(), T.StructType([
         T.StructField("label", T.StringType())])))]))
 
 
+# A Parquet row group is usually about this large, and one task reads it whole.
+_ROW_GROUP_BYTES = 128 * 1024 * 1024
+
+
+def read_parallel(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Parquet whose rows are costly to process (long text), on all cores.
+
+    A row group is the least a scan can give to a task, so a table smaller than
+    one row group per core leaves cores idle. Only such a table is spread out
+    by its (unique) key; a larger one is read as it lies, without a shuffle.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < cores * _ROW_GROUP_BYTES else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header, quoted line breaks and doubled quotes.
 
@@ -42,7 +59,9 @@ def read_posts(spark: SparkSession, path: str, whole_files: bool = False) -> Dat
     each such file is one task.
     """
     raw = spark.read.text(path, wholetext=whole_files)
-    return (raw.select(F.explode(F.from_json("value", POST_SCHEMA)).alias("post_id", "post"))
+    # The outer form parses each line once, see one_row_each.
+    posts = raw.select(F.explode_outer(F.from_json("value", POST_SCHEMA)).alias("post_id", "post"))
+    return (posts.filter(F.col("post_id").isNotNull())
             .select("post_id", "post.post_tokens",
                     F.col("post.annotators.label").alias("votes")))
 
