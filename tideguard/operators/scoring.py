@@ -85,9 +85,8 @@ def dense_head(df: DataFrame, vector: str, heads: Mapping[str, tuple[Sequence[fl
     return scored.withColumns({f"flag_{x}": F.col(f"prob_{x}") >= threshold for x in heads})
 
 
-def batch_model(make_predict: Callable, labels: Sequence[str] = LABELS,
-                batch_size: int = 256) -> Callable:
+def batch_model(make_predict: Callable, width: int, batch_size: int = 256) -> Callable:
     """Bring your own model: ``make_predict()`` loads it once per Python worker
-    and returns a function from an array batch to one row of logits per input."""
+    and returns a function from a (rows, width) batch to one row of logits per input."""
     return predict_batch_udf(make_predict, return_type=T.ArrayType(T.FloatType()),
-                             batch_size=batch_size)
+                             batch_size=batch_size, input_tensor_shapes=[[width]])
