@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from tideguard.config import LABELS, ModerationConfig  # noqa: E402
 from tideguard.operators import training  # noqa: E402
 from tideguard.plans import catalogue, fixtures, moderation  # noqa: E402
 from tideguard.session import fresh_path  # noqa: E402
@@ -67,7 +68,8 @@ def main() -> None:
     fitted = {}
 
     def fit():
-        fitted["result"] = training.train_multilabel(comments)
+        fitted["result"] = training.train_multilabel(
+            comments, ModerationConfig(fit_parallelism=len(LABELS)))
         drain(fitted["result"].metrics)
 
     seconds["train_multilabel"] = timed(fit)

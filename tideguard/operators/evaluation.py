@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from tideguard.config import LABELS
 from tideguard.operators.ordering import cell_edges, with_cell
 
-AUC_CELLS = 1000
-
 
 def confusion_matrix(df: DataFrame, label: str = "label",
                      prediction: str = "prediction") -> DataFrame:
@@ -44,7 +42,7 @@ def precision_recall_f1(df: DataFrame, labels: Sequence[str] = LABELS,
 
 
 def auc_exact(df: DataFrame, labels: Sequence[str] = LABELS, actual: str = "{}",
-              score: str = "prob_{}", cells: int = AUC_CELLS) -> DataFrame:
+              score: str = "prob_{}", cells: int | None = None) -> DataFrame:
     """Exact area under the ROC and the precision-recall curve per label.
 
     Both areas are sums over the distinct scores in falling order. Equal

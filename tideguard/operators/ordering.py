@@ -2,7 +2,7 @@
 
 The order column is cut into many narrow cells by approximate quantiles. A
 cell's rows are counted with a map-side aggregate, so the position at which
-each cell starts is known from a table of at most ``cells`` rows. Only what
+each cell starts is known from a table of one row per cell. Only what
 happens inside a cell then needs its rows, and cells are independent.
 The quantiles decide how even the cells are, never what the result is.
 """
@@ -13,11 +13,17 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CELLS = 2000
+_CELL_ROWS = 10_000
+_FEWEST, _MOST = 64, 20_000
 
 
-def cell_edges(df: DataFrame, column: str, cells: int = DEFAULT_CELLS) -> list[float]:
-    """Increasing cell edges for a numeric column: a summary of ``cells`` doubles."""
+def cell_edges(df: DataFrame, column: str, cells: int | None = None) -> list[float]:
+    """Increasing cell edges for a numeric column: at most 20,000 doubles.
+
+    The number of cells follows the number of rows, which costs a count.
+    """
+    if cells is None:
+        cells = min(max(df.count() // _CELL_ROWS, _FEWEST), _MOST)
     if cells < 2:
         return []
     cuts = df.select(F.col(column).cast("double").alias("v")).approxQuantile(
@@ -41,7 +47,7 @@ def with_cell(df: DataFrame, column: str, edges: list[float], out: str = "cell")
 
 
 def ntile_totals(df: DataFrame, order: str, flag: str, n_buckets: int,
-                 cells: int = DEFAULT_CELLS) -> DataFrame:
+                 cells: int | None = None) -> DataFrame:
     """``ntile(n_buckets)`` over ``order``: rows and set flags per zero-based bucket.
 
     A cell that lies inside one bucket is counted as a whole. Only the cells
@@ -53,7 +59,7 @@ def ntile_totals(df: DataFrame, order: str, flag: str, n_buckets: int,
                      F.coalesce(F.col(flag).cast("int"), F.lit(0)).alias("f"))
     celled = with_cell(rows, "k", cell_edges(rows, "k", cells))
 
-    # At most `cells` rows from here to `placed`.
+    # One row per cell from here to `placed`.
     per_cell = celled.groupBy("cell").agg(
         F.count("*").alias("n"), F.sum("f").alias("flags"))
     upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tideguard.config import DEFAULTS, LABELS, ModerationConfig
 from tideguard.functions.labels import first_max, set_names
-from tideguard.operators.ordering import DEFAULT_CELLS, ntile_totals
+from tideguard.operators.ordering import ntile_totals
 
 
 def _percent(part: Column, whole: Column, digits: int | None = 4) -> Column:
@@ -198,7 +198,7 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
 
 
 def volume_buckets(flags: DataFrame, config: ModerationConfig = DEFAULTS,
-                   order: str = "id", cells: int = DEFAULT_CELLS) -> DataFrame:
+                   order: str = "id", cells: int | None = None) -> DataFrame:
     """Comments and flags in ``volume_buckets`` equal slices of the row order.
 
     Ids that are not numbers say nothing about time; their hash orders them.

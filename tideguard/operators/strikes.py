@@ -32,8 +32,10 @@ from tideguard.functions.strikes import NEVER, Rules
 from tideguard.session import materialise
 
 # A user with more messages than this is cut into slices of at most this many
-# (or of one minute, where a single minute holds more).
+# (or of one minute, where a single minute holds more) ...
 SLICE_ROWS = 1_000_000
+# ... with slices growing once there would be more of them than this.
+MAX_SLICES = 100_000
 FAN_IN = 16
 # Slice widths tried, in minutes.
 _WIDTHS = [4 ** i for i in range(12)]
@@ -71,6 +73,7 @@ def strike_actions(df: DataFrame, keys: Sequence[str], ts: str, event_id: str, t
     keys = list(keys)
     rules = rules_of(config)
     rows = _prepare(df, keys, ts, event_id, toxic, rejoin)
+    slice_rows = max(slice_rows, rows.count() // MAX_SLICES)
     crowded = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > slice_rows)
     if crowded.isEmpty():
         sliced = rows.withColumns({"__slice": F.lit(0).cast("bigint"),
@@ -144,7 +147,7 @@ def _attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
     """Join a small table on the keys (NULL matches NULL) and on ``also``.
 
     Every table passed in here has at most a few rows per ``slice_rows``
-    messages, which is the bound that makes broadcasting it safe.
+    messages, that is a few times ``MAX_SLICES`` rows, so it can be broadcast.
     """
     on = [*keys, *also]
     renamed = small.select(*[F.col(c).alias(f"__on_{c}") for c in on],

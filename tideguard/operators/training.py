@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideguard.config import DEFAULTS, LABELS, ModerationConfig
-from tideguard.functions.hashing import bucket
+from tideguard.functions.hashing import bucket, whole_number
 from tideguard.functions.text import LINK, NOT_LETTERS
 from tideguard.operators.evaluation import auc_exact, precision_recall_f1
 from tideguard.operators.sampling import class_balance, in_train
@@ -78,11 +78,12 @@ def count_words(df: DataFrame, labels: Sequence[str] = LABELS,
                 by_whitespace: bool = False, folds: int = FOLDS) -> Counted:
     """One pass over the text; the 80/20 split and the folds hang on the key."""
     text = df.filter(F.col("comment_text").isNotNull()).select(key, "comment_text", *labels)
+    number = whole_number(F.col(key), df.schema[key].dataType)
     stages = Pipeline(stages=text_stages(config, by_whitespace)).fit(text)
     counted = stages.transform(text).select(
-        F.col(key).alias("id"), *labels, "raw_features", in_train(F.col(key)).alias("is_train"),
+        F.col(key).alias("id"), *labels, "raw_features", in_train(number).alias("is_train"),
         # Buckets below the split go to train; folds are cut across them.
-        (bucket(F.col(key), 1_000_003) % folds).cast("int").alias("fold"))
+        (bucket(number, 1_000_003) % folds).cast("int").alias("fold"))
     return Counted(materialise(counted, "word-counts"), stages)
 
 

@@ -6,11 +6,13 @@ ingest -> build_corpus -> train -> predict -> aggregate_users / report
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideguard.config import DEFAULTS, LABELS, ModerationConfig
+from tideguard.functions.hashing import stable_row_id
 from tideguard.functions.scoring import apply_thresholds
 from tideguard.functions.text import clean_text
 from tideguard.operators import harmonize, profile, reports, training
@@ -45,8 +47,8 @@ def with_id(comments: DataFrame) -> DataFrame:
     """A table without an id gets one from its content. Copies share it."""
     if "id" in comments.columns:
         return comments
-    return comments.withColumn("id", F.xxhash64(
-        *[c for c in ("comment_text", "source") if c in comments.columns]))
+    known = [F.col(c) for c in ("comment_text", "source") if c in comments.columns]
+    return comments.withColumn("id", stable_row_id(*known))
 
 
 def predict(comments: DataFrame, model: training.MultiLabelModel, out: str) -> None:
@@ -70,12 +72,20 @@ def aggregate_users(spark: SparkSession, predictions: str, out: str) -> None:
 def report(spark: SparkSession, predictions: str, out: str, run_date: str,
            config: ModerationConfig = DEFAULTS) -> None:
     """The five reports as CSV. Each reads only the columns it needs; only the
-    flagged comments read text, and only they grow with the input."""
+    flagged comments read text, and only they grow with the input. The reports
+    do not depend on each other and are submitted together."""
     flags = apply_thresholds(readers.load_predictions(spark, predictions), config)
-    writers.write_report(reports.moderation_summary(flags, run_date), f"{out}/summary")
-    writers.write_report(reports.category_breakdown(flags), f"{out}/category_breakdown")
-    writers.write_report(reports.flagged_comments(flags, run_date), f"{out}/flagged_comments",
-                         single_file=False)
-    writers.write_report(reports.high_risk_users(flags, run_date, config),
-                         f"{out}/high_risk_users", single_file=False)
-    writers.write_report(reports.volume_buckets(flags, config), f"{out}/volume_buckets")
+    jobs = {
+        "summary": (lambda: reports.moderation_summary(flags, run_date), True),
+        "category_breakdown": (lambda: reports.category_breakdown(flags), True),
+        "flagged_comments": (lambda: reports.flagged_comments(flags, run_date), False),
+        "high_risk_users": (lambda: reports.high_risk_users(flags, run_date, config), False),
+        "volume_buckets": (lambda: reports.volume_buckets(flags, config), True),
+    }
+
+    def write(name):
+        build, single_file = jobs[name]
+        writers.write_report(build(), f"{out}/{name}", single_file)
+
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        list(pool.map(write, jobs))

@@ -273,9 +273,9 @@ def lexicon_override(spark, sf_dir):
 # --- samples, splits, weights -----------------------------------------------
 
 def stable_row_id_query(spark, sf_dir):
-    return six_label_comments(spark, sf_dir).select(
-        stable_row_id(F.col("comment_text"), F.col("source")).alias("row_id"),
-        "comment_text", "source")
+    rows = labelled_documents(spark, sf_dir)
+    return rows.select("id", stable_row_id(
+        F.col("comment_text"), F.col("source"), F.col("quality")).alias("row_id"))
 
 
 def hash_sample(spark, sf_dir):
@@ -306,7 +306,7 @@ def _tokenised(spark, sf_dir):
 
 def hashing_tf(spark, sf_dir):
     hashed = features.hashed_counts(_tokenised(spark, sf_dir), "tokens")
-    return scoring.vector_entries(hashed, "raw_features", "id")
+    return scoring.vector_entries(hashed, "raw_features", "id").withColumnRenamed("value", "tf")
 
 
 def idf_table(spark, sf_dir):
@@ -437,7 +437,47 @@ _STRIPPED = r"trim(text, E' \t\n\x0b\f\r')"
 _SPLIT_TEXT = "array_to_string(regexp_split_to_array(comment_text, '\\s+'), ' ')"
 _NUMBERED = list(enumerate(LABELS))
 
+
+
+def _times(a: str, b: int) -> str:
+    """32-bit product."""
+    return f"((({a})::UBIGINT * {b}::UBIGINT) & 4294967295::UBIGINT)"
+
+
+def _turned(a: str, n: int) -> str:
+    """32-bit rotation to the left."""
+    return f"(((({a}) << {n}) | (({a}) >> {32 - n})) & 4294967295::UBIGINT)"
+
+
+def _mixed(k: str) -> str:
+    return _times(_turned(_times(k, 0xCC9E2D51), 15), 0x1B873593)
+
+
+# MurmurHash3 (32 bits, seed 42) of words made of a-z, step by step.
+_HASHES = """K AS (SELECT DISTINCT unnest(tokens) AS term FROM T),
+B AS (SELECT term, length(term) AS n, list_transform(string_split(term, ''),
+  lambda c: ascii(c)::UBIGINT) AS b FROM K),
+H0 AS (SELECT *, list_reduce(list_transform(generate_series(1, n // 4), lambda i:
+  b[4 * i - 3] | (b[4 * i - 2] << 8) | (b[4 * i - 1] << 16) | (b[4 * i] << 24)),
+  lambda h, k: (""" + _times(_turned("xor(h, " + _mixed("k") + ")", 13), 5) + """
+    + 3864292196::UBIGINT) & 4294967295::UBIGINT, 42::UBIGINT) AS h FROM B),
+H1 AS (SELECT *, coalesce(CASE n % 4 WHEN 1 THEN b[n] WHEN 2 THEN b[n - 1] | (b[n] << 8)
+  WHEN 3 THEN b[n - 2] | (b[n - 1] << 8) | (b[n] << 16) END, 0::UBIGINT) AS tail FROM H0),
+H2 AS (SELECT term, xor(CASE WHEN n % 4 = 0 THEN h ELSE xor(h, """ + _mixed("tail") + """) END,
+  n::UBIGINT) AS h FROM H1),
+H3 AS (SELECT term, """ + _times("xor(h, (h >> 16))", 0x85EBCA6B) + """ AS h FROM H2),
+H4 AS (SELECT term, """ + _times("xor(h, (h >> 13))", 0xC2B2AE35) + """ AS h FROM H3),
+H5 AS (SELECT term, xor(h, h >> 16)::BIGINT AS h FROM H4),
+HASHED AS (SELECT term, CAST(((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END)
+  % 10000 + 10000) % 10000 AS INTEGER) AS idx FROM H5),
+X AS (SELECT id, unnest(tokens) AS term FROM T)
+"""
+
 ORACLES = {
+    "stable_row_id": _D + """SELECT id, md5('+' || comment_text || chr(1) || '+' || source || chr(1)
+  || coalesce('+' || quality, '-')) AS row_id FROM D""",
+    "hashing_tf": "WITH " + _TOKENS + ", " + _HASHES + """SELECT id, idx, count(*)::DOUBLE AS tf
+  FROM X JOIN HASHED USING (term) GROUP BY ALL""",
     "csv_scan": _C + f"SELECT id, comment_text, {_LABEL_COLUMNS} FROM C",
     "parquet_scan": "SELECT doc_id AS id, source, n_chars FROM documents WHERE text IS NOT NULL",
     "partition_pruned_scan": _C + "SELECT * FROM C WHERE toxic = 1",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideguard.config import LABELS, SYNTHETIC_USERS
-from tideguard.functions.hashing import bucket_any, synthetic_user
+from tideguard.functions.hashing import synthetic_user, whole_number
 
 COMMENT_SCHEMA = T.StructType(
     [T.StructField("id", T.LongType()), T.StructField("comment_text", T.StringType())]
@@ -42,13 +42,15 @@ def read_parallel(spark: SparkSession, path: str, key: str) -> DataFrame:
     return df.repartition(cores, key) if size < cores * _ROW_GROUP_BYTES else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, quoted line breaks and doubled quotes.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             line_breaks: bool = True) -> DataFrame:
+    """CSV with a header, doubled quotes and, by default, quoted line breaks.
 
-    A file with quoted line breaks cannot be split: keep such files of
-    moderate size, and convert them to Parquet once.
+    A file with quoted line breaks cannot be split, so each file is one task:
+    have many files of moderate size, and convert them to Parquet once. Without
+    line breaks (``line_breaks=False``) large files split.
     """
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"')
+    return spark.read.schema(schema).csv(path, header=True, multiLine=line_breaks, escape='"')
 
 
 def read_posts(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
@@ -70,9 +72,8 @@ def fill_prediction_defaults(df: DataFrame, key: str = "id") -> DataFrame:
     """Adds the columns reports need and a predictions table may lack."""
     added = {}
     if "user_id" not in df.columns:
-        whole = isinstance(df.schema[key].dataType, T.IntegralType)
-        added["user_id"] = (synthetic_user(F.col(key), SYNTHETIC_USERS) if whole
-                            else bucket_any(F.col(key), SYNTHETIC_USERS).cast("int"))
+        number = whole_number(F.col(key), df.schema[key].dataType)
+        added["user_id"] = synthetic_user(number, SYNTHETIC_USERS)
     if "comment_text" not in df.columns:
         added["comment_text"] = F.lit("")
     return df.withColumns(added)
