@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -40,8 +40,12 @@ def scored(trained, comments):
 
 def test_model_words_equal_the_column_expression(spark, comments):
     stages = Pipeline(stages=training.text_stages()).fit(comments)
-    got = stages.transform(comments).select("filtered_words", model_tokens(F.col("comment_text")))
-    assert all(a == b for a, b in got.collect())
+    counted = stages.transform(comments.withColumn("ours", model_tokens(F.col("comment_text"))))
+    ml = Pipeline(stages=[
+        RegexTokenizer(inputCol="clean_text", outputCol="cut", pattern=r"\W"),
+        StopWordsRemover(inputCol="cut", outputCol="theirs")]).fit(counted).transform(counted)
+    got = ml.select("filtered_words", "ours", "theirs").collect()
+    assert all(a == b == c for a, b, c in got)
 
 
 def test_each_label_equals_its_own_pipeline(trained, comments, scored):

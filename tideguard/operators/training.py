@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
-    IDF, HashingTF, RegexTokenizer, SQLTransformer, StopWordsRemover, Tokenizer,
+    IDF, HashingTF, SQLTransformer, StopWordsRemover, Tokenizer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tideguard.config import DEFAULTS, LABELS, ModerationConfig
 from tideguard.functions.hashing import bucket, whole_number
-from tideguard.functions.text import LINK, NOT_LETTERS
+from tideguard.functions.text import LINK, NOT_LETTERS, STOP_WORDS
 from tideguard.operators.evaluation import auc_exact, precision_recall_f1
 from tideguard.operators.sampling import class_balance, in_train
 from tideguard.operators.scoring import score_multilabel
@@ -42,15 +42,26 @@ NET_GRID = (0.0, 0.5)
 
 def text_stages(config: ModerationConfig = DEFAULTS, by_whitespace: bool = False) -> list:
     """Raw ``comment_text`` to hashed counts. Cleaning is a stage too, so a saved
-    model treats text at scoring time as it did at training time."""
+    model treats text at scoring time as it did at training time.
+
+    Words are cut and stop words dropped by SQL expressions, which is what
+    ``RegexTokenizer`` on ``\\W`` and ``StopWordsRemover`` come to on cleaned text,
+    without handing every word array to two more functions.
+    """
     clean = SQLTransformer(statement=(
         f"SELECT *, trim(regexp_replace(regexp_replace(lower(comment_text), r'{LINK}', ''), "
         f"r'{NOT_LETTERS}', ' ')) AS clean_text FROM __THIS__"))
-    cut = (Tokenizer(inputCol="clean_text", outputCol="words") if by_whitespace
-           else RegexTokenizer(inputCol="clean_text", outputCol="words", pattern=r"\W"))
-    return [clean, cut, StopWordsRemover(inputCol="words", outputCol="filtered_words"),
-            HashingTF(inputCol="filtered_words", outputCol="raw_features",
-                      numFeatures=config.num_features)]
+    if by_whitespace:
+        words = [Tokenizer(inputCol="clean_text", outputCol="words"),
+                 StopWordsRemover(inputCol="words", outputCol="filtered_words")]
+    else:
+        # Cleaned words hold no apostrophe, so stop words with one cannot occur.
+        stop = ", ".join(f"'{w}'" for w in STOP_WORDS if "'" not in w)
+        words = [SQLTransformer(statement=(
+            "SELECT *, filter(split(clean_text, ' '), "
+            f"w -> w != '' AND w NOT IN ({stop})) AS filtered_words FROM __THIS__"))]
+    return [clean, *words, HashingTF(inputCol="filtered_words", outputCol="raw_features",
+                                     numFeatures=config.num_features)]
 
 
 def idf_stage(min_doc_freq: int) -> IDF:

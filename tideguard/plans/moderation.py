@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tideguard.config import DEFAULTS, LABELS, ModerationConfig
 from tideguard.functions.hashing import stable_row_id
 from tideguard.functions.scoring import apply_thresholds
-from tideguard.functions.text import clean_text
 from tideguard.operators import harmonize, profile, reports, training
 from tideguard.sources import readers, writers
 
@@ -53,13 +52,11 @@ def with_id(comments: DataFrame) -> DataFrame:
 
 def predict(comments: DataFrame, model: training.MultiLabelModel, out: str) -> None:
     """Score every comment with text, in one pass from scan to write."""
-    keep = ["id", "comment_text", *[c for c in (*LABELS, "user_id") if c in comments.columns]]
+    keep = ["id", "clean_text", *[c for c in (*LABELS, "user_id") if c in comments.columns]]
     text = with_id(comments).filter(F.col("comment_text").isNotNull())
-    # The model cleans by itself; the stored text is the cleaned one.
-    scored = model.score(text, keep)
-    cleaned = scored.withColumns({"comment_text": clean_text(F.col("comment_text")),
-                                  "id": F.col("id").cast("string")})
-    writers.write_table(cleaned, out)
+    # The text that is stored is the one the model's first stage has cleaned.
+    scored = model.score(text, keep).withColumnRenamed("clean_text", "comment_text")
+    writers.write_table(scored.withColumn("id", F.col("id").cast("string")), out)
 
 
 def aggregate_users(spark: SparkSession, predictions: str, out: str) -> None:
