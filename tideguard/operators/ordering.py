@@ -35,7 +35,8 @@ def with_cell(df: DataFrame, column: str, edges: list[float], out: str = "cell")
     """Adds the index of the cell a value lies in (binary search per row).
 
     The cast to double may merge neighbouring big integers but never swaps
-    them, so cells stay ordered.
+    them, so cells stay ordered; NULLs come first. The cell is never NULL, so a
+    later join on it adds no condition, and both sides can share a shuffle.
     """
     if not edges:
         return df.withColumn(out, F.lit(0))
@@ -43,7 +44,7 @@ def with_cell(df: DataFrame, column: str, edges: list[float], out: str = "cell")
     value = f"__{out}_value"
     placed = Bucketizer(splits=splits, inputCol=value, outputCol=out).transform(
         df.withColumn(value, F.col(column).cast("double")))
-    return placed.withColumn(out, F.col(out).cast("int")).drop(value)
+    return placed.withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(0))).drop(value)
 
 
 def ntile_totals(df: DataFrame, order: str, flag: str, n_buckets: int,
@@ -88,8 +89,11 @@ def ntile_totals(df: DataFrame, order: str, flag: str, n_buckets: int,
         F.col("first_bucket").alias("bucket_index"),
         F.col("n").alias("comment_count"), F.col("flags").alias("flagged_count"))
 
-    # Fewer than n_buckets rows, hence the broadcast.
-    cut = placed.filter("first_bucket < last_bucket").select("cell", "start", "total")
+    # Fewer than n_buckets rows, hence the broadcast. The always true condition
+    # on `flags` keeps that column in the counts, so that both uses of the
+    # counts are the same plan and the rows are counted once.
+    cut = placed.filter("first_bucket < last_bucket AND flags >= 0").select(
+        "cell", "start", "total")
     merged = (celled.join(F.broadcast(cut), "cell")
               .groupBy("cell", "start", "total", "k", "f").agg(F.count("*").alias("c")))
     inside = Window.partitionBy("cell").orderBy("k", "f").rowsBetween(

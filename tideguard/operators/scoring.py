@@ -49,11 +49,11 @@ def linear_scores(term_counts: DataFrame, weights: DataFrame, key: str = "id",
 
 
 def vector_entries(df: DataFrame, vector: str, key: str) -> DataFrame:
-    """Stored entries of a sparse vector column as (key, idx, value) rows."""
+    """Stored entries of a sparse vector column as (key, idx, value) rows; a row
+    without entries gives one with NULLs."""
     stored = F.unwrap_udt(F.col(vector))
     pairs = F.arrays_zip(stored["indices"].alias("idx"), stored["values"].alias("value"))
-    # The outer form, for the reason given in one_row_each.
-    return df.select(key, F.inline_outer(pairs).alias("idx", "value")).filter("idx IS NOT NULL")
+    return df.select(key, F.inline_outer(pairs).alias("idx", "value"))
 
 
 def linear_scores_hashed(df: DataFrame, vector: str, coefficients: DataFrame,
@@ -63,11 +63,10 @@ def linear_scores_hashed(df: DataFrame, vector: str, coefficients: DataFrame,
     The coefficient table has one row per hashed column, a fixed number,
     hence the broadcast. A row without any entry scores the intercept.
     """
-    entries = vector_entries(df, vector, key)
-    sums = entries.join(F.broadcast(coefficients), "idx").groupBy(key).agg(
-        F.sum(F.col("value") * F.col("weight")).alias("z"))
-    return df.select(key).join(sums, key, "left").select(
-        key, sigmoid(F.coalesce("z", F.lit(0.0)) + float(intercept)).alias("probability"))
+    entries = vector_entries(df, vector, key).join(F.broadcast(coefficients), "idx", "left")
+    part = F.coalesce(F.col("value") * F.col("weight"), F.lit(0.0))
+    return entries.groupBy(key).agg(F.sum(part).alias("z")).select(
+        key, sigmoid(F.col("z") + float(intercept)).alias("probability"))
 
 
 def dot(vector: Column, weights: Sequence[float]) -> Column:

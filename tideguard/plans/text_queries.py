@@ -306,7 +306,8 @@ def _tokenised(spark, sf_dir):
 
 def hashing_tf(spark, sf_dir):
     hashed = features.hashed_counts(_tokenised(spark, sf_dir), "tokens")
-    return scoring.vector_entries(hashed, "raw_features", "id").withColumnRenamed("value", "tf")
+    return scoring.vector_entries(hashed, "raw_features", "id").filter(
+        "idx IS NOT NULL").withColumnRenamed("value", "tf")
 
 
 def idf_table(spark, sf_dir):
