@@ -3,7 +3,8 @@
 import math
 
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +15,7 @@ from tideguard.config import LABELS, ModerationConfig
 from tideguard.functions.scoring import apply_thresholds, sigmoid
 from tideguard.functions.text import model_tokens
 from tideguard.operators import features, scoring, training
+from tideguard.operators.joins import join_predictions
 from tideguard.operators.evaluation import auc_exact, confusion_matrix
 from tideguard.operators.responses import score_response
 from tideguard.plans import fixtures, text_queries
@@ -56,6 +58,23 @@ def test_each_label_equals_its_own_pipeline(trained, comments, scored):
         assert rows(alone) == rows(together)
 
 
+def test_saved_pipelines_chained_equal_joined(spark, trained, comments, scored):
+    path = fresh_path(spark, "pipelines")
+    trained.model.save_pipelines(path)
+    models = {x: PipelineModel.load(f"{path}/{x}_model") for x in ("toxic", "insult")}
+    chained = scoring.score_pipelines(comments, models, ["id"])
+    assert chained.columns == ["id", "pred_toxic", "prob_toxic", "pred_insult", "prob_insult"]
+    joined = join_predictions(comments.select("id"), [
+        m.transform(comments).select("id", f"pred_{x}", f"prob_{x}") for x, m in models.items()])
+    assert rows(chained) == rows(joined)
+    assert rows(chained.select("id", "pred_toxic")) == rows(scored.select("id", "pred_toxic"))
+    # Under MLlib's own output names, as another program would have saved them.
+    plain = Pipeline(stages=[*training.text_stages(QUICK), training.idf_stage(2),
+                             LogisticRegression(labelCol="toxic", maxIter=2)]).fit(comments)
+    twice = scoring.score_pipelines(comments, {"a": plain, "b": plain}, ["id"])
+    assert twice.filter("pred_a <> pred_b").count() == 0
+
+
 def test_scoring_neither_joins_nor_shuffles(spark, trained, tmp_path, comments):
     comments.write.parquet(str(tmp_path / "c"))
     plan = plan_of(trained.model.score(spark.read.parquet(str(tmp_path / "c"))))

@@ -27,7 +27,7 @@ def cell_edges(df: DataFrame, column: str, cells: int | None = None) -> list[flo
     if cells < 2:
         return []
     cuts = df.select(F.col(column).cast("double").alias("v")).approxQuantile(
-        "v", [i / cells for i in range(1, cells)], 0.5 / cells)
+        "v", [i / cells for i in range(1, cells)], 1.0 / cells)
     return sorted(set(cuts))
 
 

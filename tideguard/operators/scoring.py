@@ -27,6 +27,22 @@ def score_multilabel(df: DataFrame, features_model, heads: Mapping[str, object],
     return scored.select(*keep, *[c for x in heads for c in (f"pred_{x}", f"prob_{x}")])
 
 
+def score_pipelines(df: DataFrame, models: Mapping[str, object],
+                    keep: Sequence[str]) -> DataFrame:
+    """Prediction and probability of whole saved pipelines, one per label.
+
+    Each appends its columns to the same rows and its intermediate columns are
+    dropped before the next one, so here too nothing is joined.
+    """
+    scored = df
+    for label, model in models.items():
+        head = model.stages[-1]
+        scored = model.transform(scored).select(
+            *scored.columns, F.col(head.getPredictionCol()).alias(f"pred_{label}"),
+            F.col(head.getProbabilityCol()).alias(f"prob_{label}"))
+    return scored.select(*keep, *[c for x in models for c in (f"pred_{x}", f"prob_{x}")])
+
+
 def linear_scores(term_counts: DataFrame, weights: DataFrame, key: str = "id",
                   term: str = "term", count: str = "tf", rows: str = "df",
                   labels: Sequence[str] = LABELS,

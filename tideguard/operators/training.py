@@ -283,6 +283,11 @@ class MultiLabelModel:
                               "label string, position int").coalesce(1).write.mode(
             "overwrite").json(f"{path}/labels")
 
+    def save_pipelines(self, path: str) -> None:
+        """One self-contained pipeline per label, for ``scoring.score_pipelines``."""
+        for label in self.heads:
+            self.pipeline(label).write().overwrite().save(f"{path}/{label}_model")
+
     @staticmethod
     def load(path: str) -> MultiLabelModel:
         stored = SparkSession.active().read.schema("label string, position int").json(
