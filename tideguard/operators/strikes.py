@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tideguard.config import DEFAULTS, ModerationConfig
 from tideguard.functions import strikes as machine
 from tideguard.functions.strikes import NEVER, Rules
-from tideguard.session import materialise
+from tideguard.session import materialise, store
 
 # A user with more messages than this is cut into slices of at most this many
 # (or of one minute, where a single minute holds more) ...
@@ -236,7 +236,7 @@ def _slice_crowded(rows, crowded, keys, rules, slice_rows):
                                   found["__rejoin"].to_numpy(bool), rules, start + rules.mute_us)
         return frame(pdf, group[:-1], group[-1], start, table)
 
-    levels = [materialise(
+    levels = [store(
         deciding.unionByName(markers.select(*columns)).groupBy(*keys, "__slice")
         .applyInPandas(summarise, summary_schema), "strike-summaries")]
 
@@ -251,8 +251,8 @@ def _slice_crowded(rows, crowded, keys, rules, slice_rows):
     last = widths.agg(F.max("__last")).first()[0]      # one number
     while last >= FAN_IN:
         last //= FAN_IN
-        levels.append(materialise(
-            levels[-1].groupBy(*keys, parent).applyInPandas(chain, summary_schema),
+        levels.append(store(
+            levels[-1].df.groupBy(*keys, parent).applyInPandas(chain, summary_schema),
             "strike-summaries"))
 
     # ... and hand the state at the start of each slice back down.
@@ -269,10 +269,12 @@ def _slice_crowded(rows, crowded, keys, rules, slice_rows):
     entries = rows.sparkSession.createDataFrame([], entry_schema)
     for level in reversed(levels):
         above = entries.withColumnRenamed("__slice", "__parent")
-        entries = (level.groupBy(*keys, parent)
+        entries = (level.df.groupBy(*keys, parent)
                    .cogroup(above.groupBy(*keys, "__parent"))
                    .applyInPandas(descend, entry_schema))
     entries = materialise(entries, "strike-entries")
+    for level in levels:
+        level.discard()
 
     # 3. Every row gets its slice's entry state; all other users start clean.
     return _attach(placed, entries, keys, "left", also=["__slice"]).withColumns({

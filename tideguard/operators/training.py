@@ -31,7 +31,7 @@ from tideguard.functions.text import LINK, NOT_LETTERS, STOP_WORDS
 from tideguard.operators.evaluation import auc_exact, precision_recall_f1
 from tideguard.operators.sampling import class_balance, in_train
 from tideguard.operators.scoring import score_multilabel
-from tideguard.session import materialise
+from tideguard.session import Stored, materialise, store
 
 FOLDS = 3
 REG_GRID = (0.01, 0.1, 0.5)
@@ -80,11 +80,25 @@ def idf_stage(min_doc_freq: int) -> IDF:
 
 @dataclass
 class Counted:
-    """Hashed counts of a labelled table, and the stages that made them."""
+    """Hashed counts of a labelled table, and the stages that made them.
 
-    rows: DataFrame              # id, labels, raw_features, is_train, fold
+    The stored counts are as large as the corpus; leaving the ``with`` block
+    removes them. What a fit returns no longer needs them.
+    """
+
+    stored: Stored               # id, labels, raw_features, is_train, fold
     stages: PipelineModel
 
+    def __enter__(self) -> Counted:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.stored.discard()
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.stored.df
+
     @property
     def train(self) -> DataFrame:
         return self.rows.filter("is_train")
@@ -105,7 +119,7 @@ def count_words(df: DataFrame, labels: Sequence[str] = LABELS,
         F.col(key).alias("id"), *labels, "raw_features", in_train(number).alias("is_train"),
         # Buckets below the split go to train; folds are cut across them.
         (bucket(number, 1_000_003) % folds).cast("int").alias("fold"))
-    return Counted(materialise(counted, "word-counts"), stages)
+    return Counted(store(counted, "word-counts"), stages)
 
 
 # --- fits -------------------------------------------------------------------
@@ -170,8 +184,8 @@ def _train(counted: Counted, label: str, head, min_doc_freq: int,
 
 def train_plain(df: DataFrame, label: str = "toxic",
                 config: ModerationConfig = DEFAULTS) -> Trained:
-    counted = count_words(df, [label], config)
-    return _train(counted, label, logistic(label, config.max_iter), config.min_doc_freq)
+    with count_words(df, [label], config) as counted:
+        return _train(counted, label, logistic(label, config.max_iter), config.min_doc_freq)
 
 
 def train_baseline(df: DataFrame, label: str = "toxic", config: ModerationConfig = DEFAULTS,
@@ -180,18 +194,18 @@ def train_baseline(df: DataFrame, label: str = "toxic", config: ModerationConfig
 
     ``idf_on_all`` lets the document frequencies see the test rows.
     """
-    counted = count_words(df, [label], config, by_whitespace=True)
-    return _train(counted, label, logistic(label, 10), 0,
-                  idf_rows=counted.rows if idf_on_all else None)
+    with count_words(df, [label], config, by_whitespace=True) as counted:
+        return _train(counted, label, logistic(label, 10), 0,
+                      idf_rows=counted.rows if idf_on_all else None)
 
 
 def train_weighted(df: DataFrame, label: str = "toxic",
                    config: ModerationConfig = DEFAULTS) -> Trained:
-    counted = count_words(df, [label], config)
-    ratio = _ratio(balance_of(counted.train, [label]), label)
-    weighted = counted.train.withColumn("weight", _weight(label, ratio))
-    return _train(counted, label, logistic(label, config.max_iter, weight="weight"),
-                  config.min_doc_freq, fit_rows=weighted)
+    with count_words(df, [label], config) as counted:
+        ratio = _ratio(balance_of(counted.train, [label]), label)
+        weighted = counted.train.withColumn("weight", _weight(label, ratio))
+        return _train(counted, label, logistic(label, config.max_iter, weight="weight"),
+                      config.min_doc_freq, fit_rows=weighted)
 
 
 def _ratio(balance: Mapping, label: str) -> float:
@@ -202,20 +216,21 @@ def _ratio(balance: Mapping, label: str) -> float:
 
 def train_trees(df: DataFrame, label: str = "toxic", config: ModerationConfig = DEFAULTS,
                 rounds: int = 20, depth: int = 5, step: float = 0.1) -> Trained:
-    counted = count_words(df, [label], config)
-    return _train(counted, label, boosted_trees(label, rounds, depth, step), config.min_doc_freq)
+    with count_words(df, [label], config) as counted:
+        return _train(counted, label, boosted_trees(label, rounds, depth, step),
+                      config.min_doc_freq)
 
 
 def train_final(df: DataFrame, label: str = "toxic",
                 config: ModerationConfig = DEFAULTS) -> Trained:
     """Weighted fit on every row with the chosen parameters; measured on the same rows."""
-    counted = count_words(df, [label], config)
-    ratio = _ratio(balance_of(counted.rows, [label]), label)
-    idf = idf_stage(config.min_doc_freq).fit(counted.rows)
-    rows = idf.transform(packed(counted.rows.withColumn("weight", _weight(label, ratio))))
-    model = logistic(label, config.max_iter, config.reg_param, config.elastic_net,
-                     "weight").fit(rows.drop("raw_features"))
-    scored = lean(model.transform(rows), [label])
+    with count_words(df, [label], config) as counted:
+        ratio = _ratio(balance_of(counted.rows, [label]), label)
+        idf = idf_stage(config.min_doc_freq).fit(counted.rows)
+        rows = idf.transform(packed(counted.rows.withColumn("weight", _weight(label, ratio))))
+        model = logistic(label, config.max_iter, config.reg_param, config.elastic_net,
+                         "weight").fit(rows.drop("raw_features"))
+        scored = lean(model.transform(rows), [label])
     return Trained(PipelineModel([*counted.stages.stages, idf, model]),
                    metrics_of(scored, [label]), scored)
 
@@ -235,7 +250,11 @@ def cv_grid(df: DataFrame, label: str = "toxic", config: ModerationConfig = DEFA
     The word counts do not depend on the fold and are made beforehand; document
     frequencies and the weighted regression are fitted per fold.
     """
-    counted = count_words(df, [label], config, folds=folds)
+    with count_words(df, [label], config, folds=folds) as counted:
+        return _search(df.sparkSession, counted, label, config, reg_grid, net_grid, folds)
+
+
+def _search(spark, counted, label, config, reg_grid, net_grid, folds) -> GridResult:
     ratio = _ratio(balance_of(counted.train, [label]), label)
     train = packed(counted.train.withColumn("weight", _weight(label, ratio)))
     head = logistic(label, config.max_iter, weight="weight")
@@ -250,7 +269,7 @@ def cv_grid(df: DataFrame, label: str = "toxic", config: ModerationConfig = DEFA
     found = search.fit(train)
     scores = found.avgMetrics
     top = scores.index(max(scores))
-    grid = df.sparkSession.createDataFrame(
+    grid = spark.createDataFrame(
         [(float(s[head.regParam]), float(s[head.elasticNetParam]), float(score), i == top)
          for i, (s, score) in enumerate(zip(settings, scores))],
         "reg_param double, elastic_net double, auc_roc double, is_best boolean")
@@ -311,7 +330,11 @@ def train_multilabel(df: DataFrame, config: ModerationConfig = DEFAULTS,
     Class weights come from the whole table, fits from the training part. A
     label without positive rows is not fitted and says so in ``status``.
     """
-    counted = count_words(df, labels, config)
+    with count_words(df, labels, config) as counted:
+        return _fit_labels(df.sparkSession, counted, config, labels)
+
+
+def _fit_labels(spark, counted, config, labels) -> MultiLabelResult:
     balance = balance_of(counted.rows, labels)
     fitted = [x for x in labels if balance[f"weight_{x}"] is not None]
     idf = idf_stage(config.min_doc_freq).fit(counted.train)
@@ -333,7 +356,7 @@ def train_multilabel(df: DataFrame, config: ModerationConfig = DEFAULTS,
     for head in heads.values():
         scored = head.transform(scored)
     scored = lean(scored, fitted)
-    known = df.sparkSession.createDataFrame(
+    known = spark.createDataFrame(
         [(x, i, balance[f"n_pos_{x}"], balance[f"weight_{x}"],
           "trained" if x in fits else "no_positives", fits[x][1] if x in fits else None)
          for i, x in enumerate(labels)],

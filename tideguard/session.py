@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +57,21 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+@dataclass
+class Stored:
+    """An intermediate table in the shared folder."""
+
+    df: DataFrame
+    path: str
+
+    def discard(self) -> None:
+        """Remove the files, once nothing lazy reads them any more."""
+        spark = self.df.sparkSession
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def store(df: DataFrame, name: str) -> Stored:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with something that survives a lost executor, and, unlike
@@ -64,4 +79,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Stored(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``store`` for small tables that a lazy result goes on reading."""
+    return store(df, name).df
