@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideguard.llm import quality_classifier
+from tideguard.llm import quality_classifier, setsketch
 from tideguard.llm.common import table
 from tideguard.session import materialise
 
@@ -21,8 +21,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_classifier.accepted(docs, net, quality_classifier.THRESHOLD)
 
 
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: of each group of near-duplicates the document with the smallest id stays."""
+    gone = setsketch.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 STAGES = [
     ("quality_classifier", keep_good),
+    ("minhash_near_dedup", keep_one_of_each),
 ]
 
 #: Trained models and tokenizers have no SQL form; tests/llm compare run() with brute force.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tideguard.llm import quality_classifier
+from tideguard.llm import quality_classifier, setsketch
 
 QUERIES = {
     "op8_quality_classifier": quality_classifier.query,
+    "op10_minhash_near_dedup": setsketch.query,
 }
 
 ORACLES: dict[str, str] = {}
