@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideguard.llm import quality_classifier, setsketch
+from tideguard.llm import decontamination, quality_classifier, setsketch
 from tideguard.llm.common import table
 from tideguard.session import materialise
 
@@ -27,9 +27,15 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: documents that hold an item of the benchmark go."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
     ("quality_classifier", keep_good),
     ("minhash_near_dedup", keep_one_of_each),
+    ("benchmark_decontamination", without_benchmark),
 ]
 
 #: Trained models and tokenizers have no SQL form; tests/llm compare run() with brute force.

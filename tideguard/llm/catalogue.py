@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tideguard.llm import quality_classifier, setsketch
+from tideguard.llm import decontamination, quality_classifier, setsketch
 
 QUERIES = {
     "op8_quality_classifier": quality_classifier.query,
     "op10_minhash_near_dedup": setsketch.query,
+    "op7_benchmark_decontamination": decontamination.query,
 }
 
 ORACLES: dict[str, str] = {}
