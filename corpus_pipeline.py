@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideguard.llm import decontamination, quality_classifier, setsketch
+from tideguard.llm import decontamination, mixing, quality_classifier, setsketch
 from tideguard.llm.common import table
 from tideguard.session import materialise
 
@@ -32,10 +32,16 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: each document as often as the mix of the sources draws it."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
 STAGES = [
     ("quality_classifier", keep_good),
     ("minhash_near_dedup", keep_one_of_each),
     ("benchmark_decontamination", without_benchmark),
+    ("source_mixing", mixed),
 ]
 
 #: Trained models and tokenizers have no SQL form; tests/llm compare run() with brute force.

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tideguard.llm import decontamination, quality_classifier, setsketch
+from tideguard.llm import decontamination, mixing, quality_classifier, setsketch
 
 QUERIES = {
     "op8_quality_classifier": quality_classifier.query,
     "op10_minhash_near_dedup": setsketch.query,
     "op7_benchmark_decontamination": decontamination.query,
+    "op5_source_mixing": mixing.query,
 }
 
 ORACLES: dict[str, str] = {}
