@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideguard.llm import decontamination, mixing, quality_classifier, setsketch
+from tideguard.llm import decontamination, mixing, quality_classifier, setsketch, token_files
 from tideguard.llm.common import table
 from tideguard.session import materialise
 
@@ -37,11 +37,17 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select(*docs.columns)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: the ids of all documents, written to files and read back."""
+    return token_files.round_trip(docs)
+
+
 STAGES = [
     ("quality_classifier", keep_good),
     ("minhash_near_dedup", keep_one_of_each),
     ("benchmark_decontamination", without_benchmark),
     ("source_mixing", mixed),
+    ("token_files", tokens),
 ]
 
 #: Trained models and tokenizers have no SQL form; tests/llm compare run() with brute force.

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tideguard.llm import decontamination, mixing, quality_classifier, setsketch
+from tideguard.llm import decontamination, mixing, quality_classifier, setsketch, token_files
 
 QUERIES = {
     "op8_quality_classifier": quality_classifier.query,
     "op10_minhash_near_dedup": setsketch.query,
     "op7_benchmark_decontamination": decontamination.query,
     "op5_source_mixing": mixing.query,
+    "op6_token_files": token_files.query,
 }
 
 ORACLES: dict[str, str] = {}
