@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tideguard.llm import decontamination, mixing, quality_classifier, setsketch, token_files
+from tideguard.llm import decontamination, mixing, quality_classifier, quality_rules, setsketch, token_files
 
 QUERIES = {
+    "op1_quality_rules": quality_rules.query,
     "op8_quality_classifier": quality_classifier.query,
     "op10_minhash_near_dedup": setsketch.query,
     "op7_benchmark_decontamination": decontamination.query,
@@ -12,4 +13,6 @@ QUERIES = {
     "op6_token_files": token_files.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality_rules.ORACLE,
+}
