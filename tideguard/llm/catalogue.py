@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tideguard.llm import decontamination, mixing, personal_data, quality_classifier, quality_rules, setsketch, token_files, toxicity
+from tideguard.llm import decontamination, language_model, mixing, personal_data, quality_classifier, quality_rules, setsketch, token_files, toxicity
 
 QUERIES = {
+    "op4_lm_scoring": language_model.query,
     "op3_toxicity": toxicity.query,
     "op9_personal_data": personal_data.query,
     "op1_quality_rules": quality_rules.query,
