@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tideguard.llm import decontamination, language_model, mixing, personal_data, quality_classifier, quality_rules, setsketch, token_files, toxicity
+from tideguard.llm import decontamination, language_model, mixing, personal_data, quality_classifier, quality_rules, setsketch, substring_dedup, token_files, toxicity
 
 QUERIES = {
+    "op2_substring_dedup": substring_dedup.query,
     "op4_lm_scoring": language_model.query,
     "op3_toxicity": toxicity.query,
     "op9_personal_data": personal_data.query,
@@ -18,4 +19,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op2_substring_dedup": substring_dedup.ORACLE,
 }
