@@ -235,24 +235,23 @@ def repeats(documents: DataFrame, config: RepeatConfig = RepeatConfig(), key: st
     window = pa.struct([("anchor", pa.int64()), ("hash", pa.int64()), ("start", pa.int32()), ("open", pa.bool_())])
 
     def first_verdict(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = Texts(batch.column(4).to_pylist())
         sizes, removed, shas, bodies, sure_, windows = [], [], [], [], [], []
-        for i, (words, ranges) in enumerate(zip(texts.words, batch.column(3).to_pylist(), strict=True)):
-            ranges = ranges or []
+        for body, ranges in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            words, ranges = body.split(), ranges or []
             sure = sorted((r["start"], r["n"]) for r in ranges if r["sure"])
             asked = sorted((r["start"], r["n"], r["anchor"], r["sure"]) for r in ranges if r["gives"])
-            given = []
+            given, own = [], Texts([body]) if asked else None
             for a, n, anchor, known in asked:
-                at = texts.first[i] + np.arange(a, a + n)
+                at = np.arange(a, a + n)
                 given += [{"anchor": anchor, "hash": h, "start": s, "open": not known}
-                          for h, s in zip(texts.range_hash(at, at + size).view(np.int64).tolist(), range(a, a + n), strict=True)]
+                          for h, s in zip(own.range_hash(at, at + size).view(np.int64).tolist(), range(a, a + n), strict=True)]
             windows.append(given)
             sizes.append(len(words))
             if all(known for *_, known in asked):
                 gone, sha = remove(words, expand(sure), size)
                 removed.append(gone), shas.append(sha), bodies.append(None), sure_.append(None)
             else:
-                removed.append(None), shas.append(None), bodies.append(batch.column(4)[i].as_py())
+                removed.append(None), shas.append(None), bodies.append(body)
                 sure_.append([{"start": a, "n": n} for a, n in sure])
         return pa.RecordBatch.from_arrays(
             [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(shas, pa.string()),
