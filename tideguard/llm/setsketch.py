@@ -8,18 +8,20 @@ truncated minima. Sketches of two sets merge by a maximum. The steps:
 1. Sketch every document in one pass. Documents with the same set share a
    128-bit fingerprint; one of them (the smallest id) stands for all.
 2. Band the registers. Of the documents that share a band, all are paired with
-   the smallest id there (the centre): pairs grow with the number of documents,
-   not with the square of a group.
+   one of them (the centre, at first the smallest id): pairs grow with the number
+   of documents, not with the square of a group.
 3. A pair stays if its sizes allow the similarity and the joint likelihood
    estimate from both sketches does not rule it out (six standard errors away).
-4. Pairs are verified on the full sets: the text of the few documents in pairs
-   is set aside, then brought together pair by pair in a stream.
-5. Verified links are contracted to components. Where a band still holds
-   several components, members of different ones are paired as well (3. and 4.
-   apply), so that no link hides behind a centre.
-
-Chance of missing a pair at exactly the threshold 0.8 with 42 bands of 6:
-(1 - 0.8**6)**42 = 3e-6, and much less above it.
+4. Pairs are verified on the full sets: the text of the documents that can be in
+   pairs is set aside once, then brought together pair by pair in a stream.
+5. Verified links are contracted to components. Where a band still holds several
+   components, the next round takes another centre in each band, by a hash of id
+   and band, and pairs it with the members of other components (3. and 4. apply).
+
+Chance that two documents at exactly the threshold 0.8 share none of 48 bands of
+7: (1 - 0.8**7)**48 = 1e-5; they share ten on average. In a band of g documents
+a round compares them with chance 2/g, unless they are linked already; README
+has the share of links that this leaves out.
 """
 
 from __future__ import annotations
@@ -41,8 +43,9 @@ from tideguard.session import materialise, store
 class SketchConfig:
     shingle: int = 5       #: words of a shingle
     percent: int = 80      #: link if 100 * intersection >= percent * union
-    bands: int = 42
-    rows: int = 6          #: registers of a band
+    bands: int = 48
+    rows: int = 7          #: registers of a band
+    rounds: int = 4        #: centres that each band gets in turn
     base: float = 1.001    #: of the exponents
     rate: float = 20.0     #: of the exponential distribution
     limit: int = 65_534    #: largest exponent
@@ -269,29 +272,39 @@ def near_duplicates(documents: DataFrame, config: SketchConfig = SketchConfig(),
     classes = materialise(usable.groupBy("f1", "f2", F.col("n_shingles").alias("n"))
                           .agg(F.min("doc_id").alias("rep"), F.min("registers").alias("registers")), "classes")
     bands = banded(classes, config)
-    fits = (F.col("n") * config.percent <= F.col("n_c") * 100) & (F.col("n_c") * config.percent <= F.col("n") * 100)
-    centres = (bands.groupBy("band", "code").agg(F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("size"))
-               .where("size > 1").select("band", "code", F.col("c.rep").alias("a"), F.col("c.n").alias("n_c")))
-    # Members of a band with more than one class; stored, as both rounds read them.
-    shared = materialise(bands.join(centres, ["band", "code"]), "shared")
-    first = shared.where(F.col("a") != F.col("rep")).where(fits).select("a", F.col("rep").alias("b")).distinct()
-    first = materialise(likely(first, classes, config), "pairs")
-
-    ids = documents.select(F.col(key).cast("long").alias("rep"), raw(text).alias("body"))
-    links = materialise(verified(first, ids, config), "links")
-    components_of = components(links.select("a", "b"))
-    member = shared.join(components_of, "rep", "left").select(
-        "band", "code", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    mixed = (member.groupBy("band", "code").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo < hi").select("band", "code"))
-    rest = member.join(mixed, ["band", "code"])
-    other = rest.select("band", "code", F.col("rep").alias("b"), F.col("n").alias("n_c"), F.col("component").alias("other"))
-    second = (rest.join(other, ["band", "code"]).where("component < other").where(fits)
-              .select(F.col("rep").alias("a"), "b").distinct()
-              .join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    second = materialise(likely(second, classes, config), "pairs")
-    links = links.unionByName(materialise(verified(second, ids, config), "links"))
-    components_of = components(links.select("a", "b"))
+    size = bands.groupBy("band", "code").agg(F.count("*").alias("size")).where("size > 1")
+    # Members of bands with more than one class; stored, as every round reads them.
+    shared = materialise(bands.join(size, ["band", "code"]), "shared")
+    links = components_of = texts = tried = None
+    for k in range(config.rounds):
+        members = shared
+        if k == 0:
+            members = members.withColumn("component", F.col("rep"))
+        else:
+            members = (members.where("size > 2").join(components_of, "rep", "left")
+                       .withColumn("component", F.coalesce("component", "rep")))
+        turn = F.col("rep") if k == 0 else F.xxhash64("rep", "band", F.lit(k))
+        centres = (members.groupBy("band", "code")
+                   .agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                        F.min(F.struct(turn.alias("turn"), F.col("rep"), F.col("n"), F.col("component"))).alias("c"))
+                   .where("lo < hi").select("band", "code", "c"))
+        near = ((F.col("n") * config.percent <= F.col("c.n") * 100) & (F.col("c.n") * config.percent <= F.col("n") * 100)
+                & (F.col("component") != F.col("c.component")))
+        pairs = (members.join(centres, ["band", "code"]).where(near)
+                 .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct())
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "tried")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        pairs = materialise(likely(pairs, classes, config), "pairs")
+        if texts is None:
+            wanted = (pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+                      .unionByName(shared.where("size > 2").select("rep")).distinct())
+            texts = materialise(documents.select(F.col(key).cast("long").alias("rep"), raw(text).alias("body"))
+                                .join(wanted, "rep", "left_semi"), "texts")
+        good = materialise(verified(pairs, texts, config), "links")
+        links = good if links is None else links.unionByName(good)
+        components_of = components(links.select("a", "b"))
     degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
               .groupBy("rep").agg(F.count("*").alias("links")))
     of_class = (classes.select("f1", "f2", F.col("n").alias("n_shingles"), "rep")
