@@ -17,6 +17,7 @@ length of each document.
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -88,32 +89,69 @@ def unpack(payload: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)
 
 
+#: A run of letters, and a run of signs that the tokenizer cuts off it.
+PLAIN = re.compile(r"([^\W\d_]+)([.,!?*$#%&|;:]*)")
+
+
 class Encoder:
     """Texts to little-endian u32 ids, equal to the tokenizer's on the whole text.
 
     This tokenizer lower-cases, drops white space and never joins across it, so
-    the ids of a text are those of its words in turn, and the ids of a repeated
-    word are looked up. A text that could hold one of the tokenizer's special
-    strings is encoded whole.
+    the ids of a text are those of its words in turn; it cuts signs off letters,
+    so the ids of "word," are those of "word" and ",". The first ``cached``
+    distinct words are remembered. New words are encoded together: each piece
+    ends with a token that has the word-end mark, which gives the cuts. A text
+    that could hold one of the tokenizer's special strings is encoded whole.
     """
 
     def __init__(self, path: str, cached: int):
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def pieces(self, parts: list[str]) -> list[bytes]:
+        """Ids of strings that are one piece each to the tokenizer."""
+        out = []
+        for a in range(0, len(parts), 4096):
+            some = parts[a: a + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):  # some letter falls apart in lower case
+                out += self.ids(some)
+                continue
+            blob, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+            out += [blob[x:y] for x, y in zip(at, at[1:], strict=False)]
+        return out
+
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        texts = [w.decode() for w in words]
+        found = [PLAIN.fullmatch(t) for t in texts]
+        parts = sorted({p for m in found if m for p in m.groups() if p})
+        of = dict(zip(parts, self.pieces(parts), strict=True))
+        of[""] = b""
+        rest = self.ids([t for t, m in zip(texts, found, strict=True) if not m])
+        rest.reverse()
+        return [of[m[1]] + of[m[2]] if m else rest.pop() for m in found]
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         plain = [None if b"<|" in t else t.lower().split() for t in texts]
-        new = set()
+        seen = set()
         for words in plain:
-            new.update(words or ())
-        if len(self.known) + len(new) > self.cached:
-            self.known = {}
-        new = [w for w in new if w not in self.known]
-        self.known.update(zip(new, self.ids([w.decode() for w in new]), strict=True))
-        get = self.known.__getitem__
+            seen.update(words or ())
+        new = [w for w in seen if w not in self.known]
+        fresh = dict(zip(new, self.words(new), strict=True))
+        if len(self.known) + len(fresh) <= self.cached:
+            self.known.update(fresh)
+            get = self.known.__getitem__
+        else:
+            known = self.known
+            get = lambda w: known[w] if w in known else fresh[w]
         return [self.ids([t.decode()])[0] if words is None else b"".join(map(get, words))
                 for t, words in zip(texts, plain, strict=True)]
 
