@@ -145,15 +145,14 @@ class Encoder:
         for words in plain:
             seen.update(words or ())
         new = [w for w in seen if w not in self.known]
-        fresh = dict(zip(new, self.words(new), strict=True))
-        if len(self.known) + len(fresh) <= self.cached:
-            self.known.update(fresh)
-            get = self.known.__getitem__
-        else:
-            known = self.known
-            get = lambda w: known[w] if w in known else fresh[w]
-        return [self.ids([t.decode()])[0] if words is None else b"".join(map(get, words))
-                for t, words in zip(texts, plain, strict=True)]
+        self.known.update(zip(new, self.words(new), strict=True))
+        get = self.known.__getitem__
+        out = [self.ids([t.decode()])[0] if words is None else b"".join(map(get, words))
+               for t, words in zip(texts, plain, strict=True)]
+        if len(self.known) > self.cached:
+            for w in new:
+                del self.known[w]
+        return out
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}  # one per worker process
