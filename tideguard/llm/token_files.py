@@ -17,6 +17,7 @@ length of each document.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -34,6 +35,9 @@ from tokenizers import Tokenizer
 from tideguard.llm.common import map_slices, pieces, raw, table
 from tideguard.session import fresh_path
 
+# A task has one core; threads of the tokenizer would only hold memory of their own.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 MAGIC, VERSION = b"TGPL", 1
 HEAD = struct.Struct("<4sBBBBII")
 
@@ -46,7 +50,7 @@ class FileConfig:
     chunk: int = 1 << 18         #: ids after which a chunk ends with its document
     plane_bits: int = 8          #: 8: byte planes, 1: bit planes
     level: int = 3               #: of zstandard
-    words_cached: int = 400_000  #: distinct words whose ids a worker remembers
+    words_cached: int = 250_000  #: distinct words whose ids a worker remembers
 
 
 def pack(ids: np.ndarray, config: FileConfig = FileConfig()) -> bytes:
