@@ -110,9 +110,13 @@ def text_rules(text: str = "text", is_measured: bool = False) -> list[Rule]:
 
 
 def sample_of(documents: DataFrame, rows: int, key: str) -> DataFrame:
-    """At most ``rows`` rows, by a hash of the key: the same on every layout."""
-    order = [F.xxhash64(key), F.col(key)]
-    return documents.orderBy(*order).limit(rows)
+    """At most ``rows`` rows: those with the smallest hashes of the key.
+
+    Only the hashes are put in order, the texts are not moved.
+    """
+    h = F.xxhash64(key)
+    least = documents.select(h.alias("h")).orderBy("h").limit(rows).collect()
+    return documents.where(h <= least[-1]["h"] if least else F.lit(False)).limit(rows)
 
 
 def order(documents: DataFrame, rules: list[Rule], rows: int = SAMPLE, key: str = "doc_id") -> list[tuple[Rule, float, float]]:
