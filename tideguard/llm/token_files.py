@@ -133,15 +133,24 @@ class Encoder:
         return out
 
     def words(self, words: list[bytes]) -> list[bytes]:
-        """Ids of distinct words."""
-        texts = [w.decode() for w in words]
-        found = [PLAIN.fullmatch(t) for t in texts]
-        parts = sorted({p for m in found if m for p in m.groups() if p})
-        of = dict(zip(parts, self.pieces(parts), strict=True))
-        of[""] = b""
-        rest = self.ids([t for t, m in zip(texts, found, strict=True) if not m])
-        rest.reverse()
-        return [of[m[1]] + of[m[2]] if m else rest.pop() for m in found]
+        """Ids of distinct words that are not known."""
+        known, new, cut, rest = self.known, set(), [], []
+        for w in words:
+            m = PLAIN.fullmatch(w.decode())
+            n = len(w) - len(m[2]) if m else 0  # the signs are one byte each
+            cut.append(n)
+            if not n:
+                rest.append(w.decode())
+            else:
+                if w[:n] not in known:
+                    new.add(w[:n])
+                if n < len(w) and w[n:] not in known:
+                    new.add(w[n:])
+        parts = list(new)
+        of = dict(zip(parts, self.pieces([p.decode() for p in parts]), strict=True))
+        whole = iter(self.ids(rest))
+        find = lambda p: of[p] if p in of else known[p]
+        return [next(whole) if not n else find(w) if n == len(w) else find(w[:n]) + find(w[n:]) for w, n in zip(words, cut, strict=True)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         plain = [None if b"<|" in t else t.lower().split() for t in texts]
