@@ -135,6 +135,20 @@ def test_auc_with_one_score_for_a_third_of_the_rows(spark):
         assert abs(got - want) < 1e-12
 
 
-def test_small_text_tables_are_spread(spark, sf):
-    df = readers.read_parallel(spark, f"{sf}/documents.parquet", "doc_id")
-    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_text_tables_are_spread_only_on_demand(spark, sf):
+    path = f"{sf}/documents.parquet"
+    assert "Exchange" not in plan_of(readers.read_parallel(spark, path, "doc_id"))
+    assert readers.read_parallel(spark, path, "doc_id", tasks=5).rdd.getNumPartitions() == 5
+
+
+@pytest.mark.parametrize("name", ["tfidf_exact", "linear_score_tokens"])
+def test_plans_do_not_depend_on_the_number_of_files(spark, sf, tmp_path, name):
+    exchanges = []
+    for files in (1, 40):
+        folder = tmp_path / str(files)
+        for table in ("documents", "labels"):
+            df = spark.read.parquet(f"{sf}/{table}.parquet")
+            df.repartition(files).write.parquet(str(folder / f"{table}.parquet"))
+        text = plan_of(catalogue.QUERIES[name](spark, str(folder)))
+        exchanges.append([text.count("Exchange hashpartitioning"), text.count("BroadcastExchange"), text.count("SortMergeJoin")])
+    assert exchanges[0] == exchanges[1]

@@ -121,3 +121,28 @@ def test_pipeline_from_csv_to_reports(spark, sf, tmp_path):
     assert buckets.agg(F.sum("comment_count")).first()[0] == n
     assert spark.read.parquet(f"{base}/users/user_stats").agg(
         F.sum("total_comments")).first()[0] == n
+
+
+def test_volume_buckets_follow_the_rows_end_to_end(spark, tmp_path):
+    """Flags at the end of the input are in the last buckets of the report, whatever the ids are."""
+    from tideguard.config import LABELS
+    from tideguard.functions.scoring import apply_thresholds
+    from tideguard.operators import reports
+    from tideguard.plans import moderation
+    from tideguard.sources import readers
+
+    class Model:
+        def score(self, df, keep):
+            late = F.col("row_order") >= 950
+            scored = df.withColumn("clean_text", F.col("comment_text"))
+            return scored.select(*keep, *[F.when(late, 0.99).otherwise(0.01).alias(f"prob_{x}") for x in LABELS])
+
+    comments = spark.range(1000).coalesce(1).select(F.concat(F.lit("c"), "id").alias("comment_text"))
+    for name, df in (("text", comments), ("number", comments.withColumn("id", F.substring("comment_text", 2, 9).cast("long")))):
+        out = str(tmp_path / name)
+        moderation.predict(df, Model(), out)
+        flags = apply_thresholds(readers.load_predictions(spark, out))
+        found = [r["flagged_count"] for r in reports.volume_buckets(flags, order="row_order").orderBy("bucket_index").collect()]
+        assert sum(found) == 50 and sum(found[:-1]) == 0
+        with pytest.raises(TypeError):
+            reports.volume_buckets(flags)

@@ -97,3 +97,23 @@ def test_lexicon_looks_at_whole_uncleaned_words(spark):
     texts = ["what an ASSHOLE!", "class assignment", "http://moron", "a moron.", ""]
     got = frame(spark, texts).select("id", lexicon_hit(F.col("t"))).collect()
     assert [hit for _, hit in sorted(got)] == [True, False, True, True, False]
+
+
+def test_words_and_blanks_of_all_scripts(spark):
+    from tideguard.operators import filters
+    df = spark.createDataFrame([(1, "dické"), (2, "a dick!"), (3, "   "), (4, " x")], "id int, text string")
+    hits = df.select("id", filters.lexicon_hit(F.col("text"), ["dick"]).alias("hit")).collect()
+    assert {r["id"] for r in hits if r["hit"]} == {2}
+    lexicon = spark.createDataFrame([("dick",)], "word string")
+    assert {r["id"] for r in filters.lexicon_matches(df, lexicon, "id", "text").collect()} == {2}
+    checked = filters.validate_comments(df, "text").collect()
+    assert {r["id"] for r in checked if not r["accepted"]} == {3}
+
+
+def test_samples_of_text_ids(spark):
+    from tideguard.functions.hashing import stable_row_id
+    from tideguard.operators import sampling
+    df = spark.range(500).select(stable_row_id(F.col("id")).alias("id"))
+    assert 80 < sampling.hash_sample(df, 0.25).count() < 170
+    train, test = sampling.train_test(df)
+    assert train.count() + test.count() == 500 and 350 < train.count() < 450

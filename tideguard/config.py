@@ -79,6 +79,7 @@ class ModerationConfig:
     elastic_net: float = 0.5
     max_iter: int = 20
     fit_parallelism: int = 2
+    fit_tasks: int | None = None  #: partitions of a training table; None: as it was stored
     max_strikes: int = MAX_STRIKES
     mute_minutes: int = MUTE_MINUTES
 

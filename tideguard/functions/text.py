@@ -28,6 +28,9 @@ what's when's where's who's why's would
 # What whitespace means to a regular expression, for trims.
 BLANKS = " \t\n\u000b\f\r"
 
+# Other white space of Unicode, separators of files and records included.
+WIDE_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in BLANKS)
+
 LINK = r"http\S+"
 # What is no letter, blanks included: a run of it becomes one space.
 NOT_LETTERS = r"[^a-z]+"
@@ -49,7 +52,8 @@ def has_letters(text: Column) -> Column:
 
 
 def strip_blanks(text: Column) -> Column:
-    return F.btrim(text, F.lit(BLANKS))
+    """Without the blanks of any script at both ends."""
+    return F.btrim(text, F.lit(BLANKS + WIDE_BLANKS))
 
 
 def tokenize_whitespace(text: Column) -> Column:
@@ -93,5 +97,8 @@ def model_tokens(text: Column) -> Column:
 
 
 def raw_words(text: Column) -> Column:
-    """Distinct lower-case words of the uncleaned text, for lexicon look-ups."""
-    return F.array_distinct(tokenize_regex(text))
+    """Distinct lower-case words of the uncleaned text, for lexicon look-ups.
+
+    Letters of all scripts belong to words: "dické" does not hold "dick".
+    """
+    return F.array_distinct(F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda t: t != ""))

@@ -49,7 +49,7 @@ def admit_messages(df: DataFrame, column: str = "text") -> DataFrame:
 def lexicon_hit(text: Column, lexicon: Sequence[str] = DEFAULT_LEXICON) -> Column:
     """Does any word of the uncleaned text stand in a word list that fits a plan?"""
     words = list(lexicon)
-    return F.exists(F.split(F.lower(text), r"\W+"), lambda w: w.isin(words))
+    return F.exists(F.split(F.lower(text), r"(?U)\W+"), lambda w: w.isin(words))
 
 
 def lexicon_matches(df: DataFrame, lexicon: DataFrame, key: str, text: str,

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this on the many-side is joined apart ...
 HOT_KEY_ROWS = 1_000_000
-# ... but never more keys than this, however large the table.
+# ... as long as it is among so many keys with the most rows. A key beyond these
+# holds less than a 100,000th of all rows and is joined like any other.
 MAX_HOT_KEYS = 100_000
 
 
@@ -29,18 +30,16 @@ def lookup_even(facts: DataFrame, lookup: DataFrame, key: str, rows: str,
                 spread: str, how: str = "inner", hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Join ``facts`` to ``lookup`` (unique on ``key``) without a hot partition.
 
-    ``lookup[rows]`` says how many fact rows a key has. A key is hot above
-    ``hot_rows`` rows and above a ``MAX_HOT_KEYS``-th of all rows, so the list
-    of hot keys is of bounded length and can be broadcast. Fact rows with a hot
+    ``lookup[rows]`` says how many fact rows a key has. Hot are the keys with
+    more than ``hot_rows`` rows, at most the first ``MAX_HOT_KEYS`` of them, so
+    the list of hot keys is of bounded length and can be broadcast. Fact rows with a hot
     key take their values from it and are then spread over the shuffle by
     ``spread`` instead of piling up under the one key; so are rows whose key is
     NULL. ``how``: "inner" or "left".
     """
     values = [c for c in lookup.columns if c != key]
-    all_rows = lookup.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("n")).scalar()
-    many = F.greatest(F.lit(hot_rows).cast("double"), all_rows / MAX_HOT_KEYS)
-    hot = lookup.filter(F.col(rows) > many).select(
-        F.col(key).alias("__hot_key"), F.struct(*values).alias("__hot"))
+    hot = (lookup.filter(F.col(rows) > hot_rows).orderBy(F.col(rows).desc(), key).limit(MAX_HOT_KEYS)
+           .select(F.col(key).alias("__hot_key"), F.struct(*values).alias("__hot")))
     marked = facts.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left")
     settled = F.col("__hot_key").isNotNull() | F.col(key).isNull()
     # Settled rows match nothing further: a NULL key, and a spread that differs.
@@ -48,8 +47,8 @@ def lookup_even(facts: DataFrame, lookup: DataFrame, key: str, rows: str,
         "__join_key": F.when(~settled, F.col(key)),
         "__spread": F.when(settled, F.xxhash64(F.col(spread)))
         .otherwise(F.lit(0).cast("bigint"))})
-    cold = lookup.filter(F.col(rows) <= many).select(
-        F.col(key).alias("__cold_key"), F.struct(*values).alias("__cold"))
+    # Hot keys may stand here too: their rows are settled and find nothing.
+    cold = lookup.select(F.col(key).alias("__cold_key"), F.struct(*values).alias("__cold"))
     joined = marked.join(
         cold.withColumn("__zero", F.lit(0).cast("bigint")),
         F.expr("__join_key = __cold_key AND __spread = __zero"), "left")

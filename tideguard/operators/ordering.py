@@ -13,17 +13,19 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# A cell has about so many rows, however many rows there are.
 _CELL_ROWS = 10_000
-_FEWEST, _MOST = 64, 20_000
+_FEWEST = 64
 
 
 def cell_edges(df: DataFrame, column: str, cells: int | None = None) -> list[float]:
-    """Increasing cell edges for a numeric column: at most 20,000 doubles.
+    """Increasing cell edges for a numeric column.
 
-    The number of cells follows the number of rows, which costs a count.
+    The number of cells follows the number of rows, which costs a count; the
+    driver holds one double per 10,000 rows (``cells`` sets another number).
     """
     if cells is None:
-        cells = min(max(df.count() // _CELL_ROWS, _FEWEST), _MOST)
+        cells = max(df.count() // _CELL_ROWS, _FEWEST)
     if cells < 2:
         return []
     cuts = df.select(F.col(column).cast("double").alias("v")).approxQuantile(

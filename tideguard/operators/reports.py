@@ -201,8 +201,9 @@ def volume_buckets(flags: DataFrame, config: ModerationConfig = DEFAULTS,
                    order: str = "id", cells: int | None = None) -> DataFrame:
     """Comments and flags in ``volume_buckets`` equal slices of the row order.
 
-    Ids that are not numbers say nothing about time; their hash orders them.
+    ``order`` must be a number: text ids have no order that says anything about
+    time. Predictions of ``moderation.predict`` carry ``row_order`` for it.
     """
     if not isinstance(flags.schema[order].dataType, T.NumericType):
-        flags = flags.withColumn(order, F.xxhash64(order))
+        raise TypeError(f"{order} has no order of rows; name a numeric column")
     return ntile_totals(flags, order, "any_flagged", config.volume_buckets, cells)

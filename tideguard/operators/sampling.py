@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideguard.config import LABELS
-from tideguard.functions.hashing import bucket
+from tideguard.functions.hashing import bucket, whole_number
 from tideguard.operators.reports import _total
 
 _PARTS = 10_000
@@ -15,7 +15,8 @@ _PERCENT = 100
 
 def hash_sample(df: DataFrame, fraction: float, key: str = "id") -> DataFrame:
     """A repeatable share of the rows; a smaller sample lies inside a larger one."""
-    return df.filter(bucket(F.col(key), _PARTS) < int(round(fraction * _PARTS)))
+    number = whole_number(F.col(key), df.schema[key].dataType)
+    return df.filter(bucket(number, _PARTS) < int(round(fraction * _PARTS)))
 
 
 def in_train(key: Column, share: float = 0.8) -> Column:
@@ -23,7 +24,7 @@ def in_train(key: Column, share: float = 0.8) -> Column:
 
 
 def train_test(df: DataFrame, share: float = 0.8, key: str = "id") -> tuple[DataFrame, DataFrame]:
-    train = in_train(F.col(key), share)
+    train = in_train(whole_number(F.col(key), df.schema[key].dataType), share)
     return df.filter(train), df.filter(~train)
 
 

@@ -64,14 +64,10 @@ def text_stages(config: ModerationConfig = DEFAULTS, by_whitespace: bool = False
                                      numFeatures=config.num_features)]
 
 
-# Rows a task should at least have in each of the many passes of a fit.
-ROWS_PER_TASK = 5_000
-
-
-def packed(rows: DataFrame) -> DataFrame:
-    """Fewer, fuller partitions for a small table: a fit runs dozens of jobs over
-    it. On a table with enough rows for all its partitions nothing changes."""
-    return rows.coalesce(max(1, rows.count() // ROWS_PER_TASK))
+def packed(rows: DataFrame, config: ModerationConfig) -> DataFrame:
+    """``fit_tasks`` partitions if the caller asks for them: a fit runs dozens of
+    jobs over its table, which a small table is best given few tasks for."""
+    return rows.coalesce(config.fit_tasks) if config.fit_tasks else rows
 
 
 def idf_stage(min_doc_freq: int) -> IDF:
@@ -175,7 +171,7 @@ def metrics_of(predictions: DataFrame, labels: Sequence[str]) -> DataFrame:
 def _train(counted: Counted, label: str, head, min_doc_freq: int,
            idf_rows: DataFrame | None = None, fit_rows: DataFrame | None = None) -> Trained:
     idf = idf_stage(min_doc_freq).fit(idf_rows if idf_rows is not None else counted.train)
-    rows = packed(fit_rows if fit_rows is not None else counted.train)
+    rows = packed(fit_rows if fit_rows is not None else counted.train, config)
     model = head.fit(idf.transform(rows).drop("raw_features"))
     scored = lean(model.transform(idf.transform(counted.test)), [label])
     return Trained(PipelineModel([*counted.stages.stages, idf, model]),
@@ -227,7 +223,7 @@ def train_final(df: DataFrame, label: str = "toxic",
     with count_words(df, [label], config) as counted:
         ratio = _ratio(balance_of(counted.rows, [label]), label)
         idf = idf_stage(config.min_doc_freq).fit(counted.rows)
-        rows = idf.transform(packed(counted.rows.withColumn("weight", _weight(label, ratio))))
+        rows = idf.transform(packed(counted.rows.withColumn("weight", _weight(label, ratio)), config))
         model = logistic(label, config.max_iter, config.reg_param, config.elastic_net,
                          "weight").fit(rows.drop("raw_features"))
         scored = lean(model.transform(rows), [label])
@@ -256,7 +252,7 @@ def cv_grid(df: DataFrame, label: str = "toxic", config: ModerationConfig = DEFA
 
 def _search(spark, counted, label, config, reg_grid, net_grid, folds) -> GridResult:
     ratio = _ratio(balance_of(counted.train, [label]), label)
-    train = packed(counted.train.withColumn("weight", _weight(label, ratio)))
+    train = packed(counted.train.withColumn("weight", _weight(label, ratio)), config)
     head = logistic(label, config.max_iter, weight="weight")
     settings = (ParamGridBuilder().addGrid(head.regParam, list(reg_grid))
                 .addGrid(head.elasticNetParam, list(net_grid)).build())
@@ -338,7 +334,7 @@ def _fit_labels(spark, counted, config, labels) -> MultiLabelResult:
     balance = balance_of(counted.rows, labels)
     fitted = [x for x in labels if balance[f"weight_{x}"] is not None]
     idf = idf_stage(config.min_doc_freq).fit(counted.train)
-    train = idf.transform(packed(counted.train)).drop("raw_features")
+    train = idf.transform(packed(counted.train, config)).drop("raw_features")
 
     def fit(label):
         start = time.monotonic()

@@ -10,6 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideguard.config import DEFAULTS, LABELS, ModerationConfig
 from tideguard.functions.hashing import stable_row_id
@@ -52,13 +53,21 @@ def with_id(comments: DataFrame) -> DataFrame:
 
 def predict(comments: DataFrame, model: training.MultiLabelModel, out: str) -> None:
     """Score every comment with text, in one pass from scan to write."""
-    keep = ["id", "clean_text", *[c for c in (*LABELS, "user_id") if c in comments.columns]]
-    text = with_id(comments).filter(F.col("comment_text").isNotNull())
+    keep = ["id", "row_order", "clean_text", *[c for c in (*LABELS, "user_id") if c in comments.columns]]
+    text = with_id(in_row_order(comments)).filter(F.col("comment_text").isNotNull())
     # The text that is stored is the one the model's first stage has cleaned.
     scored = model.score(text, keep).withColumnRenamed("clean_text", "comment_text")
     writers.write_table(scored.withColumn("id", F.col("id").cast("string")), out)
 
 
+def in_row_order(comments: DataFrame) -> DataFrame:
+    """Adds ``row_order``: a numeric id, or else the place of the row in the input."""
+    if "row_order" in comments.columns:
+        return comments
+    numeric = "id" in comments.columns and isinstance(comments.schema["id"].dataType, T.NumericType)
+    return comments.withColumn("row_order", F.col("id") if numeric else F.monotonically_increasing_id())
+
+
 def aggregate_users(spark: SparkSession, predictions: str, out: str) -> None:
     """User statistics from hard predictions, and the risky users among them."""
     df = readers.load_predictions(spark, predictions)
@@ -77,7 +86,7 @@ def report(spark: SparkSession, predictions: str, out: str, run_date: str,
         "category_breakdown": (lambda: reports.category_breakdown(flags), True),
         "flagged_comments": (lambda: reports.flagged_comments(flags, run_date), False),
         "high_risk_users": (lambda: reports.high_risk_users(flags, run_date, config), False),
-        "volume_buckets": (lambda: reports.volume_buckets(flags, config), True),
+        "volume_buckets": (lambda: reports.volume_buckets(flags, config, "row_order"), True),
     }
 
     def write(name):

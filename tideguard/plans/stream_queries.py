@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideguard.config import LABELS, THRESHOLDS
+from tideguard.config import DEFAULT_LEXICON, LABELS, LEXICON_LABELS, LEXICON_MARK, THRESHOLDS
 from tideguard.functions.text import model_tokens
 from tideguard.operators import features, scoring, strikes
 from tideguard.operators.responses import flatten_response
 from tideguard.plans import sql_parts as sql
 from tideguard.plans.fixtures import table
 from tideguard.plans.text_queries import _term_weight
-from tideguard.session import fresh_path
+from tideguard.session import fresh_path, materialise
 from tideguard.streaming import scoring as stream_scoring
 from tideguard.streaming.strikes import stream_strikes as strike_stream
 
@@ -81,7 +81,8 @@ def stream_score(spark, sf_dir):
 
     vocabulary = features.document_frequency(table(spark, sf_dir, "documents").select(
         model_tokens(F.col("text")).alias("tokens")))
-    weights = vocabulary.withColumns({f"w_{x}": _term_weight(k) for k, x in enumerate(LABELS)})
+    # Written once, before the stream starts: every micro-batch reads the table.
+    weights = materialise(vocabulary.withColumns({f"w_{x}": _term_weight(k) for k, x in enumerate(LABELS)}), "stream-weights")
 
     def scorer(comments):
         counts = features.term_counts(
@@ -93,7 +94,7 @@ def stream_score(spark, sf_dir):
     stream_scoring.score_stream(turns.unionByName(documents), scorer, out,
                                 f"{out}/checkpoint").awaitTermination()
     scored = flatten_response(stream_scoring.answers(spark, out)).select(
-        "id", "is_toxic", "flagged_categories", "label", "probability", "flagged",
+        "id", "is_toxic", "flagged_categories", "label", "probability", "flagged", "flagged_by",
         F.lit(None).cast("string").alias("reason"))
     return scored.unionByName(stream_scoring.rejected(spark, out), allowMissingColumns=True)
 
@@ -149,8 +150,14 @@ Z AS (SELECT id, """ + ", ".join(
 Q AS (SELECT A.id, """ + sql.each_label(
     "1.0 / (1.0 + exp(-coalesce(z_{L}, 0.0::DOUBLE))) AS prob_{L}") + """
   FROM A LEFT JOIN Z ON A.id = Z.id),
-G AS (SELECT *, """ + ", ".join(f"prob_{x} >= {t} AS flag_{x}" for x, t in THRESHOLDS.items()) \
-    + " FROM Q)\n"
+H AS (SELECT DISTINCT id FROM (SELECT id,
+  unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}_]+')) AS word FROM K)
+  WHERE word IN (""" + ", ".join(f"'{w}'" for w in DEFAULT_LEXICON) + """)),
+G AS (SELECT *, """ + ", ".join(
+        (f"(prob_{x} >= {t} OR id IN (SELECT id FROM H)) AS flag_{x}, CASE WHEN prob_{x} < {t} "
+         f"AND id IN (SELECT id FROM H) THEN '{LEXICON_MARK}' END AS by_{x}") if x in LEXICON_LABELS
+        else f"prob_{x} >= {t} AS flag_{x}, CAST(NULL AS VARCHAR) AS by_{x}"
+        for x, t in THRESHOLDS.items()) + " FROM Q)\n"
 
 ORACLES = {
     "batch_strikes": _machine(False) + _SHOWN,
@@ -171,6 +178,6 @@ SELECT user_id, strikes, status, CASE WHEN status = 'warned' THEN 3 - strikes EN
         "id, CAST(NULL AS VARCHAR) AS reason, concat_ws(',', " + sql.each_label(
             "CASE WHEN flag_{L} THEN '{L}' END")+ """)
   AS flagged_categories, (""" + " OR ".join(f"flag_{x}" for x in LABELS) + """) AS is_toxic,
-  round(prob_{L} * 100, 2) AS probability, flag_{L} AS flagged""", "G") + """
-UNION ALL SELECT NULL, id, reason, NULL, NULL, NULL, NULL FROM K WHERE reason IS NOT NULL""",
+  round(prob_{L} * 100, 2) AS probability, flag_{L} AS flagged, by_{L} AS flagged_by""", "G") + """
+UNION ALL SELECT NULL, id, reason, NULL, NULL, NULL, NULL, NULL FROM K WHERE reason IS NOT NULL""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideguard.config import LABELS, THRESHOLDS
+from tideguard.config import DEFAULT_LEXICON, LABELS, THRESHOLDS
 from tideguard.functions.hashing import stable_row_id
 from tideguard.functions.labels import (
     CLASS_CODE_LABELS, labels_from_class, labels_from_grades,
@@ -23,21 +23,21 @@ from tideguard.session import fresh_path
 from tideguard.sources import readers, writers
 
 # Fixed values of the fixtures below.
-LEXICON_MIN_CHARS = 14
 SAMPLE_SHARE = 0.25
 
 
 def _sparse_text(spark, sf_dir):
-    """Documents whose text is NULL where they have no label."""
-    return labelled_documents(spark, sf_dir).select("id", F.when(
-        F.col("quality").isNotNull(), F.col("comment_text")).alias("comment_text"))
+    """All documents, and beside them a row without text for each one without a label."""
+    docs = labelled_documents(spark, sf_dir)
+    return docs.select("id", "comment_text").unionByName(docs.filter("quality IS NULL").select(
+        (-1 - F.col("id")).alias("id"), F.lit(None).cast("string").alias("comment_text")))
 
 
 def _digits_text(spark, sf_dir):
-    """Documents whose text is a bare number where they have no label."""
-    return labelled_documents(spark, sf_dir).select("id", F.when(
-        F.col("quality").isNotNull(), F.col("comment_text")).otherwise(
-            F.col("n_chars").cast("string")).alias("comment_text"))
+    """All documents, and beside them a bare number for each one without a label."""
+    docs = labelled_documents(spark, sf_dir)
+    return docs.select("id", "comment_text").unionByName(docs.filter("quality IS NULL").select(
+        (-1 - F.col("id")).alias("id"), F.col("n_chars").cast("string").alias("comment_text")))
 
 
 def _documents(spark, sf_dir):
@@ -228,17 +228,19 @@ def drop_empty_clean(spark, sf_dir):
 
 
 def _messages(spark, sf_dir):
-    """Conversation turns and documents as messages; system turns are commands,
-    documents without a label have no or blank text."""
+    """Conversation turns and documents as messages; system turns are commands.
+    Beside them stand messages without text, or of blanks, one for each document
+    without a label."""
     turns = table(spark, sf_dir, "conversations").select(
         F.concat_ws(":", F.lit("turn"), "conv_id", "turn").alias("id"),
         F.when(F.col("role") == "system", F.concat(F.lit("/"), "text"))
         .otherwise(F.col("text")).alias("text"))
-    docs = labelled_documents(spark, sf_dir).select(
-        F.concat_ws(":", F.lit("doc"), "id").alias("id"),
-        F.when(F.col("quality").isNotNull(), F.col("comment_text"))
-        .when(F.col("lang") == "en", F.lit(" \n\t ")).alias("text"))
-    return turns.unionByName(docs)
+    docs = labelled_documents(spark, sf_dir)
+    whole = docs.select(F.concat_ws(":", F.lit("doc"), "id").alias("id"), F.col("comment_text").alias("text"))
+    blank = docs.filter("quality IS NULL").select(
+        F.concat_ws(":", F.lit("blank"), "id").alias("id"),
+        F.when(F.col("lang") == "en", F.lit(" \n\t ")).alias("text"))
+    return turns.unionByName(whole).unionByName(blank)
 
 
 def validate_comments(spark, sf_dir):
@@ -257,10 +259,10 @@ def _scored_documents(spark, sf_dir):
 
 
 def lexicon_override(spark, sf_dir):
-    """The lexicon is a table: the longest words of the benchmark passages."""
+    """The lexicon is a table: all words of the benchmark passages."""
     words = one_row_each(table(spark, sf_dir, "benchmark"), "word",
                          tokenize_regex(clean_text(F.col("text"))))
-    lexicon = words.filter(F.length("word") >= LEXICON_MIN_CHARS)
+    lexicon = words.filter(F.length("word") > 0)
     scored = _scored_documents(spark, sf_dir)
     hits = filters.lexicon_matches(scored, lexicon, "id", "comment_text").withColumn(
         "hit", F.lit(True))
@@ -270,6 +272,13 @@ def lexicon_override(spark, sf_dir):
         *[f"flagged_by_{x}" for x in LABELS[:3]], "prob1_toxic")
 
 
+def lexicon_default(spark, sf_dir):
+    """The built-in list: a model flag or a listed word flags a comment."""
+    flags = apply_thresholds(_scored_documents(spark, sf_dir))
+    return filters.override_by_lexicon(flags, filters.lexicon_hit(F.col("comment_text"))).select(
+        "id", *[f"flag_{x}" for x in LABELS], "flagged_by_toxic")
+
+
 # --- samples, splits, weights -----------------------------------------------
 
 def stable_row_id_query(spark, sf_dir):
@@ -379,6 +388,7 @@ QUERIES = {
     "validate_comments": validate_comments,
     "admit_messages": admit_messages,
     "lexicon_override": lexicon_override,
+    "lexicon_default": lexicon_default,
     "stable_row_id": stable_row_id_query,
     "hash_sample": hash_sample,
     "train_test_split": train_test_split,
@@ -431,8 +441,9 @@ I AS (SELECT term, df, CASE WHEN df >= 5 THEN
 _MESSAGES = sql.DOCUMENTS + """,
 M AS (SELECT 'turn:' || conv_id || ':' || turn AS id,
   CASE WHEN role = 'system' THEN '/' || text ELSE text END AS text FROM conversations
-UNION ALL SELECT 'doc:' || id, CASE WHEN quality IS NOT NULL THEN comment_text
-  WHEN lang = 'en' THEN E' \\n\\t ' END FROM D)
+UNION ALL SELECT 'doc:' || id, comment_text FROM D
+UNION ALL SELECT 'blank:' || id, CASE WHEN lang = 'en' THEN E' \\n\\t ' END FROM D
+  WHERE quality IS NULL)
 """
 _STRIPPED = r"trim(text, E' \t\n\x0b\f\r')"
 _SPLIT_TEXT = "array_to_string(regexp_split_to_array(comment_text, '\\s+'), ' ')"
@@ -531,10 +542,10 @@ FROM T""",
     "stopword_anti_join": "WITH W AS (SELECT unnest(" + sql.words(sql.clean("text"))
     + f""") AS word FROM documents)
 SELECT word, count(*) AS n FROM W WHERE word NOT IN {sql.STOP_LIST} GROUP BY word""",
-    "drop_null_text": _D + "SELECT id, comment_text FROM D WHERE quality IS NOT NULL",
-    "drop_empty_clean": _D + f""", E AS (SELECT id, {sql.clean(
-        "CASE WHEN quality IS NOT NULL THEN comment_text ELSE CAST(n_chars AS VARCHAR) END")}
-  AS comment_text FROM D) SELECT * FROM E WHERE comment_text <> ''""",
+    "drop_null_text": _D + "SELECT id, comment_text FROM D",
+    "drop_empty_clean": _D + f""", X AS (SELECT id, comment_text FROM D
+  UNION ALL SELECT -1 - id, CAST(n_chars AS VARCHAR) FROM D WHERE quality IS NULL),
+E AS (SELECT id, {sql.clean("comment_text")} AS comment_text FROM X) SELECT * FROM E WHERE comment_text <> ''""",
     "validate_comments": "WITH " + _MESSAGES + f""", R AS (SELECT id, CASE
   WHEN text IS NULL THEN 'missing' WHEN {_STRIPPED} = '' THEN 'empty'
   WHEN length({_STRIPPED}) > 5000 THEN 'too_long' END AS reason FROM M)
@@ -544,8 +555,8 @@ SELECT id, reason, reason IS NULL AS accepted FROM R""",
     "lexicon_override": "WITH B AS (SELECT DISTINCT unnest(" + sql.words(sql.clean("text"))
     + f""") AS word FROM benchmark),
 H AS (SELECT DISTINCT id FROM (SELECT doc_id AS id,
-  unnest(regexp_split_to_array(lower(text), '\\W+')) AS word FROM documents)
-  WHERE word IN (SELECT word FROM B WHERE length(word) >= {LEXICON_MIN_CHARS})),
+  unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}_]+')) AS word FROM documents)
+  WHERE word IN (SELECT word FROM B WHERE word <> '')),
 S AS (SELECT doc_id AS id, doc_id IN (SELECT id FROM H) AS hit,
   """ + ",\n  ".join(f"((doc_id * {a} + {b}) % 1000)::DOUBLE / 1000.0::DOUBLE AS prob_{x}"
                      for x, (a, b) in SCORE_PARAMETERS.items()) + """ FROM documents)
@@ -556,6 +567,16 @@ SELECT id, """ + ", ".join(
   CAST(NULL AS VARCHAR) AS flagged_by_severe_toxic,
   CASE WHEN hit AND prob_obscene < 0.5 THEN 'profanity_filter' END AS flagged_by_obscene,
   prob_toxic AS prob1_toxic FROM S""",
+    "lexicon_default": """WITH H AS (SELECT DISTINCT id FROM (SELECT doc_id AS id,
+  unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}_]+')) AS word FROM documents)
+  WHERE word IN (""" + ", ".join(f"'{w}'" for w in DEFAULT_LEXICON) + """)),
+S AS (SELECT doc_id AS id, doc_id IN (SELECT id FROM H) AS hit,
+  """ + ",\n  ".join(f"((doc_id * {a} + {b}) % 1000)::DOUBLE / 1000.0::DOUBLE AS prob_{x}"
+                     for x, (a, b) in SCORE_PARAMETERS.items()) + """ FROM documents)
+SELECT id, """ + ", ".join(
+        (f"(prob_{x} >= {t} OR hit)" if x in ("toxic", "obscene", "insult")
+         else f"prob_{x} >= {t}") + f" AS flag_{x}" for x, t in THRESHOLDS.items()) + """,
+  CASE WHEN hit AND prob_toxic < 0.5 THEN 'profanity_filter' END AS flagged_by_toxic FROM S""",
     "hash_sample": "SELECT doc_id AS id, text AS comment_text FROM documents WHERE "
     + sql.bucket("doc_id", 10000) + " < 2500",
     "train_test_split": "SELECT doc_id AS id, CASE WHEN " + sql.bucket("doc_id", 100)

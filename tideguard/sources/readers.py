@@ -25,21 +25,15 @@ POST_SCHEMA = T.MapType(T.StringType(), T.StructType([
         T.StructField("label", T.StringType())])))]))
 
 
-# A Parquet row group is usually about this large, and one task reads it whole.
-_ROW_GROUP_BYTES = 128 * 1024 * 1024
+def read_parallel(spark: SparkSession, path: str, key: str, tasks: int | None = None) -> DataFrame:
+    """Parquet whose rows are costly to process (long text).
 
-
-def read_parallel(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Parquet whose rows are costly to process (long text), on all cores.
-
-    A row group is the least a scan can give to a task, so a table smaller than
-    one row group per core leaves cores idle. Only such a table is spread out
-    by its (unique) key; a larger one is read as it lies, without a shuffle.
+    It is read as it lies. A caller who knows that the files have fewer row
+    groups than the cluster has cores can ask for ``tasks`` tasks; the rows are
+    then dealt out by ``key``, which costs a shuffle of all columns.
     """
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < cores * _ROW_GROUP_BYTES else df
+    return df.repartition(tasks, key) if tasks else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
