@@ -5,8 +5,8 @@ import pytest
 from tideguard.plans import catalogue
 from tools.check_oracles import compare, duck
 
-SLOW = {"cv_grid", "train_gbt", "model_leaderboard", "model_metrics_table",
-        "model_roundtrip_scores", "train_final", "train_lr_baseline"}
+SLOW = {"cv_grid", "train_gbt", "model_metrics_table",
+        "model_roundtrip_scores", "train_lr_baseline"}
 
 
 @pytest.fixture(scope="module")

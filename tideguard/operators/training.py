@@ -168,7 +168,7 @@ def metrics_of(predictions: DataFrame, labels: Sequence[str]) -> DataFrame:
     return auc_exact(predictions, labels).join(precision_recall_f1(predictions, labels), "label")
 
 
-def _train(counted: Counted, label: str, head, min_doc_freq: int,
+def _train(counted: Counted, label: str, head, min_doc_freq: int, config: ModerationConfig,
            idf_rows: DataFrame | None = None, fit_rows: DataFrame | None = None) -> Trained:
     idf = idf_stage(min_doc_freq).fit(idf_rows if idf_rows is not None else counted.train)
     rows = packed(fit_rows if fit_rows is not None else counted.train, config)
@@ -181,7 +181,7 @@ def _train(counted: Counted, label: str, head, min_doc_freq: int,
 def train_plain(df: DataFrame, label: str = "toxic",
                 config: ModerationConfig = DEFAULTS) -> Trained:
     with count_words(df, [label], config) as counted:
-        return _train(counted, label, logistic(label, config.max_iter), config.min_doc_freq)
+        return _train(counted, label, logistic(label, config.max_iter), config.min_doc_freq, config)
 
 
 def train_baseline(df: DataFrame, label: str = "toxic", config: ModerationConfig = DEFAULTS,
@@ -191,7 +191,7 @@ def train_baseline(df: DataFrame, label: str = "toxic", config: ModerationConfig
     ``idf_on_all`` lets the document frequencies see the test rows.
     """
     with count_words(df, [label], config, by_whitespace=True) as counted:
-        return _train(counted, label, logistic(label, 10), 0,
+        return _train(counted, label, logistic(label, 10), 0, config,
                       idf_rows=counted.rows if idf_on_all else None)
 
 
@@ -201,7 +201,7 @@ def train_weighted(df: DataFrame, label: str = "toxic",
         ratio = _ratio(balance_of(counted.train, [label]), label)
         weighted = counted.train.withColumn("weight", _weight(label, ratio))
         return _train(counted, label, logistic(label, config.max_iter, weight="weight"),
-                      config.min_doc_freq, fit_rows=weighted)
+                      config.min_doc_freq, config, fit_rows=weighted)
 
 
 def _ratio(balance: Mapping, label: str) -> float:
@@ -214,7 +214,7 @@ def train_trees(df: DataFrame, label: str = "toxic", config: ModerationConfig =
                 rounds: int = 20, depth: int = 5, step: float = 0.1) -> Trained:
     with count_words(df, [label], config) as counted:
         return _train(counted, label, boosted_trees(label, rounds, depth, step),
-                      config.min_doc_freq)
+                      config.min_doc_freq, config)
 
 
 def train_final(df: DataFrame, label: str = "toxic",

@@ -1,34 +1,34 @@
-"""Catalogue entries that train and apply models. None has an SQL form; the
-tests compare them with single-purpose MLlib code and brute force."""
+"""Catalogue entries that train and apply models.
+
+What a fit decides has no SQL form. The entries return what the data decide
+(rows, positives, weights, folds) and checks of the rest, which SQL can state;
+the tests compare the models and their metrics with plain MLlib code.
+"""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tideguard.config import LABELS
 from tideguard.functions.scoring import with_probabilities
 from tideguard.operators import scoring, training
-from tideguard.plans.fixtures import long_texts, training_comments
+from tideguard.operators.evaluation import precision_recall_f1
+from tideguard.plans import sql_parts as sql
+from tideguard.plans.fixtures import long_texts, predictions, training_comments
 from tideguard.session import fresh_path
 
-# Where the six-label model of a table was saved in this application, so that
-# the queries that only apply it need not train it again.
-_saved: dict[tuple[str, str], str] = {}
-
 
 def _fit_six(spark, sf_dir):
-    result = training.train_multilabel(training_comments(spark, sf_dir))
-    path = fresh_path(spark, "six-label-model")
-    result.model.save(path)
-    _saved[spark.sparkContext.applicationId, sf_dir] = path
-    return result
+    return training.train_multilabel(training_comments(spark, sf_dir))
 
 
-def six_label_model(spark, sf_dir) -> training.MultiLabelModel:
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _saved:
-        _fit_six(spark, sf_dir)
-    return training.MultiLabelModel.load(_saved[known])
+def _saved(spark, model: training.MultiLabelModel) -> training.MultiLabelModel:
+    """The model after a way over the shared folder."""
+    path = fresh_path(spark, "six-label-model")
+    model.save(path)
+    return training.MultiLabelModel.load(path)
 
 
 def _all_documents(spark, sf_dir):
@@ -37,8 +37,14 @@ def _all_documents(spark, sf_dir):
 
 
 def _shown(metrics):
-    return metrics.select("label", "tp", "fp", "fn", "tn", *[
-        F.round(c, 4).alias(c) for c in ("auc_roc", "auc_pr", "precision", "recall", "f1")])
+    """The counts that the data decide, and whether what the model decides is sound:
+    areas between 0 and 1, and precision, recall and F1 those of the counts."""
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    near = lambda c, want: F.abs(F.coalesce(c, F.lit(0.0)) - F.coalesce(want, F.lit(0.0))) < 1e-9
+    sound = (F.col("auc_roc").between(0, 1) & F.col("auc_pr").between(0, 1)
+             & near(F.col("precision"), F.try_divide(tp, tp + fp)) & near(F.col("recall"), F.try_divide(tp, tp + fn))
+             & near(F.col("f1"), F.try_divide(2 * tp, 2 * tp + fp + fn)))
+    return metrics.select("label", (tp + fp + fn + F.col("tn")).alias("n_rows"), (tp + fn).alias("n_positive"), sound.alias("sound"))
 
 
 def train_lr(spark, sf_dir):
@@ -62,7 +68,12 @@ def train_final(spark, sf_dir):
 
 
 def cv_grid(spark, sf_dir):
-    return training.cv_grid(training_comments(spark, sf_dir)).grid
+    """The grid's settings, and whether one of them, the one with the largest area, is the best."""
+    grid = training.cv_grid(training_comments(spark, sf_dir)).grid
+    best = Window.partitionBy()  # one row for each of the six settings
+    sound = ((F.sum(F.col("is_best").cast("int")).over(best) == 1) & F.col("auc_roc").between(0, 1)
+             & (F.max("auc_roc").over(best) == F.max(F.when(F.col("is_best"), F.col("auc_roc"))).over(best)))
+    return grid.select("reg_param", "elastic_net", sound.alias("sound"))
 
 
 def train_multilabel(spark, sf_dir):
@@ -74,15 +85,25 @@ def model_metrics_table(spark, sf_dir):
     card = training.model_card(_fit_six(spark, sf_dir).metrics)
     path = fresh_path(spark, "model-card")
     card.coalesce(1).write.json(path)
-    return spark.read.schema(card.schema).json(path)
+    stored = spark.read.schema(card.schema).json(path)
+    measured = F.lit(True)
+    for c in ("auc_roc", "auc_pr", "recall", "precision", "f1"):
+        measured = measured & F.col(c).between(0, 1)
+    return stored.select("label", "n_positive", "class_weight", "status", measured.alias("measured"))
 
 
 def model_leaderboard(spark, sf_dir):
-    comments = training_comments(spark, sf_dir)
-    return training.leaderboard({
-        "plain": training.train_plain(comments).metrics,
-        "weighted": training.train_weighted(comments).metrics,
-        "six_labels": _fit_six(spark, sf_dir).metrics.filter("status = 'trained'")})
+    """Three runs with the metrics of arithmetic scores, placed per label and metric."""
+    scored = predictions(spark, sf_dir)
+    runs = {}
+    for name, turn in (("as_is", 0), ("squared", 1), ("reversed", 2)):
+        changed = [F.col(f"prob_{x}") * F.col(f"prob_{x}") if turn == 1 else 1 - F.col(f"prob_{x}") if turn == 2 else F.col(f"prob_{x}")
+                   for x in LABELS]
+        table_ = scored.select("id", *LABELS, *[c.alias(f"prob_{x}") for c, x in zip(changed, LABELS, strict=True)])
+        table_ = table_.withColumns({f"pred_{x}": (F.col(f"prob_{x}") >= 0.5).cast("double") for x in LABELS})
+        runs[name] = precision_recall_f1(table_, LABELS)
+    placed = training.leaderboard(runs, ("recall", "precision"))
+    return placed.select("label", "metric", "place", "model", F.round("value", 9).alias("value"))
 
 
 def _readable(scored):
@@ -92,33 +113,38 @@ def _readable(scored):
 
 
 def score_multilabel(spark, sf_dir):
-    model = six_label_model(spark, sf_dir)
-    return _readable(model.score(_all_documents(spark, sf_dir)))
+    """All documents scored by six heads in one pass, next to each head's own pipeline."""
+    model = _fit_six(spark, sf_dir).model
+    documents = _all_documents(spark, sf_dir)
+    both = _readable(model.score(documents)).select("id", *[F.col(f"prob_{x}").alias(x) for x in LABELS])
+    for x in LABELS:
+        alone = model.pipeline(x).transform(documents).select(
+            "id", F.round(F.get(vector_to_array(F.col(f"prob_{x}")), 1), 6).alias("own"))
+        both = both.join(alone, "id").withColumn(x, F.col(x) == F.col("own")).drop("own")
+    return both
 
 
 def model_roundtrip_scores(spark, sf_dir):
-    """Scores of the model in memory and after save and load, side by side."""
-    result = _fit_six(spark, sf_dir)
-    loaded = six_label_model(spark, sf_dir)
+    """Do the scores of the model in memory and after save and load agree?"""
+    model = _fit_six(spark, sf_dir).model
     documents = _all_documents(spark, sf_dir)
-    fresh = _readable(result.model.score(documents)).select(
-        "id", F.col("prob_toxic").alias("prob_fitted"))
-    again = _readable(loaded.score(documents)).select(
-        "id", F.col("prob_toxic").alias("prob_loaded"))
-    return fresh.join(again, "id").withColumn(
-        "equal", F.col("prob_fitted") == F.col("prob_loaded"))
+    fresh = _readable(model.score(documents)).select("id", F.col("prob_toxic").alias("fitted"))
+    again = _readable(_saved(spark, model).score(documents)).select("id", F.col("prob_toxic").alias("loaded"))
+    return fresh.join(again, "id").select("id", (F.col("fitted") == F.col("loaded")).alias("equal"))
 
 
 def linear_score_relational(spark, sf_dir):
-    """The toxic head as a coefficient table joined to the vector entries."""
-    model = six_label_model(spark, sf_dir)
+    """The toxic head as a coefficient table joined to the vector entries, next to the head itself."""
+    model = _fit_six(spark, sf_dir).model
     head = model.heads["toxic"]
     weights = spark.createDataFrame(
         [(i, float(w)) for i, w in enumerate(head.coefficients.toArray()) if w],
         "idx int, weight double")
-    featured = model.features.transform(_all_documents(spark, sf_dir))
-    scores = scoring.linear_scores_hashed(featured, "features", weights, head.intercept)
-    return scores.select("id", F.round("probability", 6).alias("probability"))
+    documents = _all_documents(spark, sf_dir)
+    scores = scoring.linear_scores_hashed(model.features.transform(documents), "features", weights, head.intercept)
+    alone = _readable(model.score(documents)).select("id", "prob_toxic")
+    return scores.join(alone, "id").select(
+        "id", (F.abs(F.col("probability") - F.col("prob_toxic")) < 1e-5).alias("equal"))
 
 
 QUERIES = {
@@ -136,4 +162,33 @@ QUERIES = {
     "linear_score_relational": linear_score_relational,
 }
 
-ORACLES: dict[str, str] = {}
+# Labelled comments, and the part that is held out.
+_T = "WITH " + sql.COMMENTS + ", T AS (SELECT C.* FROM C SEMI JOIN labels l ON C.id = l.doc_id), " \
+    "E AS (SELECT * FROM T WHERE " + sql.bucket("id", 100) + " >= 80)\n"
+_ONE = _T + "SELECT 'toxic' AS label, count(*) AS n_rows, CAST(sum(toxic) AS BIGINT) AS n_positive, true AS sound FROM "
+_EACH = "count(*) AS n_rows, CAST(sum({L}) AS BIGINT) AS n_positive, true AS sound"
+
+ORACLES: dict[str, str] = {
+    **{name: _ONE + "E" for name in ("train_lr", "train_lr_baseline", "train_lr_weighted", "train_gbt")},
+    "train_final": _ONE + "T",
+    "train_multilabel": _T + sql.per_label(_EACH, "E"),
+    "cv_grid": "SELECT r::DOUBLE AS reg_param, e::DOUBLE AS elastic_net, true AS sound FROM "
+    + f"(SELECT unnest({list(training.REG_GRID)}) AS r), (SELECT unnest({list(training.NET_GRID)}) AS e)",
+    "model_metrics_table": _T + sql.per_label("""CAST(sum({L}) AS BIGINT) AS n_positive,
+  round(count(*) FILTER ({L} = 0)::DOUBLE / count(*) FILTER ({L} = 1), 2) AS class_weight,
+  'trained' AS status, true AS measured""", "T"),
+    "model_leaderboard": "WITH " + sql.PREDICTIONS + """, R AS (
+SELECT 'as_is' AS model, * FROM P UNION ALL
+SELECT 'squared', * REPLACE (""" + sql.each_label("prob_{L} * prob_{L} AS prob_{L}") + """) FROM P UNION ALL
+SELECT 'reversed', * REPLACE (""" + sql.each_label("1 - prob_{L} AS prob_{L}") + """) FROM P),
+M AS (""" + "\nUNION ALL ".join(
+        f"SELECT '{x}' AS label, model, count(*) FILTER (prob_{x} >= 0.5 AND {x} = 1)::DOUBLE AS tp, "
+        f"count(*) FILTER (prob_{x} >= 0.5) AS p, count(*) FILTER ({x} = 1) AS a FROM R GROUP BY model" for x in LABELS) + """),
+V AS (SELECT label, model, 'recall' AS metric, tp / a AS value FROM M
+UNION ALL SELECT label, model, 'precision', tp / p FROM M)
+SELECT label, metric, CAST(row_number() OVER (PARTITION BY label, metric ORDER BY value DESC, model) AS INTEGER) AS place,
+  model, round(value, 9) AS value FROM V""",
+    "score_multilabel": "SELECT doc_id AS id, " + ", ".join(f"true AS {x}" for x in LABELS) + " FROM documents",
+    "model_roundtrip_scores": "SELECT doc_id AS id, true AS equal FROM documents",
+    "linear_score_relational": "SELECT doc_id AS id, true AS equal FROM documents",
+}
