@@ -50,7 +50,7 @@ class FileConfig:
     chunk: int = 1 << 18         #: ids after which a chunk ends with its document
     plane_bits: int = 8          #: 8: byte planes, 1: bit planes
     level: int = 3               #: of zstandard
-    words_cached: int = 250_000  #: distinct words whose ids a worker remembers
+    words_cached: int = 400_000  #: distinct words whose ids a worker remembers
 
 
 def pack(ids: np.ndarray, config: FileConfig = FileConfig()) -> bytes:
@@ -205,7 +205,7 @@ def chunks(documents: DataFrame, config: FileConfig = FileConfig(), key: str = "
                 names=["shard", "chunk", "before", "n_ids", "doc_ids", "lengths", "payload"])
 
         for batch in batches:
-            for a, b in pieces(batch, 1):
+            for a, b in pieces(batch, 1, 1 << 21):
                 for doc_id, ids in zip(batch.column(0)[a:b].to_pylist(), encode(batch.column(1)[a:b].to_pylist()), strict=True):
                     ids += end
                     doc_ids.append(doc_id), lengths.append(len(ids) // 4), parts.append(ids)
