@@ -25,8 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, for work that is heavy per row."""
-    return read_parallel(spark, f"{sf_dir}/documents.parquet", "doc_id")
+    """Documents, for work that is heavy per row.
+
+    They are read as they lie. A caller with one small file and many cores may
+    set ``spark.tideguard.textTasks`` in the session, see ``read_parallel``.
+    """
+    tasks = spark.conf.get("spark.tideguard.textTasks", None)
+    return read_parallel(spark, f"{sf_dir}/documents.parquet", "doc_id", int(tasks) if tasks else None)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
