@@ -41,7 +41,9 @@ def _shown(metrics):
     areas between 0 and 1, and precision, recall and F1 those of the counts."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     near = lambda c, want: F.abs(F.coalesce(c, F.lit(0.0)) - F.coalesce(want, F.lit(0.0))) < 1e-9
-    sound = (F.col("auc_roc").between(0, 1) & F.col("auc_pr").between(0, 1)
+    one_class = (tp + fn == 0) | (fp + F.col("tn") == 0)  # there is no area then
+    area = lambda c: F.coalesce(F.col(c).between(0, 1), one_class)
+    sound = (area("auc_roc") & area("auc_pr")
              & near(F.col("precision"), F.try_divide(tp, tp + fp)) & near(F.col("recall"), F.try_divide(tp, tp + fn))
              & near(F.col("f1"), F.try_divide(2 * tp, 2 * tp + fp + fn)))
     return metrics.select("label", (tp + fp + fn + F.col("tn")).alias("n_rows"), (tp + fn).alias("n_positive"), sound.alias("sound"))
@@ -88,7 +90,7 @@ def model_metrics_table(spark, sf_dir):
     stored = spark.read.schema(card.schema).json(path)
     measured = F.lit(True)
     for c in ("auc_roc", "auc_pr", "recall", "precision", "f1"):
-        measured = measured & F.col(c).between(0, 1)
+        measured = measured & F.coalesce(F.col(c).between(0, 1), F.lit(True))  # undefined without positives
     return stored.select("label", "n_positive", "class_weight", "status", measured.alias("measured"))
 
 
