@@ -50,7 +50,7 @@ class FileConfig:
     chunk: int = 1 << 18         #: ids after which a chunk ends with its document
     plane_bits: int = 8          #: 8: byte planes, 1: bit planes
     level: int = 3               #: of zstandard
-    words_cached: int = 400_000  #: distinct words whose ids a worker remembers
+    words_cached: int = 300_000  #: distinct words whose ids a worker remembers
 
 
 def pack(ids: np.ndarray, config: FileConfig = FileConfig()) -> bytes:
