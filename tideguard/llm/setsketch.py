@@ -17,11 +17,13 @@ truncated minima. Sketches of two sets merge by a maximum. The steps:
 5. Verified links are contracted to components. Where a band still holds several
    components, the next round takes another centre in each band, by a hash of id
    and band, and pairs it with the members of other components (3. and 4. apply).
+   A centre leaves its band with its round. The rounds end when no band holds two
+   components any more, or, after the fourth, with a round that finds no link.
 
 Chance that two documents at exactly the threshold 0.8 share none of 48 bands of
-7: (1 - 0.8**7)**48 = 1e-5; they share ten on average. In a band of g documents
-a round compares them with chance 2/g, unless they are linked already; README
-has the share of links that this leaves out.
+7: (1 - 0.8**7)**48 = 1e-5; they share ten on average. Bands of up to five
+documents are compared in full; in a band of g documents a round compares two of
+them with a chance of at least 2/g, unless they are linked already.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ class SketchConfig:
     percent: int = 80      #: link if 100 * intersection >= percent * union
     bands: int = 48
     rows: int = 7          #: registers of a band
-    rounds: int = 4        #: centres that each band gets in turn
+    rounds: int = 4        #: centres that each band gets in turn, at least
     base: float = 1.001    #: of the exponents
     rate: float = 20.0     #: of the exponential distribution
     limit: int = 65_534    #: largest exponent
@@ -255,6 +257,29 @@ def components(links: DataFrame) -> DataFrame:
     return edges.df.select(F.col("v").alias("rep"), F.col("u").alias("component"))
 
 
+#: Members other than the centre; an id that repeats with another set stays.
+_NOT_CENTRE = "rep != c_rep OR n != c_n"
+
+
+def next_centres(members: DataFrame, components_of: DataFrame) -> DataFrame:
+    """The members of bands that still hold several components, with the next centre of each band.
+
+    Centres follow a hash of id and band, and each leaves the band with its
+    round, so no member is a centre twice and a band runs out of pairs after as
+    many rounds as it has members.
+    """
+    now = (members.where("size > 2").select("band", "code", "rep", "n", "size").join(components_of, "rep", "left")
+           .withColumn("component", F.coalesce("component", "rep")))
+    turn = F.xxhash64("rep", "band")
+    centres = (now.groupBy("band", "code")
+               .agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                    F.min(F.struct(turn.alias("turn"), F.col("rep"), F.col("n"), F.col("component"))).alias("c"))
+               .where("lo < hi").select("band", "code", F.col("c.rep").alias("c_rep"), F.col("c.n").alias("c_n"),
+                                        F.col("c.component").alias("c_component")))
+    return (now.join(centres, ["band", "code"]).where(_NOT_CENTRE)
+            .select("band", "code", "rep", "n", "component", "size", "c_rep", "c_n", "c_component"))
+
+
 def near_duplicates(documents: DataFrame, config: SketchConfig = SketchConfig(),
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, links): one row per document.
@@ -272,26 +297,20 @@ def near_duplicates(documents: DataFrame, config: SketchConfig = SketchConfig(),
     classes = materialise(usable.groupBy("f1", "f2", F.col("n_shingles").alias("n"))
                           .agg(F.min("doc_id").alias("rep"), F.min("registers").alias("registers")), "classes")
     bands = banded(classes, config)
-    size = bands.groupBy("band", "code").agg(F.count("*").alias("size")).where("size > 1")
-    # Members of bands with more than one class; stored, as every round reads them.
-    shared = materialise(bands.join(size, ["band", "code"]), "shared")
-    links = components_of = texts = tried = None
-    for k in range(config.rounds):
-        members = shared
-        if k == 0:
-            members = members.withColumn("component", F.col("rep"))
-        else:
-            members = (members.where("size > 2").join(components_of, "rep", "left")
-                       .withColumn("component", F.coalesce("component", "rep")))
-        turn = F.col("rep") if k == 0 else F.xxhash64("rep", "band", F.lit(k))
-        centres = (members.groupBy("band", "code")
-                   .agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                        F.min(F.struct(turn.alias("turn"), F.col("rep"), F.col("n"), F.col("component"))).alias("c"))
-                   .where("lo < hi").select("band", "code", "c"))
-        near = ((F.col("n") * config.percent <= F.col("c.n") * 100) & (F.col("c.n") * config.percent <= F.col("n") * 100)
-                & (F.col("component") != F.col("c.component")))
-        pairs = (members.join(centres, ["band", "code"]).where(near)
-                 .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct())
+    first = (bands.groupBy("band", "code").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("c"))
+             .where("size > 1"))
+    # Members of bands with the centre of the round; the centres of earlier rounds have left.
+    members = materialise(
+        bands.join(first, ["band", "code"]).withColumn("component", F.col("rep"))
+        .select("band", "code", "rep", "n", "component", "size", F.col("c.rep").alias("c_rep"),
+                F.col("c.n").alias("c_n"), F.col("c.rep").alias("c_component")).where(_NOT_CENTRE), "members")
+    links = texts = tried = None
+    done = 0
+    while True:
+        near = ((F.col("n") * config.percent <= F.col("c_n") * 100) & (F.col("c_n") * config.percent <= F.col("n") * 100)
+                & (F.col("component") != F.col("c_component")))
+        pairs = (members.where(near)
+                 .select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "tried")
@@ -299,12 +318,20 @@ def near_duplicates(documents: DataFrame, config: SketchConfig = SketchConfig(),
         pairs = materialise(likely(pairs, classes, config), "pairs")
         if texts is None:
             wanted = (pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
-                      .unionByName(shared.where("size > 2").select("rep")).distinct())
+                      .unionByName(members.where("size > 2").select("rep")).distinct())
             texts = materialise(documents.select(F.col(key).cast("long").alias("rep"), raw(text).alias("body"))
                                 .join(wanted, "rep", "left_semi"), "texts")
         good = materialise(verified(pairs, texts, config), "links")
         links = good if links is None else links.unionByName(good)
-        components_of = components(links.select("a", "b"))
+        done += 1
+        found_none = good.isEmpty()
+        if done == 1 or not found_none:
+            components_of = components(links.select("a", "b"))
+        if done >= config.rounds and found_none:
+            break
+        members = materialise(next_centres(members, components_of), "members")
+        if members.isEmpty():
+            break
     degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
               .groupBy("rep").agg(F.count("*").alias("links")))
     of_class = (classes.select("f1", "f2", F.col("n").alias("n_shingles"), "rep")
