@@ -421,21 +421,3 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 300)], "a long, b long")
     found = {r["rep"]: r["component"] for r in setsketch.components(links).collect()}
     assert all(found[i] == 0 for i in range(1, 201)) and found[500] == 300
-
-
-def test_bands_of_five_documents_are_compared_in_full(spark):
-    """Chains of links that only later centres see; every centre leaves its band."""
-    components_of = spark.createDataFrame([(2, 1), (9, 7)], "rep long, component long")
-    rows = [(0, 5, rep, 10, rep, 6, 1, 10, 1) for rep in (2, 3, 4, 7, 9)]
-    members = spark.createDataFrame(rows, "band int, code long, rep long, n long, component long, size long, "
-                                          "c_rep long, c_n long, c_component long")
-    compared, sizes = set(), []
-    while not members.isEmpty():
-        got = members.collect()
-        sizes.append(len(got))
-        compared |= {frozenset((r["rep"], r["c_rep"])) for r in got if r["component"] != r["c_component"]}
-        members = setsketch.next_centres(members, components_of)
-    component = {1: 1, 2: 1, 3: 3, 4: 4, 7: 7, 9: 7}
-    wanted = {frozenset((a, b)) for a in component for b in component if component[a] != component[b]}
-    # The first centre was given with each row as its own component.
-    assert compared - {frozenset((1, 2))} == wanted and sizes == sorted(sizes, reverse=True) and len(sizes) <= 5
