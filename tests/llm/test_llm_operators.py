@@ -359,6 +359,13 @@ def test_base_spans_equal_plain_patterns(spark, documents):
     assert any(len(r["spans"]) > len(r["base"]) for r in found)
 
 
+def test_base_spans_without_runs_of_digits(spark):
+    texts = ["call +33 1 23 45 67 89 now", "paid 41 11 11 11 11 11 11 11 today", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "+3(3)1-2.3 4-5 6-7 8-9"]
+    found = personal_data.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: [tuple(s) for s in r["base"]] for r in found} == {i: base_spans(t) for i, t in enumerate(texts)}
+    assert all(r["base"] for r in found)
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é a.b@c.d x 1.2.3.4"), (2, "none"), (3, None)], "doc_id long, text string")
     found = personal_data.personal_data(docs)

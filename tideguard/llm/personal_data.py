@@ -47,7 +47,8 @@ CANDIDATES = {
     "phone": r"(?<![0-9])(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{3})[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])",
     "secret": r"(?i)(?:key|token|secret|password|passwd|pwd)[a-z_]{0,10}[\"']? ?[=:] ?[\"']?[A-Za-z0-9+/_.=-]{8,256}+[\"']?",
 }
-#: A text without a match of the gate has none of the pattern.
+#: A text without a match of the gate has none of the pattern of the same kind: base patterns first, then candidates.
+BASE_GATES = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 GATES = {"email": "@|[\\[(]at[\\])]", "ip": "[0-9]\\.[0-9]", "card": "[0-9]{4}", "phone": "[0-9]{3}", "secret": "[=:]"}
 NEARBY = r"(?i)(?:mail|contact|write|reach|ip|host|server|address|card|visa|credit|pay|phone|tel|call|mobile|fax|key|token|secret|pass)"
 
@@ -138,7 +139,7 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", config:
     """(doc_id, base, more): the base spans (start, kind, end) of every row, and its candidates (start, kind, end, pattern, label)."""
     df = documents.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_body"))
     for kind, expression in BASE.items():
-        df = matches_of(df, f"_base_{kind}", expression, GATES[kind])
+        df = matches_of(df, f"_base_{kind}", expression, BASE_GATES[kind])
         df = df.withColumn(f"_base_{kind}", valid_spans(f"_base_{kind}", kind))
     df = df.withColumn("base", F.array_sort(F.concat(*[f"_base_{k}" for k in BASE]))).drop(*[f"_base_{k}" for k in BASE])
     for kind, expression in CANDIDATES.items():
