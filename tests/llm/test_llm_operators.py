@@ -413,6 +413,17 @@ def test_near_duplicates_equal_brute_force(spark, documents):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_partners_in_a_hot_band_are_found(spark):
+    docs = []
+    for k in range(60):  # pairs on one template: the two are linked (200 of 248), the pairs are not (199 of 249)
+        for side in range(2):
+            words = [f"t{i}" for i in range(200)] + [f"p{k}"] + [f"d{k}_{side}_{i}" for i in range(24)]
+            docs.append((2 * k + side, " ".join(words)))
+    got = setsketch.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), setsketch.SketchConfig(shingle=2, rounds=1, salt=7)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(docs, 2)
+    assert sum(r["kept"] for r in got) == 60
+
+
 def test_sketches_merge_and_estimate():
     config, rng = setsketch.SketchConfig(), np.random.default_rng(0)
     factors = setsketch.multipliers(config)

@@ -18,10 +18,13 @@ truncated minima. Sketches of two sets merge by a maximum. The steps:
    components, the next round takes another centre in each band, by a hash of id
    and band, and pairs it with the members of other components (3. and 4. apply).
 
+6. Members of bands that hold several components after the last round go to an
+   exact join: sets that reach the threshold share a shingle of their prefixes in
+   any common order (here the rarest first), at places that the sizes bound. Its
+   pairs of different components pass 3. and 4. and complete the components.
+
 Chance that two documents at exactly the threshold 0.8 share none of 48 bands of
-7: (1 - 0.8**7)**48 = 1e-5; they share ten on average. In a band of g documents
-a round compares them with chance 2/g, unless they are linked already; README
-has the share of links that this leaves out.
+7: (1 - 0.8**7)**48 = 1e-5; they share ten on average.
 """
 
 from __future__ import annotations
@@ -50,6 +53,7 @@ class SketchConfig:
     rate: float = 20.0     #: of the exponential distribution
     limit: int = 65_534    #: largest exponent
     seed: int = 11
+    salt: int = 512        #: rows of a side of the exact join that come together under a shingle
 
     @property
     def registers(self) -> int:
@@ -255,12 +259,78 @@ def components(links: DataFrame) -> DataFrame:
     return edges.df.select(F.col("v").alias("rep"), F.col("u").alias("component"))
 
 
+def prefixes(members: DataFrame, texts: DataFrame, config: SketchConfig) -> DataFrame:
+    """(token, rep, component, n, place, short): the shingles by which sets that reach the threshold must meet.
+
+    Sets are ordered by how often a shingle's bucket (of 65,536) occurs, then by
+    the shingle, so hot shingles come last; any common order is exact. A partner
+    at least as large is met within the ``short`` prefix, any other one within
+    the whole.
+    """
+    rows = texts.join(members, "rep").select("rep", "component", "body")
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(body, config.shingle) for body in batch.column(2).to_pylist()]
+        bucket, n = np.unique(np.concatenate(sets) >> np.uint64(48), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(n.astype(np.int64))], names=["bucket", "n"])
+
+    often = np.zeros(1 << 16, dtype=np.int64)
+    for r in map_slices(rows, count, "bucket int, n long", "body").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        often[r["bucket"]] = r["n"]
+    shared = texts.sparkSession.sparkContext.broadcast(often)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [[], [], [], [], [], []]
+        for rep, component, body in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            own = shingle_set(body, config.shingle)
+            n = len(own)
+            if not n:
+                continue
+            whole = n + (-config.percent * n) // 100 + 1
+            short = n + (-2 * config.percent * n) // (100 + config.percent) + 1
+            first = own[np.lexsort((own, shared.value[own >> np.uint64(48)]))[:whole]]
+            place = np.arange(whole, dtype=np.int32)
+            for column, x in zip(out, (first.view(np.int64), np.full(whole, rep), np.full(whole, component), np.full(whole, n),
+                                       place, place < short), strict=True):
+                column.append(x)
+        names = ["token", "rep", "component", "n", "place", "short"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], k) for c, k in zip(out, kinds, strict=True)], names=names)
+
+    return map_slices(rows, work, "token long, rep long, component long, n long, place int, short boolean", "body")
+
+
+def exact_pairs(members: DataFrame, texts: DataFrame, config: SketchConfig) -> DataFrame:
+    """(a, b): all pairs of ``members`` (rep, component) in different components whose sets can reach the threshold.
+
+    Both sides of a hot shingle are salted, so that no task reads them whole.
+    """
+    rows = materialise(prefixes(members, texts, config), "prefixes")
+    met = (rows.groupBy("token").agg(F.count("*").alias("of_all"), F.count_if("short").alias("of_short"),
+                                     F.min("component").alias("lo"), F.max("component").alias("hi"))
+           .where("of_short > 0 and lo < hi")
+           .select("token", F.ceil(F.col("of_all") / config.salt).cast("int").alias("all_salts"),
+                   F.ceil(F.col("of_short") / config.salt).cast("int").alias("short_salts")))
+    rows = rows.join(met, "token")
+    mine = lambda salts: F.pmod(F.xxhash64("rep"), F.col(salts)).cast("int")
+    every = lambda salts: F.explode(F.sequence(F.lit(0), F.col(salts) - 1))
+    large = rows.select("token", mine("all_salts").alias("i"), every("short_salts").alias("j"), F.struct("n", "rep").alias("x"), "component", "place")
+    small = rows.where("short").select(
+        F.col("token").alias("t"), every("all_salts").alias("k"), mine("short_salts").alias("l"),
+        F.struct("n", "rep").alias("y"), F.col("component").alias("c"), F.col("place").alias("at"))
+    both = F.ceil(config.percent * (F.col("x.n") + F.col("y.n")) / (100 + config.percent) - 1e-6)  # least intersection
+    near = ((F.col("token") == F.col("t")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l"))
+            & (F.col("component") != F.col("c")) & (F.col("y") < F.col("x")) & (F.col("x.n") * config.percent <= F.col("y.n") * 100)
+            & (F.col("place") + both <= F.col("x.n")) & (F.col("at") + both <= F.col("y.n")))
+    return large.join(small, near).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
 def near_duplicates(documents: DataFrame, config: SketchConfig = SketchConfig(),
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, links): one row per document.
 
     ``links`` counts the verified links of the document's class of equal sets to
-    others. ``kept`` is true for the smallest id of a component.
+    others: not all it has, as members of one component are not all compared. ``kept`` is true for the smallest id of a component.
 
     Defined results: null and empty texts and texts without words have size 0,
     no links and are kept; a null id is never linked and is kept, with a null
@@ -305,6 +375,14 @@ def near_duplicates(documents: DataFrame, config: SketchConfig = SketchConfig(),
         good = materialise(verified(pairs, texts, config), "links")
         links = good if links is None else links.unionByName(good)
         components_of = components(links.select("a", "b"))
+    members = (shared.where("size > 2").join(components_of, "rep", "left")
+               .withColumn("component", F.coalesce("component", "rep")))
+    mixed = members.groupBy("band", "code").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    left = materialise(members.join(mixed, ["band", "code"], "left_semi").select("rep", "component").distinct(), "left")
+    pairs = materialise(exact_pairs(left, texts, config).join(tried, ["a", "b"], "left_anti"), "tried")
+    good = materialise(verified(materialise(likely(pairs, classes, config), "pairs"), texts, config), "links")
+    links = links.unionByName(good)
+    components_of = components(links.select("a", "b"))
     degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
               .groupBy("rep").agg(F.count("*").alias("links")))
     of_class = (classes.select("f1", "f2", F.col("n").alias("n_shingles"), "rep")
