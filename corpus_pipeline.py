@@ -9,6 +9,7 @@ return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideguard.llm import decontamination, mixing, quality_classifier, setsketch, token_files
 from tideguard.llm.common import table
@@ -22,9 +23,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of each group of near-duplicates the document with the smallest id stays."""
-    gone = setsketch.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Operator 10: of each group of near-duplicates the row with the smallest id stays, of several the first.
+
+    Rows are judged by a stored number, so rows that repeat an id or have none count each; a null id comes last.
+    """
+    row = "_row_of_the_stage"
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    judged = setsketch.near_duplicates(numbered, key=row).select(F.col("doc_id").alias(row), "component_id")
+    stays = (judged.join(numbered.select(row, "doc_id"), row).groupBy("component_id")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("s")).select(f"s.{row}"))
+    return numbered.join(stays, row, "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,3 +118,13 @@ def test_pipeline_stages_on_odd_rows(spark, docs, labels, items, tmp_path):
             if name != "token_files":
                 assert out.columns == stage_docs.columns
             out.count()
+
+
+def test_one_row_of_each_group_stays(spark):
+    words = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    rows = [(7, words("a")), (7, words("b")), (3, words("b")), (8, words("c")), (8, words("c")), (None, words("d")), (None, words("d")),
+            (None, words("b")), (None, None), (4, ""), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect()]
+    want = [(7, words("a")), (3, words("b")), (8, words("c")), (None, words("d")), (None, None), (4, ""), (4, "")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
