@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tideguard.llm import decontamination, language_model, mixing, personal_data, quality_classifier
 from tideguard.llm import quality_rules, setsketch, substring_dedup, token_files, toxicity
-from tideguard.llm.common import fold
+from tideguard.llm.common import fold, labelled_sample
 
 LONG = " ".join(f"word{i % 977}" for i in range(60_000))
 ROWS = [(1, "a plain text of some ten words or so , is here now", "en", "s", 1, "x"), (None, "null id", None, None, None, None),
@@ -128,3 +128,13 @@ def test_one_row_of_each_group_stays(spark):
     got = [tuple(r) for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect()]
     want = [(7, words("a")), (3, words("b")), (8, words("c")), (None, words("d")), (None, None), (4, ""), (4, "")]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_sample_of_a_hot_id_and_of_labels_without_documents(spark):
+    rows = [(i, f"text {i}") for i in range(12)] + [(h, f"hot {h} {k}") for h in range(12) for k in range(30)] + [(50, "long " * 100)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] + [(i, i % 2) for i in range(50, 500)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = labelled_sample(docs, labels, "quality", F.expr(ALL), 6, max_chars=200)
+    assert sorted(y for y, _ in got) == [0] * 6 + [1] * 6 and len({t.split()[1] for _, t in got}) == 12
+    one = labelled_sample(docs.where("doc_id > 0 or text = 'text 0'"), labels, "quality", F.expr(ALL), 2, max_chars=200)
+    assert sorted(y for y, _ in one) == [0, 0, 1, 1]

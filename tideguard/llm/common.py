@@ -77,19 +77,22 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, learn:
     on the layout. Rows with a null id or label are left out, a document with
     several labels counts with the largest, and texts over ``max_chars`` are
     not learned from (they are scored like all others): the driver holds at
-    most ``2 * per_class`` documents.
+    most ``2 * per_class`` documents. Only labels of a document with such a text
+    are chosen, and an id with several counts once, with the text of the
+    smallest hash.
     """
+    usable = documents.select("doc_id", raw().alias("text")).where(F.length("text") <= max_chars)
     known = (labels.where(learn & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-             .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
+             .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+             .join(usable.select("doc_id").distinct(), "doc_id", "left_semi"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = None
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(*order).limit(per_class)
         ids = part if ids is None else ids.unionByName(part)
-    rows = (documents.select("doc_id", raw().alias("text"))
-            .where(F.length("text") <= max_chars)
-            .join(F.broadcast(ids), "doc_id")
-            .orderBy(*order).limit(2 * per_class).select("y", "text").collect())
+    rows = (usable.join(F.broadcast(ids), "doc_id")
+            .groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("s"))
+            .orderBy(*order).select("y", "s.text").collect())
     return [(r["y"], bytes(r["text"])) for r in rows]
 
 
