@@ -306,6 +306,20 @@ def test_retrieval_is_that_of_plain_bm25():
         assert {i for i, _ in index.retrieve(terms)} == want
 
 
+def test_short_items_beside_a_very_long_one(spark):
+    short = [f"w{i}" for i in range(10)]
+    filler = lambda k, n: [f"f{k}_{i}" for i in range(n)]
+    scattered = [w for i in range(9) for w in short[i: i + 2] + filler(i, 60)]
+    long = filler(99, 3000)
+    docs = spark.createDataFrame([(1, " ".join(scattered)), (2, " ".join(filler(5, 700) + short + filler(6, 700))), (3, " ".join(filler(7, 50) + long))],
+                                 "doc_id long, text string")
+    items = [(1, " ".join(short)), (2, " ".join(long)), (3, "one two three four")]
+    for some in (items, items[::2]):
+        for config in (decontamination.SearchConfig(), decontamination.SearchConfig(max_items=1)):
+            got = decontamination.contaminations(docs, spark.createDataFrame(some, "item_id long, text string"), config).collect()
+            assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(2, 1)] + [(3, 2)] * (some is items)
+
+
 # -- op8 -------------------------------------------------------------------
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"

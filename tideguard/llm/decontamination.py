@@ -2,8 +2,11 @@
 
 The inverted index is built from the benchmark items, block by block of items:
 for each term its items, their BM25 impacts, and the largest impact in each
-block. Every training document is cut into overlapping passages (any stretch of
-the longest item's length lies inside one), and every passage is a query:
+block. Items are grouped by length classes (up to 1, 2, 4, 8, ... words), each with
+an index of its own. For each class every training document is cut into
+overlapping passages of twice the class's length (any stretch of an item's length
+lies inside one), so the passages of an item depend on its own length alone.
+Every passage is a query:
 
 1. the sum of the largest impacts of its terms bounds its score; passages whose
    bound stays under the threshold go;
@@ -53,15 +56,20 @@ class SearchConfig:
     max_chars: int = 1 << 24    #: characters of a shard, or one item
 
 
+def length_class(n_words: int) -> int:
+    """The smallest c with at most 2**c words."""
+    return (n_words - 1).bit_length()
+
+
 class Index:
-    """Postings with impacts and block maxima for the items of one shard."""
+    """Postings with impacts and block maxima for the items of one length class of a shard."""
 
     def __init__(self, items: list[tuple[int, bytes, bytes | None]], frequency: dict[bytes, int],
                  n_items: int, average: float, config: SearchConfig):
         self.config = config
         self.ids, self.parts = [], []
         postings: dict[bytes, list[tuple[int, float]]] = {}
-        self.longest = 1
+        longest = 1
         for item_id, text, answer in items:
             words = words_of(text)
             if answer is None:
@@ -84,7 +92,8 @@ class Index:
                 postings.setdefault(w, []).append((number, x / own))
             self.ids.append(item_id)
             self.parts.append((self.shingles(question), self.shingles(reply)))
-            self.longest = max(self.longest, len(words))
+            longest = max(longest, len(words))
+        self.step = 1 << length_class(longest)
         self.terms = {w: i for i, w in enumerate(postings)}
         self.bound = np.array([max(x for _, x in p) for p in postings.values()] or [0.0])
         self.items, self.impacts, self.blocks, self.maxima = [], [], [], []
@@ -116,27 +125,26 @@ class Index:
         scores = np.bincount(items[use], impacts[use], len(self.ids))
         return [(int(i), float(scores[i])) for i in np.flatnonzero(scores >= least - 1e-9)]
 
-    def matches(self, texts: list[bytes]) -> list[list[tuple[int, float, float, float, int]]]:
-        """Per text: (item, score, question overlap, answer overlap, first word of the passage), best passage per item."""
-        found: list[list[tuple[int, float, float, float, int]]] = [[] for _ in texts]
-        if not self.ids:
-            return found
-        step, get = self.longest, self.terms.get
-        words = [words_of(t) for t in texts]
+    def matches(self, words: list[list[bytes]], ids: np.ndarray) -> list[list[tuple[int, float, float, float, int]]]:
+        """Per text: (item, score, question overlap, answer overlap, first word of the passage) of each passage with an item.
+
+        ``ids`` has the terms of the words of all texts, one after the other, and -1 for words that are none.
+        """
+        found: list[list[tuple[int, float, float, float, int]]] = [[] for _ in words]
+        step = self.step
         # Half passages: `step` words each; a passage is two of them that follow each other.
-        halves = np.array([max(1, -(-len(w) // step)) for w in words])
-        first = np.concatenate([[0], np.cumsum(halves)])
-        ids = np.array([get(w, -1) for ws in words for w in ws], dtype=np.int64)
         lengths = np.array([len(w) for w in words])
-        starts = np.cumsum(lengths) - lengths
-        inside = np.arange(len(ids)) - np.repeat(starts, lengths)
-        half = np.repeat(first[:-1], lengths) + inside // step
-        hit = ids >= 0
+        halves = np.maximum(1, -(-lengths // step))
+        first = np.concatenate([[0], np.cumsum(halves)])
+        ends = np.cumsum(lengths)
+        hit = np.flatnonzero(ids >= 0)
+        doc_of = np.searchsorted(ends, hit, "right")
+        half = first[doc_of] + (hit - (ends - lengths)[doc_of]) // step
         # A term counts once in a half passage, as in the score.
-        keys = np.unique(half[hit] * len(self.bound) + ids[hit])
+        keys = np.unique(half * len(self.bound) + ids[hit])
         of, terms = keys // len(self.bound), keys % len(self.bound)
         weight = np.bincount(of, self.bound[terms], int(first[-1]))
-        owner = np.repeat(np.arange(len(texts)), halves)
+        owner = np.repeat(np.arange(len(words)), halves)
         follows = np.append(owner[1:] == owner[:-1], False)
         passage = weight + np.where(follows, np.append(weight[1:], 0), 0)
         alone = np.repeat(halves == 1, halves)
@@ -161,8 +169,42 @@ class Index:
         return found
 
 
-def shards(benchmark: DataFrame, config: SearchConfig, answer: str | None = None) -> Iterator[Index]:
-    """An index for each shard of items; the statistics are those of the whole benchmark.
+class Shard:
+    """An index for each length class of the items of one shard, and the terms of all."""
+
+    def __init__(self, items: list[tuple[int, bytes, bytes | None]], frequency: dict[bytes, int],
+                 n_items: int, average: float, config: SearchConfig):
+        classes: dict[int, list[tuple[int, bytes, bytes | None]]] = {}
+        for item in items:
+            n_words = len(words_of(item[1])) + len(words_of(item[2] or b""))
+            if n_words:
+                classes.setdefault(length_class(n_words), []).append(item)
+        self.indexes = [Index(classes[c], frequency, n_items, average, config) for c in sorted(classes)]
+        self.ids = [i for index in self.indexes for i in index.ids]
+        self.terms: dict[bytes, int] = {}
+        for index in self.indexes:
+            for w in index.terms:
+                self.terms.setdefault(w, len(self.terms))
+        self.local = []  # of each index: its number for a term; the last place is for words that are no term
+        for index in self.indexes:
+            numbers = np.full(len(self.terms) + 1, -1, dtype=np.int32)
+            numbers[[self.terms[w] for w in index.terms]] = list(index.terms.values())
+            self.local.append(numbers)
+
+    def matches(self, texts: list[bytes]) -> list[list[tuple[int, float, float, float, int]]]:
+        """As ``Index.matches``, for the items of all classes."""
+        found: list[list[tuple[int, float, float, float, int]]] = [[] for _ in texts]
+        words, get, before = [words_of(t) for t in texts], self.terms.get, 0
+        ids = np.array([get(w, -1) for ws in words for w in ws], dtype=np.int64)
+        for index, numbers in zip(self.indexes, self.local, strict=True):
+            for out, got in zip(found, index.matches(words, numbers[ids].astype(np.int64)), strict=True):
+                out.extend((before + item, *rest) for item, *rest in got)
+            before += len(index.ids)
+        return found
+
+
+def shards(benchmark: DataFrame, config: SearchConfig, answer: str | None = None) -> Iterator[Shard]:
+    """The indexes of each shard of items; the statistics are those of the whole benchmark.
 
     Null ids or texts and items without words are left out. The number of items
     and of characters is counted first, and the items are dealt by a hash of
@@ -193,7 +235,7 @@ def shards(benchmark: DataFrame, config: SearchConfig, answer: str | None = None
     for k in range(deal):
         items = rows.where(shard == k).collect()
         frequency = {bytes(r["word"]): r["df"] for r in counted.where(F.array_contains("in_shards", F.lit(k).cast("long"))).select("word", "df").collect()}
-        yield Index([(r["item_id"], bytes(r["text"]), None if r["answer"] is None else bytes(r["answer"]))
+        yield Shard([(r["item_id"], bytes(r["text"]), None if r["answer"] is None else bytes(r["answer"]))
                            for r in sorted(items, key=lambda r: (r["item_id"], bytes(r["text"])))],
                           frequency, size["n"], average, config)
 
