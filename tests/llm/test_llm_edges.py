@@ -138,3 +138,8 @@ def test_sample_of_a_hot_id_and_of_labels_without_documents(spark):
     assert sorted(y for y, _ in got) == [0] * 6 + [1] * 6 and len({t.split()[1] for _, t in got}) == 12
     one = labelled_sample(docs.where("doc_id > 0 or text = 'text 0'"), labels, "quality", F.expr(ALL), 2, max_chars=200)
     assert sorted(y for y, _ in one) == [0, 0, 1, 1]
+
+
+def test_item_ids_of_type_int_in_several_shards(docs, items):
+    found = decontamination.contaminations(docs, items.withColumn("item_id", F.col("item_id").cast("int")), decontamination.SearchConfig(max_items=1))
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(6, 2), (7, 2), (7, 2)]

@@ -211,7 +211,7 @@ def shards(benchmark: DataFrame, config: SearchConfig, answer: str | None = None
     their id to twice the shards that the bounds ask for, so that chance does not
     fill one beyond them.
     """
-    columns = ["item_id", raw("text").alias("text"),
+    columns = [F.col("item_id").cast("long").alias("item_id"), raw("text").alias("text"),
                (raw(answer) if answer else F.lit(None).cast("binary")).alias("answer")]
     rows = benchmark.where("item_id is not null and text is not null").select(*columns)
     size = rows.agg(F.count("*").alias("n"), F.sum(F.length("text") + F.coalesce(F.length("answer"), F.lit(0))).alias("c")).first()
@@ -228,7 +228,7 @@ def shards(benchmark: DataFrame, config: SearchConfig, answer: str | None = None
                     doc.append(batch.column(0)[i].as_py()), word.append(w)
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(word, pa.binary())], names=["item_id", "word"])
 
-    tokens = rows.select(F.col("item_id").cast("long").alias("item_id"), "text", "answer").mapInArrow(terms, "item_id long, word binary")
+    tokens = rows.mapInArrow(terms, "item_id long, word binary")
     average = (tokens.groupBy("item_id").agg(F.count("*").alias("n")).agg(F.avg("n")).first()[0]) or 1.0
     shard = F.pmod(F.xxhash64("item_id"), F.lit(deal))
     counted = tokens.distinct().groupBy("word").agg(F.count("*").alias("df"), F.collect_set(shard).alias("in_shards"))
