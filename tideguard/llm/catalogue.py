@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideguard.llm import decontamination, language_model, mixing, personal_data, quality_classifier, quality_rules, setsketch, substring_dedup, token_files, toxicity
+from tideguard.llm import decontamination, language_model, merkle_manifest, mixing, personal_data, quality_classifier, quality_rules, setsketch, substring_dedup, token_files, toxicity
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.query,
@@ -15,9 +15,11 @@ QUERIES = {
     "op7_benchmark_decontamination": decontamination.query,
     "op5_source_mixing": mixing.query,
     "op6_token_files": token_files.query,
+    "op11_merkle_manifest": merkle_manifest.query,
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_substring_dedup": substring_dedup.ORACLE,
+    "op11_merkle_manifest": merkle_manifest.ORACLE,
 }
