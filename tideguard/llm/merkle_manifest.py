@@ -192,9 +192,18 @@ def down(tier: DataFrame, above: DataFrame, config: ManifestConfig) -> DataFrame
             .mapInArrow(work, f"grp string, place long, key {kind}, lefts array<string>, rights array<string>, subroot string"))
 
 
-def above_leaves(found: list[DataFrame], entry: DataFrame, config: ManifestConfig) -> DataFrame:
-    """(grp, block, lefts, rights, subroot) for the blocks of the lowest tier; ``entry`` (grp, lefts, rights, subroot) is above the groups."""
-    whole = lambda t: t.where("whole").select("grp", "block").join(entry, "grp")
+def above_leaves(found: list[DataFrame], entry: DataFrame | None, config: ManifestConfig) -> DataFrame:
+    """(grp, block, lefts, rights, subroot) for the blocks of the lowest tier.
+
+    ``entry`` (grp, lefts, rights, subroot) is above the groups; without it nothing is.
+    """
+    def whole(tier: DataFrame) -> DataFrame:
+        ends = tier.where("whole").select("grp", "block")
+        if entry is not None:
+            return ends.join(entry, "grp")
+        none = F.array().cast("array<string>")
+        return ends.select("grp", "block", none.alias("lefts"), none.alias("rights"), F.lit(None).cast("string").alias("subroot"))
+
     above = whole(found[-1])
     for upper, lower in zip(found[:0:-1], found[-2::-1], strict=True):
         come = down(upper, above, config).select("grp", F.col("place").alias("block"), "lefts", "rights", "subroot")
@@ -213,10 +222,7 @@ class Manifest:
 
     def above(self) -> DataFrame:
         """What the paths of the leaves' blocks need from above, see ``above_leaves``."""
-        nothing = self.over[0].sparkSession.range(1).select(
-            F.lit("").alias("grp"), F.array().cast("array<string>").alias("lefts"), F.array().cast("array<string>").alias("rights"),
-            F.lit(None).cast("string").alias("subroot"))
-        entry = down(self.over[0], above_leaves(self.over, nothing, self.config), self.config)
+        entry = down(self.over[0], above_leaves(self.over, None, self.config), self.config)
         # The key of a member of the upper tree is its group.
         entry = entry.select(F.col("key").alias("grp"), "lefts", "rights").join(tops(self.groups), "grp")
         return above_leaves(self.groups, materialise(entry.withColumnRenamed("digest", "subroot"), "manifest-entry"), self.config)
