@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tideguard.llm import decontamination, language_model, merkle_manifest, mixing, periodic_runs, personal_data, quality_classifier, quality_rules, setsketch, substring_dedup, token_files, toxicity
+from tideguard.llm import decontamination, language_model, merkle_manifest, mixing, periodic_runs, personal_data, projection_forest, quality_classifier, quality_rules, setsketch, substring_dedup, token_files, toxicity
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op6_token_files": token_files.query,
     "op11_merkle_manifest": merkle_manifest.query,
     "op12_periodic_runs": periodic_runs.query,
+    "op13_embedding_near_dedup": projection_forest.query,
 }
 
 ORACLES: dict[str, str] = {
