@@ -39,11 +39,11 @@ def validate_comments(df: DataFrame, column: str = "comment_text",
     return checked.withColumn("accepted", F.col("reason").isNull())
 
 
-def admit_messages(df: DataFrame, column: str = "text") -> DataFrame:
-    """Text messages that are not commands."""
+def admit_messages(df: DataFrame, column: str = "text", always: Column | None = None) -> DataFrame:
+    """Text messages that are not commands, and the rows for which ``always`` holds."""
     text = F.col(column)
-    return df.filter(text.isNotNull() & (strip_blanks(text) != "")
-                     & ~text.startswith("/"))
+    admitted = text.isNotNull() & (strip_blanks(text) != "") & ~text.startswith("/")
+    return df.filter(admitted if always is None else admitted | always)
 
 
 def lexicon_hit(text: Column, lexicon: Sequence[str] = DEFAULT_LEXICON) -> Column:

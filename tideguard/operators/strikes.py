@@ -291,6 +291,11 @@ def strike_status(actions: DataFrame, keys: Sequence[str], ts: str, event_id: st
     last = (actions.filter(F.col(ts) <= now).groupBy(*keys)
             .agg(F.max_by(F.struct("strikes", "muted_until"), F.struct(ts, event_id)).alias("s"))
             .select(*keys, "s.*"))
+    return with_status(last, keys, now, config)
+
+
+def with_status(last: DataFrame, keys: Sequence[str], now: Column, config: ModerationConfig) -> DataFrame:
+    """(keys, strikes, muted_until) put into words at ``now``."""
     left_us = micros(F.col("muted_until")) - micros(now)
     full = F.col("strikes") >= config.max_strikes
     status = (F.when(F.col("strikes") == 0, "none").when(~full, "warned")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from tideguard.config import DEFAULT_LEXICON, LABELS, LEXICON_LABELS, LEXICON_MARK, THRESHOLDS
@@ -12,8 +15,9 @@ from tideguard.plans import sql_parts as sql
 from tideguard.plans.fixtures import table
 from tideguard.plans.text_queries import _term_weight
 from tideguard.session import fresh_path, materialise
+from tideguard.streaming import online
 from tideguard.streaming import scoring as stream_scoring
-from tideguard.streaming.strikes import stream_strikes as strike_stream
+from tideguard.streaming import strikes as strike_stream
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -54,17 +58,84 @@ def strike_status(spark, sf_dir):
     return strikes.strike_status(_actions(spark, sf_dir), ["user_id"], "ts", "event_id", now)
 
 
-def stream_strikes(spark, sf_dir):
-    """The events as a stream, played to its end."""
+def _to_the_end(spark, answers, out):
+    """Plays a stream until its source has no more, and reads what it has written."""
+    (answers.writeStream.format("parquet").option("path", f"{out}/actions")
+     .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{out}/actions")
+
+
+def _played_events(spark, sf_dir):
+    """The events as a stream, played to its end: actions, and the folder of the stream."""
     schema = table(spark, sf_dir, "events").schema
     events = stream_scoring.read_table_stream(spark, sf_dir, "events", schema)
     out = fresh_path(spark, "strike-stream")
-    query = (strike_stream(events, ["user_id"], "ts", "event_id", _toxic())
-             .writeStream.format("parquet").option("path", f"{out}/actions")
-             .option("checkpointLocation", f"{out}/checkpoint")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return _shown(spark.read.parquet(f"{out}/actions"))
+    return _to_the_end(spark, strike_stream.stream_strikes(events, ["user_id"], "ts", "event_id", _toxic()), out), out
+
+
+def stream_strikes(spark, sf_dir):
+    return _shown(_played_events(spark, sf_dir)[0])
+
+
+def stream_status(spark, sf_dir):
+    """Where everybody stands at the time of the last event, read from the state of the stream."""
+    _, out = _played_events(spark, sf_dir)
+    events = table(spark, sf_dir, "events")
+    now = events.agg(F.max("ts").alias("now")).scalar()
+    return strike_stream.stream_status(events.select("user_id"), f"{out}/checkpoint", ["user_id"], now)
+
+
+# Events arrive up to LATE_HOURS late, in so many micro-batches.
+LATE_HOURS, ARRIVALS = 12, 5
+
+
+def _arrivals(spark, sf_dir, batches):
+    """The events as a stream that brings them late and out of order, then a last message that settles all."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    hours = F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000 + F.pmod(F.col("event_id") * 37, F.lit(LATE_HOURS))
+    bounds = events.agg(F.min(hours).alias("a"), F.max(hours).alias("b"), F.max("ts").alias("last")).first()
+    width = (bounds["b"] - bounds["a"]) / batches
+    source = fresh_path(spark, "late-events")
+    for k in range(batches):  # a file each, written in the order of arrival, as a stream lists files by their age
+        arrives = F.least(F.floor((hours - bounds["a"]) / width), F.lit(batches - 1))
+        events.filter(arrives == k).coalesce(1).write.mode("append").parquet(source)
+    late = bounds["last"] + datetime.timedelta(days=30)
+    spark.createDataFrame([(-1, late, None, "")], events.schema).coalesce(1).write.mode("append").parquet(source)
+    return stream_scoring.read_table_stream(spark, source, "part-", events.schema, files_per_trigger=1)
+
+
+def stream_strikes_event_time(spark, sf_dir, batches=ARRIVALS):
+    """Strikes strictly by time, whatever the micro-batches were that brought the events."""
+    arrivals = _arrivals(spark, sf_dir, batches)
+    actions = strike_stream.stream_strikes(arrivals, ["user_id"], "ts", "event_id", _toxic(), delay=f"{LATE_HOURS} hours",
+                                           slot_seconds=600)
+    return _shown(_to_the_end(spark, actions, fresh_path(spark, "event-time-stream")).filter("event_id >= 0"))
+
+
+def chat_messages(turns):
+    """Conversation turns as chat messages, 20 seconds apart, a conversation a minute; system turns are rejoins."""
+    return turns.select(
+        (F.col("conv_id") % 10).alias("chat_id"), (F.floor(F.col("conv_id") / 10) % 3).alias("user_id"),
+        (F.col("conv_id") * 100 + F.col("turn")).alias("message_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("conv_id") * 60 + F.col("turn") * 20).alias("sent"), "text",
+        (F.col("role") == "system").alias("rejoined"))
+
+
+def _word_scores(rows):
+    """Probabilities from the weights of the words (the arithmetic of ``_term_weight``)."""
+    sums = np.array([[sum((len(w) * (31 + 2 * k) + ord(w[0]) * (7 + k)) % 101 - 50 for w in words) for k in range(len(LABELS))]
+                     for words in rows["tokens"]])
+    return 1.0 / (1.0 + np.exp(-(sums / 5000.0 - 0.02)))
+
+
+def online_strikes(spark, sf_dir):
+    """Chat messages admitted, checked, scored where nobody is muted, and answered, as one stream."""
+    turns = stream_scoring.read_table_stream(spark, sf_dir, "conversations", table(spark, sf_dir, "conversations").schema)
+    scorer = online.Scorer({"tokens": model_tokens(F.col("text"))}, _word_scores)
+    answers = online.moderate_online(chat_messages(turns), scorer, ["chat_id", "user_id"], "sent", "message_id", rejoin=F.col("rejoined"))
+    return _to_the_end(spark, answers, fresh_path(spark, "online-stream")).select(
+        "chat_id", "user_id", "message_id", "action", "strikes", "remove", "scored",
+        F.array_join("categories", ",").alias("categories"), F.date_format("muted_until", TIME_FORMAT).alias("muted_until"))
 
 
 def stream_score(spark, sf_dir):
@@ -105,16 +176,24 @@ QUERIES = {
     "strike_action_counts": strike_action_counts,
     "strike_status": strike_status,
     "stream_strikes": stream_strikes,
+    "stream_strikes_event_time": stream_strikes_event_time,
+    "stream_status": stream_status,
+    "online_strikes": online_strikes,
     "stream_score": stream_score,
 }
 
 
 def _machine(rejoin: bool) -> str:
+    """The strike machine on the events."""
+    return "WITH RECURSIVE " + _steps(f"""SELECT event_id, user_id, ts, event_type = 'error' AS toxic,
+  {"event_type = 'signup'" if rejoin else "false"} AS rejoin FROM events""")
+
+
+def _steps(messages: str) -> str:
     """The strike machine one message at a time, by recursion over the row number."""
     expired = "s.muted_until IS NOT NULL AND m.ts >= s.muted_until"
-    return f"""WITH RECURSIVE m AS (SELECT event_id, user_id, ts, event_type = 'error' AS toxic,
-  {"event_type = 'signup'" if rejoin else "false"} AS rejoin,
-  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+    return f"""m AS (SELECT *,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM ({messages})),
 a AS (SELECT DISTINCT user_id, 0::BIGINT AS rn, CAST(NULL AS BIGINT) AS event_id,
   CAST(NULL AS TIMESTAMP) AS ts, '' AS action, 0 AS strikes,
   CAST(NULL AS TIMESTAMP) AS muted_until FROM m
@@ -159,13 +238,7 @@ G AS (SELECT *, """ + ", ".join(
         else f"prob_{x} >= {t} AS flag_{x}, CAST(NULL AS VARCHAR) AS by_{x}"
         for x, t in THRESHOLDS.items()) + " FROM Q)\n"
 
-ORACLES = {
-    "batch_strikes": _machine(False) + _SHOWN,
-    "stream_strikes": _machine(False) + _SHOWN,
-    "strikes_with_rejoin": _machine(True) + _SHOWN,
-    "strike_action_counts": _machine(False)
-    + "SELECT action, count(*) AS n FROM act GROUP BY action",
-    "strike_status": _machine(False) + """, l AS (SELECT * FROM act
+_STATUS = _machine(False) + """, l AS (SELECT * FROM act
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) = 1),
 t AS (SELECT *, (SELECT max(ts) FROM events) AS now FROM l),
 u AS (SELECT *, CASE WHEN strikes = 0 THEN 'none' WHEN strikes < 3 THEN 'warned'
@@ -173,7 +246,41 @@ u AS (SELECT *, CASE WHEN strikes = 0 THEN 'none' WHEN strikes < 3 THEN 'warned'
 SELECT user_id, strikes, status, CASE WHEN status = 'warned' THEN 3 - strikes END AS remaining,
   CASE WHEN status = 'muted' THEN
     CAST(floor(date_diff('microsecond', now, muted_until) / 60000000.0) + 1 AS INTEGER)
-  END AS minutes_left FROM u""",
+  END AS minutes_left FROM u"""
+
+_CHAT = """WITH RECURSIVE N AS (SELECT conv_id % 10 AS chat_id, (conv_id // 10) % 3 AS member, conv_id * 100 + turn AS event_id,
+  TIMESTAMP '2024-01-01' + to_seconds(conv_id * 60 + turn * 20) AS ts, role = 'system' AS rejoin, text,
+  trim(text, E' \\t\\n\\x0b\\f\\r') AS stripped FROM conversations),
+K AS (SELECT *, coalesce(length(stripped) BETWEEN 1 AND 5000, false) AND NOT rejoin AS ok FROM N
+  WHERE rejoin OR (text IS NOT NULL AND stripped <> '' AND NOT starts_with(text, '/'))),
+W AS (SELECT event_id, """ + sql.model_words("text") + """ AS tokens FROM K WHERE ok),
+X AS (SELECT event_id, unnest(tokens) AS term FROM W),
+Z AS (SELECT event_id, """ + ", ".join(
+    f"sum((length(term) * {31 + 2 * k} + ascii(term) * {7 + k}) % 101 - 50) AS s_{x}" for k, x in enumerate(LABELS)) + """
+  FROM X GROUP BY event_id),
+H AS (SELECT DISTINCT event_id FROM (SELECT event_id,
+  unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}_]+')) AS word FROM K)
+  WHERE word IN (""" + ", ".join(f"'{w}'" for w in DEFAULT_LEXICON) + """)),
+G AS (SELECT K.*, """ + ", ".join(
+    f"ok AND (1.0 / (1.0 + exp(-(coalesce(s_{x}, 0) / 5000.0::DOUBLE - 0.02::DOUBLE))) >= {t}"
+    + (" OR event_id IN (SELECT event_id FROM H)" if x in LEXICON_LABELS else "") + f") AS flag_{x}"
+    for x, t in THRESHOLDS.items()) + """ FROM K LEFT JOIN Z USING (event_id)),
+""" + _steps("SELECT event_id, chat_id * 10 + member AS user_id, ts, (" + " OR ".join(f"flag_{x}" for x in LABELS)
+             + ") AS toxic, rejoin FROM G") + """SELECT chat_id, member AS user_id, act.event_id AS message_id, action, strikes,
+  action IN ('warn', 'final_warning', 'mute') AS remove, ok AND action <> 'muted' AS scored,
+  CASE WHEN ok AND action <> 'muted' THEN concat_ws(',', """ + sql.each_label("CASE WHEN flag_{L} THEN '{L}' END") + """) END AS categories,
+  strftime(muted_until, '%Y-%m-%d %H:%M:%S.%f') AS muted_until FROM act JOIN G ON G.event_id = act.event_id"""
+
+ORACLES = {
+    "stream_strikes_event_time": _machine(False) + _SHOWN,
+    "stream_status": _STATUS,
+    "online_strikes": _CHAT,
+    "batch_strikes": _machine(False) + _SHOWN,
+    "stream_strikes": _machine(False) + _SHOWN,
+    "strikes_with_rejoin": _machine(True) + _SHOWN,
+    "strike_action_counts": _machine(False)
+    + "SELECT action, count(*) AS n FROM act GROUP BY action",
+    "strike_status": _STATUS,
     "stream_score": "WITH " + _STREAM_TEXT + sql.per_label(
         "id, CAST(NULL AS VARCHAR) AS reason, concat_ws(',', " + sql.each_label(
             "CASE WHEN flag_{L} THEN '{L}' END")+ """)

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app: str = "tideguard", master: str | None = None,
                   shuffle_partitions: int | None = None) -> SparkSession:
@@ -24,6 +27,7 @@ def build_session(app: str = "tideguard", master: str | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(STATE_STORE, ROCKS_DB)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -34,6 +38,12 @@ def build_session(app: str = "tideguard", master: str | None = None,
     return builder.getOrCreate()
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Stream state in RocksDB, which keyed state processors need; streams that run already keep what they have."""
+    if spark.conf.get(STATE_STORE) != ROCKS_DB:
+        spark.conf.set(STATE_STORE, ROCKS_DB)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

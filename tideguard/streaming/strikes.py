@@ -6,109 +6,192 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideguard.config import DEFAULTS, ModerationConfig
 from tideguard.functions import strikes as machine
-from tideguard.functions.strikes import NEVER
-from tideguard.operators.strikes import _prepare, rules_of
+from tideguard.functions.strikes import NEVER, Rules
+from tideguard.operators.strikes import micros, rules_of, with_status
+from tideguard.session import keep_state_on_disk
+
+
+#: Keyed state of a user: strikes, and the end of a mute in microseconds.
+STATE = "count int, until long"
+_ROW = ["id", "us", "toxic", "rejoin"]
+_NO_ID = -(1 << 63)
+
+
+def folded(df: DataFrame, keys: Sequence[str], ts: str, event_id: str) -> list[Column]:
+    """``key``, ``id`` and ``us`` as stateful processors can take them.
+
+    Processors see pandas frames, where a NULL makes whole numbers floats and breaks
+    groups, and names may not begin with an underscore. So the keys are one JSON
+    text, which is never NULL, and a whole-numbered id that is NULL has a stand-in.
+    """
+    whole = isinstance(df.schema[event_id].dataType, T.IntegralType)
+    number = F.coalesce(F.col(event_id).cast("long"), F.lit(_NO_ID)) if whole else F.col(event_id).cast("string")
+    return [F.to_json(F.struct(*keys)).alias("key"), number.alias("id"), micros(F.col(ts)).alias("us")]
+
+
+def unfolded(schema: T.StructType, keys: Sequence[str], ts: str, event_id: str) -> list[Column]:
+    """Keys, id and time as columns again."""
+    kind = T.StructType([T.StructField(k, schema[k].dataType) for k in keys])
+    whole = isinstance(schema[event_id].dataType, T.IntegralType)
+    number = F.when(F.col("id") != _NO_ID, F.col("id")) if whole else F.col("id")
+    return [*[F.from_json("key", kind)[k].alias(k) for k in keys],
+            number.cast(schema[event_id].dataType).alias(event_id), F.timestamp_micros("us").alias(ts)]
+
+
+def sorted_rows(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """A user's part of a micro-batch, in order of (time, id)."""
+    return pd.concat(list(parts), ignore_index=True).sort_values(["us", "id"], kind="stable", ignore_index=True, na_position="first")
+
+
+def played(key: str, rows: pd.DataFrame, count: int, until: int, rules: Rules) -> tuple[pd.DataFrame, tuple[int, int]]:
+    """Rows in order through the machine: their actions, and the state afterwards."""
+    action, counts, ends, state = machine.play(
+        rows["us"].to_numpy(np.int64), rows["toxic"].to_numpy(bool), rows["rejoin"].to_numpy(bool), count, until, rules)
+    return pd.DataFrame({"key": key, "id": rows["id"].to_numpy(), "us": rows["us"].to_numpy(),
+                         "action": machine.ACTIONS[action], "strikes": counts, "end": ends}), state
+
+
+class StrikesOnArrival(StatefulProcessor):
+    """Each micro-batch on top of the state that the last one left."""
+
+    def __init__(self, rules: Rules) -> None:
+        self.rules = rules
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("strikes", STATE)
+
+    def close(self) -> None:
+        pass
+
+    def keep(self, before: tuple[int, int], after: tuple[int, int]) -> None:
+        if after == (0, NEVER):
+            if before != after:
+                self.state.clear()
+        elif before != after:
+            self.state.update(after)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        before = self.state.get() if self.state.exists() else (0, NEVER)
+        out, after = played(key[0], sorted_rows(rows), *before, self.rules)
+        self.keep(tuple(before), after)
+        yield out
+
+
+class StrikesInTime(StrikesOnArrival):
+    """Messages wait in slots of time until the watermark has passed the slot.
+
+    A slot's messages are a few map entries, one for each micro-batch that brought
+    some, with a timer at the slot's end. A micro-batch writes what has arrived and
+    reads what is settled; messages that wait on are not touched.
+    """
+
+    def __init__(self, rules: Rules, id_type: str, slot_ms: int) -> None:
+        super().__init__(rules)
+        self.id_type, self.slot_ms = id_type, slot_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "slot long, part int",
+                                          f"ids array<{self.id_type}>, times array<long>, toxic array<boolean>, rejoin array<boolean>")
+        self.parts = handle.getMapState("parts", "slot long", "n int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([r[_ROW] for r in rows], ignore_index=True)
+        for slot, own in rows.groupby(rows["us"].to_numpy(np.int64) // (1000 * self.slot_ms)):
+            slot = (int(slot),)
+            n = self.parts.getValue(slot)[0] if self.parts.containsKey(slot) else 0
+            self.waiting.updateValue((*slot, n), tuple(own[c].tolist() for c in _ROW))
+            self.parts.updateValue(slot, (n + 1,))
+            if n == 0:
+                self.handle.registerTimer((slot[0] + 1) * self.slot_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Timers of a user come in order of time: all slots before this one have been played."""
+        ends = expiredTimerInfo.getExpiryTimeInMs()
+        slot = (ends // self.slot_ms - 1,)
+        before = tuple(self.state.get()) if self.state.exists() else (0, NEVER)
+        after = before
+        if self.parts.containsKey(slot):
+            found = [self.waiting.getValue((*slot, k)) for k in range(self.parts.getValue(slot)[0])]
+            for k in range(len(found)):
+                self.waiting.removeKey((*slot, k))
+            self.parts.removeKey(slot)
+            rows = pd.concat([pd.DataFrame(dict(zip(_ROW, part, strict=True))) for part in found])
+            out, after = played(key[0], sorted_rows([rows]), *before, self.rules)
+            yield out
+        if after[1] != NEVER and after[1] <= 1000 * ends:
+            after = (0, NEVER)           # the mute is over for all that can still come
+        elif after[1] != NEVER and after != before:
+            self.handle.registerTimer((after[1] // (1000 * self.slot_ms) + 1) * self.slot_ms)
+        self.keep(before, after)
 
 
 def stream_strikes(messages: DataFrame, keys: Sequence[str], ts: str, event_id: str,
                    toxic: Column, rejoin: Column | None = None,
-                   config: ModerationConfig = DEFAULTS, delay: str | None = None) -> DataFrame:
+                   config: ModerationConfig = DEFAULTS, delay: str | None = None,
+                   slot_seconds: int = 60) -> DataFrame:
     """Messages with their action, as ``operators.strikes.strike_actions`` gives.
 
     Without ``delay`` messages count in order of arrival: each micro-batch is
     applied in order of (time, id), on top of the state the last one left. With
     a ``delay`` ("10 minutes") messages wait in the state until the watermark
-    has passed them and are then applied in time order, whatever the
-    micro-batches were; Spark drops messages older than the watermark.
+    has passed their slot of ``slot_seconds`` and are then applied in time order,
+    whatever the micro-batches were; Spark drops messages older than the watermark.
 
-    A task holds one user's part of one micro-batch; size micro-batches with
-    the source's limits (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
-    State is two numbers per user who has strikes, and nothing for the others.
-    ``ts`` comes back as a timestamp.
+    A task holds one user's part of one micro-batch, or of one slot; size
+    micro-batches with the source's limits (``maxFilesPerTrigger``,
+    ``maxOffsetsPerTrigger``). State is kept in RocksDB: two numbers per user who
+    has strikes, nothing for the others, and the waiting messages, each written and
+    read once. Messages without a time are left out. ``ts`` comes back as a timestamp.
     """
-    keys = list(keys)
     rules = rules_of(config)
-    prepared = _prepare(messages, keys, ts, event_id, toxic, rejoin)
-    key_fields = [prepared.schema[k] for k in keys]
-    id_field = prepared.schema["__id"]
-    output = T.StructType([
-        *key_fields, id_field, T.StructField("__us", T.LongType()),
-        T.StructField("action", T.StringType()), T.StructField("strikes", T.IntegerType()),
-        T.StructField("__end", T.LongType())])
-    state_fields = [T.StructField("count", T.IntegerType()), T.StructField("until", T.LongType())]
-    waiting = [T.StructField("ids", T.ArrayType(id_field.dataType)),
-               T.StructField("times", T.ArrayType(T.LongType())),
-               T.StructField("toxic", T.ArrayType(T.BooleanType())),
-               T.StructField("rejoin", T.ArrayType(T.BooleanType()))]
-    row_columns = ["__id", "__us", "__toxic", "__rejoin"]
-
-    def apply(key, rows, count, until):
-        rows = rows.sort_values(["__us", "__id"], kind="stable")
-        action, counts, ends, state = machine.play(
-            rows["__us"].to_numpy(np.int64), rows["__toxic"].to_numpy(bool),
-            rows["__rejoin"].to_numpy(bool), count, until, rules)
-        out = pd.DataFrame({"__id": rows["__id"].to_numpy(), "__us": rows["__us"].to_numpy(),
-                            "action": machine.ACTIONS[action], "strikes": counts, "__end": ends})
-        for name, value in zip(keys, key):
-            out[name] = value
-        return out[output.names], state
-
-    def on_arrival(key, batches: Iterator[pd.DataFrame],
-                   state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat([b[row_columns] for b in batches], ignore_index=True)
-        count, until = state.get if state.exists else (0, NEVER)
-        out, (count, until) = apply(key, rows, count, until)
-        if (count, until) != (0, NEVER):
-            state.update((count, until))
-        elif state.exists:
-            state.remove()
-        yield out
+    keep_state_on_disk(messages.sparkSession)
 
-    def in_time_order(key, batches: Iterator[pd.DataFrame],
-                      state: GroupState) -> Iterator[pd.DataFrame]:
-        count, until, *kept = state.get if state.exists else (0, NEVER, [], [], [], [])
-        parts = [pd.DataFrame(dict(zip(row_columns, kept)))] if len(kept[0]) else []
-        if not state.hasTimedOut:
-            parts += [b[row_columns] for b in batches]
-        rows = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=row_columns)
-        watermark = state.getCurrentWatermarkMs()
-        settled = rows["__us"].astype("int64") <= watermark * 1000
-        if settled.any():
-            out, (count, until) = apply(key, rows[settled], count, until)
-            yield out
-        rest = rows[~settled]
-        if len(rest) or (count, until) != (0, NEVER):
-            state.update((count, until, *[rest[c].tolist() for c in row_columns]))
-            # Wake up once the oldest waiting message is settled, or the mute is over.
-            wake = (int(rest["__us"].min()) if len(rest) else until) // 1000 + 1
-            if len(rest) or until != NEVER:
-                state.setTimeoutTimestamp(max(wake, watermark + 1))
-        elif state.exists:
-            state.remove()
-        if not len(rest) and until != NEVER and until <= watermark * 1000 and state.exists:
-            state.remove()           # mute over and nothing waiting: back to a clean start
+    def flag(column):
+        return (F.coalesce(column, F.lit(False)) if column is not None else F.lit(False))
 
+    rows = messages.select(*folded(messages, keys, ts, event_id), flag(toxic).alias("toxic"), flag(rejoin).alias("rejoin")).filter("us is not null")
+    kind = rows.schema["id"].dataType.simpleString()
+    output = f"key string, id {kind}, us long, action string, strikes int, end long"
     if delay is None:
-        played = prepared.groupBy(*keys).applyInPandasWithState(
-            on_arrival, output, T.StructType(state_fields), "append", GroupStateTimeout.NoTimeout)
+        answered = rows.groupBy("key").transformWithStateInPandas(StrikesOnArrival(rules), output, "Append", "None")
     else:
-        timed = prepared.withColumn("__time", F.timestamp_micros("__us")).withWatermark(
-            "__time", delay)
-        played = timed.groupBy(*keys).applyInPandasWithState(
-            in_time_order, output, T.StructType(state_fields + waiting), "append",
-            GroupStateTimeout.EventTimeTimeout)
-    return played.select(
-        *keys, F.col("__id").alias(event_id), F.timestamp_micros("__us").alias(ts),
-        "action", "strikes",
-        F.when(F.col("__end") != NEVER, F.timestamp_micros("__end")).alias("muted_until"),
-        F.col("action").isin("warn", "final_warning", "mute").alias("remove"))
+        timed = rows.withColumn("time", F.timestamp_micros("us")).withWatermark("time", delay)
+        answered = timed.groupBy("key").transformWithStateInPandas(
+            StrikesInTime(rules, kind, 1000 * slot_seconds), output, "Append", "EventTime")
+    return answered.select(*unfolded(messages.schema, keys, ts, event_id), "action", "strikes", *endings())
+
+
+def endings() -> list[Column]:
+    return [F.when(F.col("end") != NEVER, F.timestamp_micros("end")).alias("muted_until"),
+            F.col("action").isin("warn", "final_warning", "mute").alias("remove")]
+
+
+def stream_status(users: DataFrame, checkpoint: str, keys: Sequence[str], now: Column,
+                  config: ModerationConfig = DEFAULTS) -> DataFrame:
+    """Where the ``users`` (their keys) stand at ``now``, by the live state of a stream.
+
+    As ``strike_status``, without a replay of messages: one scan of the checkpoint's
+    keyed state, as the last finished micro-batch left it, through Spark's state
+    source, and a join with the users asked for. The stream may be running. Who has
+    no state has no strikes; ``now`` must not be before the last message.
+    """
+    state = (users.sparkSession.read.format("statestore").option("stateVarName", "strikes").load(checkpoint)
+             .select("key.key", F.col("value.count").alias("strikes"), F.col("value.until").alias("until")))
+    asked = users.select(*keys).distinct().withColumn("key", F.to_json(F.struct(*keys)))
+    found = asked.alias("u").join(state.alias("s"), F.col("u.key") == F.col("s.key"), "left").select(
+        *[F.col(f"u.{k}").alias(k) for k in keys], F.coalesce("s.strikes", F.lit(0)).alias("strikes"),
+        F.when(F.col("s.until") != NEVER, F.timestamp_micros("s.until")).alias("muted_until"))
+    return with_status(found, keys, now, config)
 
 
 def first_of_repeats(messages: DataFrame, event_id: str, time: str, delay: str) -> DataFrame:
