@@ -1,5 +1,7 @@
 """Reports on a small patterned table with known results."""
 
+import decimal
+
 import pytest
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
@@ -157,20 +159,59 @@ def test_metrics_with_empty_denominators(spark):
     assert (row.precision, row.recall, row.f1, row.tn) == (0.0, 0.0, 0.0, 2)
 
 
-@pytest.mark.parametrize("n, buckets, cells, spread", [
-    (1003, 20, 50, 10**6), (7, 20, 5, 100), (500, 7, 3, 4), (400, 9, 40, 1), (1000, 20, 2000, 30)])
-def test_ntile_equals_brute_force_with_ties(spark, n, buckets, cells, spread):
-    """A few order values shared by many rows, down to a single one."""
-    rows = [((i * 7919) % spread, i % 3 == 0) for i in range(n)]
-    got = {r.bucket_index: (r.comment_count, r.flagged_count) for r in ntile_totals(
-        spark.createDataFrame(rows, "k long, f boolean").repartition(5), "k", "f", buckets, cells
-    ).collect()}
-    want, start = {}, 0
-    ordered = sorted(rows)
+def ntile_by_hand(rows_in, buckets):
+    want, start, n = {}, 0, len(rows_in)
+    ordered = sorted(rows_in, key=lambda r: ((r[0] is not None) + (r[0] is not None and r[0] != r[0]), r[0] if r[0] == r[0] and r[0] is not None else 0, r[1]))
     for b in range(buckets):
         size = n // buckets + (b < n % buckets)
         if size:
             part = ordered[start:start + size]
             want[b] = (size, sum(f for _, f in part))
         start += size
-    assert got == want
+    return want
+
+
+def ntile_found(spark, rows_in, kind, buckets, cells):
+    df = spark.createDataFrame(rows_in, f"k {kind}, f boolean").repartition(5)
+    return {r.bucket_index: (r.comment_count, r.flagged_count) for r in ntile_totals(df, "k", "f", buckets, cells).collect()}
+
+
+@pytest.mark.parametrize("n, buckets, cells, spread", [
+    (1003, 20, 50, 10**6), (7, 20, 5, 100), (500, 7, 3, 4), (400, 9, 40, 1), (1000, 20, 65_536, 30), (0, 20, 9, 1)])
+def test_ntile_equals_brute_force_with_ties(spark, n, buckets, cells, spread):
+    """A few order values shared by many rows, down to a single one."""
+    rows_in = [((i * 7919) % spread, i % 3 == 0) for i in range(n)]
+    assert ntile_found(spark, rows_in, "long", buckets, cells) == ntile_by_hand(rows_in, buckets)
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("double", [None, float("-inf"), float("inf"), float("nan"), -1.7e308, 1.7e308, 5e-324, 0.0, 1e-300, 0.1]),
+    ("double", [0.5 + i * 2.0 ** -53 for i in range(40)] + [2.0 ** -i for i in range(60)]),
+    ("long", [-(1 << 63), (1 << 63) - 1, 0, 1, (1 << 60) + 1, (1 << 60) + 2, None]),
+    ("decimal(38,2)", [decimal.Decimal(10) ** 30 + i for i in range(30)] + [decimal.Decimal("0.01"), None])])
+def test_ntile_of_skewed_and_extreme_values(spark, kind, values):
+    rows_in = [(values[i % len(values)], i % 4 == 1) for i in range(300)]
+    for buckets, cells in ((7, 16), (20, 65_536)):
+        assert ntile_found(spark, rows_in, kind, buckets, cells) == ntile_by_hand(rows_in, buckets)
+
+
+def test_what_the_driver_gets_does_not_grow_with_the_rows(spark):
+    """Two histograms of 200,000 rows and of 2,000 bring the same few rows to the driver."""
+    got = []
+    for n in (2_000, 200_000):
+        df = spark.range(n).select(F.pow("id", F.lit(3)).alias("k"), (F.col("id") % 7 == 0).alias("f"))
+        seen, collect = [], type(df).collect
+
+        def counting(self, keep=collect, into=seen):
+            out = keep(self)
+            into.append(len(out))
+            return out
+
+        type(df).collect = counting
+        try:
+            result = ntile_totals(df, "k", "f", 20, 256)
+        finally:
+            type(df).collect = collect
+        got.append(max(seen))
+        assert [r.comment_count for r in result.collect()] == [n // 20] * 20
+    assert got[0] <= 40 and got[1] <= 40

@@ -1,5 +1,6 @@
 """Plans and results that must hold at any size: skew, pruning, partitioning."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from tideguard.operators import features, sampling
 from tideguard.operators.evaluation import auc_exact
 from tideguard.operators.harmonize import majority_vote
 from tideguard.operators.joins import lookup_even
-from tideguard.plans import catalogue, fixtures, report_queries
+from tideguard.plans import catalogue, fixtures
 from tideguard.session import fresh_path
 from tideguard.sources import readers, writers
 
@@ -53,13 +54,6 @@ def test_reports_read_text_only_where_they_show_it(spark, sf):
         assert "comment_text" not in plan_of(report)
 
 
-def test_volume_buckets_sort_no_rows_globally(spark, sf):
-    """The only global windows run over the per-cell counts, after an aggregate."""
-    text = plan_of(report_queries.volume_buckets(spark, sf))
-    for part in text.split("Exchange SinglePartition")[1:]:
-        assert "HashAggregate(keys=[cell" in part.split("\n")[1]
-
-
 def test_costly_arrays_are_computed_once(spark, sf):
     plan = plan_of(catalogue.QUERIES["idf_table"](spark, sf))
     assert "(size(" not in plan
@@ -130,11 +124,24 @@ def test_auc_with_one_score_for_a_third_of_the_rows(spark):
     pos = [s for y, s in data if y]
     neg = [s for y, s in data if not y]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / len(pos) / len(neg)
-    for cells in (2, 10, 500):
-        got = auc_exact(df, ["toxic"], cells=cells).first().auc_roc
+    for parts in (1, 3, 40):
+        spread = df.repartition(parts)
+        got = auc_exact(spread, ["toxic"]).first().auc_roc
         assert abs(got - want) < 1e-12
 
 
+@pytest.mark.parametrize("scores", [lambda i: 0.5 + i % 700 * 2.0 ** -52, lambda i: 2.0 ** -(i % 900), lambda i: 0.25])
+def test_auc_of_skewed_scores(spark, scores):
+    """Scores that share their first digits, that fall by powers, or that are one."""
+    data = [(int(i * 7919 % 11 < 4), scores(i)) for i in range(1500)]
+    df = spark.createDataFrame(data, "toxic int, prob_toxic double").repartition(7)
+    pos, neg = np.array([s for y, s in data if y]), np.array([s for y, s in data if not y])
+    want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / len(pos) / len(neg)
+    result = auc_exact(df, ["toxic"])
+    assert abs(result.first().auc_roc - want) < 1e-12
+    assert "BroadcastNestedLoop" not in plan_of(result) and "SinglePartition" not in plan_of(result)
+
+
 def test_text_tables_are_spread_only_on_demand(spark, sf):
     path = f"{sf}/documents.parquet"
     assert "Exchange" not in plan_of(readers.read_parallel(spark, path, "doc_id"))

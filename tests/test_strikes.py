@@ -7,10 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 from tideguard.config import ModerationConfig
 from tideguard.functions import strikes as machine
-from tideguard.operators.strikes import strike_actions, strike_status
+from tideguard.operators import strikes
+from tideguard.operators.strikes import slice_units, strike_actions, strike_status
 from tideguard.streaming.strikes import first_of_repeats, stream_strikes
 
 T0 = datetime(2024, 3, 1, 12, 0, 0)
@@ -65,6 +66,12 @@ def test_equals_brute_force_with_and_without_slices(spark, minutes, mute, slice_
     assert result(got) == brute(messages, mute=timedelta(minutes=mute))
 
 
+def test_chains_of_slices_over_several_parents(spark, monkeypatch):
+    monkeypatch.setattr(strikes, "FAN_IN", 3)
+    messages = made_up(400, 77, 300)
+    assert result(play(spark, messages, slice_rows=7)) == brute(messages)
+
+
 def test_one_user_with_a_third_of_all_rows(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet").withColumn(
         "user_id", F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("user_id")))
@@ -74,6 +81,35 @@ def test_one_user_with_a_third_of_all_rows(spark, sf):
     assert rows(whole) == rows(sliced)
 
 
+def test_slices_follow_the_messages_and_not_the_time(spark):
+    """23,000 messages spread over two years, and as many in one minute."""
+    pick = random.Random(8)
+    spread = [(1, i, T0 + timedelta(minutes=pick.randrange(1_200_000)), True, False) for i in range(23_000)]
+    packed = [(None, 30_000 + i, T0 + timedelta(milliseconds=3 * i), i % 50 == 0, False) for i in range(20_000)]
+    few = [(2, 60_000 + i, T0 + timedelta(minutes=i), True, False) for i in range(9)]
+    rows_in = spark.createDataFrame(spread + packed + few, SCHEMA).select("user", F.unix_micros("ts").alias("__us"))
+    units = slice_units(rows_in, ["user"], 1000)
+    found = {r.user: (r.slices, r.seconds) for r in units.groupBy("user").agg(
+        F.count_distinct("__slice").alias("slices"), F.count("*").alias("seconds")).collect()}
+    assert set(found) == {1, None} and found[1][0] <= 24 and found[None][0] <= 21
+    full = rows_in.withColumn("__second", F.floor(F.col("__us") / 1_000_000)).join(
+        units.withColumnRenamed("user", "u"), F.col("user").eqNullSafe(F.col("u")) & (units["__second"] == F.floor(F.col("__us") / 1_000_000)))
+    assert full.groupBy("u", "__slice").count().agg(F.max("count")).first()[0] <= 1000 + 334   # and what one second holds
+
+
+def test_nothing_runs_before_the_result_is_asked_for(spark):
+    df = spark.createDataFrame([(1, 1, T0, True, False)] * 30, SCHEMA)
+    group = "strikes-are-lazy"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        for size in (10, 10**6):
+            plan = plan_of(strike_actions(df, ["user"], "ts", "id", F.col("bad"), slice_rows=size))
+            assert "rangepartitioning" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_message_exactly_at_the_end_of_the_mute_counts(spark):
     at = [0, 1, 2, 32, 33]
     messages = [(1, i, T0 + timedelta(minutes=m), True, False) for i, m in enumerate(at)]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideguard.config import LABELS
-from tideguard.operators.ordering import cell_edges, with_cell
+from tideguard.operators.ordering import in_ranges
 
 
 def confusion_matrix(df: DataFrame, label: str = "label",
@@ -42,37 +42,33 @@ def precision_recall_f1(df: DataFrame, labels: Sequence[str] = LABELS,
 
 
 def auc_exact(df: DataFrame, labels: Sequence[str] = LABELS, actual: str = "{}",
-              score: str = "prob_{}", cells: int | None = None) -> DataFrame:
+              score: str = "prob_{}") -> DataFrame:
     """Exact area under the ROC and the precision-recall curve per label.
 
-    Both areas are sums over the distinct scores in falling order. Equal
-    scores are merged first (map-side), then score cells are summed on their
-    own, each starting from the counts of the cells above it.
+    Both areas are sums over the distinct scores in falling order. Equal scores
+    are merged first (map-side); the distinct ones are dealt out by ranges, which
+    are even however the scores lie, and each range is summed on its own, starting
+    from the counts of the ranges above it: one row per label and range.
     """
     tall = df.select(F.inline(F.array(*[
         F.struct(F.lit(x).alias("label"), F.col(score.format(x)).alias("score"),
                  F.col(actual.format(x)).cast("int").alias("y"))
         for x in labels]))).filter(F.col("score").isNotNull() & F.col("y").isNotNull())
-    edges = cell_edges(tall, "score", cells)
-    merged = tall.groupBy("label", "score").agg(
-        F.sum("y").cast("double").alias("pos"), F.sum(1 - F.col("y")).cast("double").alias("neg"))
-    merged = with_cell(merged, "score", edges)
-
-    # One row per label and cell: small enough to broadcast.
-    per_cell = merged.groupBy("label", "cell").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    falling = Window.partitionBy("label").orderBy(F.col("cell").desc())
-    above = falling.rowsBetween(Window.unboundedPreceding, -1)
+    merged = in_ranges(tall.groupBy("label", "score").agg(
+        F.sum("y").cast("double").alias("pos"), F.sum(1 - F.col("y")).cast("double").alias("neg")), "label", F.desc("score"))
+
+    per_range = merged.groupBy("label", "part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    above = Window.partitionBy("label").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("label")
-    starts = per_cell.select(
-        "label", "cell",
+    starts = per_range.select(
+        "label", "part",
         F.coalesce(F.sum("pos").over(above), F.lit(0.0)).alias("tp_above"),
         F.coalesce(F.sum("neg").over(above), F.lit(0.0)).alias("fp_above"),
         F.sum("pos").over(whole).alias("n_pos"), F.sum("neg").over(whole).alias("n_neg"))
 
-    inside = Window.partitionBy("label", "cell").orderBy(F.col("score").desc()).rowsBetween(
+    inside = Window.partitionBy("label", "part").orderBy(F.col("score").desc()).rowsBetween(
         Window.unboundedPreceding, 0)
-    curve = merged.join(F.broadcast(starts), ["label", "cell"]).select(
+    curve = merged.join(starts, ["label", "part"]).select(
         "label", "pos", "neg", "n_pos", "n_neg",
         (F.col("tp_above") + F.sum("pos").over(inside)).alias("tp"),
         (F.col("fp_above") + F.sum("neg").over(inside)).alias("fp"))

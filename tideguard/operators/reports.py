@@ -198,7 +198,7 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
 
 
 def volume_buckets(flags: DataFrame, config: ModerationConfig = DEFAULTS,
-                   order: str = "id", cells: int | None = None) -> DataFrame:
+                   order: str = "id") -> DataFrame:
     """Comments and flags in ``volume_buckets`` equal slices of the row order.
 
     ``order`` must be a number: text ids have no order that says anything about
@@ -206,4 +206,4 @@ def volume_buckets(flags: DataFrame, config: ModerationConfig = DEFAULTS,
     """
     if not isinstance(flags.schema[order].dataType, T.NumericType):
         raise TypeError(f"{order} has no order of rows; name a numeric column")
-    return ntile_totals(flags, order, "any_flagged", config.volume_buckets, cells)
+    return ntile_totals(flags, order, "any_flagged", config.volume_buckets)

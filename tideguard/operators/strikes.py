@@ -3,15 +3,18 @@
 Messages of one user must be taken in time order. Normally that is a shuffle
 by user and a sort inside each partition, streamed through the strike machine
 a batch at a time. A user with very many messages would make one task run far
-behind the others, so such users are cut into time slices:
+behind the others, so such users are cut into slices of time by running counts:
 
-1. every slice is summarised on its own as a function from the state at its
+1. messages are counted per second, the counts summed up per hour and then within
+   the hour, and a slice ends where its count is full,
+2. every slice is summarised on its own as a function from the state at its
    start to the state at its end,
-2. those functions are chained in groups of ``FAN_IN``, level by level, and the
-   state at the start of each slice is handed back down,
-3. all slices, and all other users, are replayed in parallel.
+3. those functions are chained, ``FAN_IN`` at a time, and the state at the start
+   of each slice is handed back down,
+4. all slices, and all other users, are replayed in parallel.
 
-The result is the same with or without slices.
+The plan is the same whether there are such users or not, and nothing runs before
+the result is asked for. The result is the same with or without slices.
 """
 
 from __future__ import annotations
@@ -22,24 +25,23 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideguard.config import DEFAULTS, ModerationConfig
 from tideguard.functions import strikes as machine
 from tideguard.functions.strikes import NEVER, Rules
-from tideguard.session import materialise, store
 
-# A user with more messages than this is cut into slices of at most this many
-# (or of one minute, where a single minute holds more) ...
+# A user with more messages than this is cut into slices of about so many: a slice
+# ends with the second in which it becomes full.
 SLICE_ROWS = 1_000_000
-# ... with slices growing once there would be more of them than this.
-MAX_SLICES = 100_000
-FAN_IN = 16
-# Slice widths tried, in minutes.
-_WIDTHS = [4 ** i for i in range(12)]
-_MINUTE_US = 60_000_000
+# Summaries chained in one task; its square is the number of slices of a user from
+# which the last task of a user gets more than so many.
+FAN_IN = 1024
+_SECOND_US = 1_000_000
+_MINUTE_US = 60 * _SECOND_US
+_SPAN = 3_600
 
 
 def rules_of(config: ModerationConfig) -> Rules:
@@ -73,14 +75,10 @@ def strike_actions(df: DataFrame, keys: Sequence[str], ts: str, event_id: str, t
     keys = list(keys)
     rules = rules_of(config)
     rows = _prepare(df, keys, ts, event_id, toxic, rejoin)
-    slice_rows = max(slice_rows, rows.count() // MAX_SLICES)
-    crowded = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > slice_rows)
-    if crowded.isEmpty():
-        sliced = rows.withColumns({"__slice": F.lit(0).cast("bigint"),
-                                   "__count": F.lit(0), "__until": F.lit(NEVER).cast("bigint")})
-    else:
-        sliced = _slice_crowded(rows, crowded.drop("n"), keys, rules, slice_rows)
-    played = _replay(sliced, keys, rules)
+    crowded = _crowded(rows, keys, slice_rows)
+    others = _attach(rows, crowded, keys, "left_anti").withColumns(
+        {"__slice": F.lit(0).cast("bigint"), "__count": F.lit(0), "__until": F.lit(NEVER).cast("bigint")})
+    played = _replay(others.unionByName(_sliced(rows, keys, rules, slice_rows)), keys, rules)
     kind = df.schema[ts].dataType
     until = F.col("__end")
     return played.select(
@@ -142,57 +140,55 @@ def _group_starts(columns: list[pa.Array]) -> list[int]:
 
 # --- users with very many messages -------------------------------------------
 
-def _attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
+def _attach(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str,
             also: Sequence[str] = ()) -> DataFrame:
-    """Join a small table on the keys (NULL matches NULL) and on ``also``.
-
-    Every table passed in here has at most a few rows per ``slice_rows``
-    messages, that is a few times ``MAX_SLICES`` rows, so it can be broadcast.
-    """
+    """Join a table on the keys (NULL matches NULL) and on ``also``; Spark picks the way by its size."""
     on = [*keys, *also]
-    renamed = small.select(*[F.col(c).alias(f"__on_{c}") for c in on],
-                           *[c for c in small.columns if c not in on])
+    renamed = other.select(*[F.col(c).alias(f"__on_{c}") for c in on],
+                           *[c for c in other.columns if c not in on])
     condition = F.lit(True)
     for c in on:
         condition = condition & F.col(c).eqNullSafe(F.col(f"__on_{c}"))
-    joined = rows.join(F.broadcast(renamed), condition, how)
-    return joined.drop(*[f"__on_{c}" for c in on])
+    return rows.join(renamed, condition, how).drop(*[f"__on_{c}" for c in on])
 
 
-def _minute() -> Column:
-    return F.floor(F.col("__us") / _MINUTE_US)
+def _crowded(rows: DataFrame, keys: list[str], slice_rows: int) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > slice_rows).select(*keys)
 
 
-def _widths(rows, crowded, keys, slice_rows):
-    """(keys, first minute, slice width, last slice) per crowded user.
+def _second() -> Column:
+    return F.floor(F.col("__us") / _SECOND_US)
 
-    Messages are counted per minute, the counts rolled up to wider slots, and
-    the widest slots that hold few enough messages taken.
-    """
-    per_minute = (_attach(rows, crowded, keys, "left_semi")
-                  .groupBy(*keys, _minute().alias("__minute")).agg(F.count("*").alias("n")))
-    first = per_minute.groupBy(*keys).agg(F.min("__minute").alias("__first"))
-    slot = F.floor((F.col("__minute") - F.col("__first")) / F.col("__width"))
-    slots = (_attach(per_minute, first, keys, "inner")
-             .withColumn("__width", F.explode(F.array(*[F.lit(w) for w in _WIDTHS])))
-             .groupBy(*keys, "__first", "__width", slot.alias("slot"))
-             .agg(F.sum("n").alias("n")))
-    fullest = slots.groupBy(*keys, "__first", "__width").agg(
-        F.max("n").alias("n"), F.max("slot").alias("last"))
-    fits = (F.col("n") <= slice_rows) | (F.col("__width") == 1)
-    return (fullest.filter(fits).groupBy(*keys, "__first")
-            .agg(F.max(F.struct("__width", "last")).alias("w"))
-            .select(*keys, "__first", F.col("w.__width").alias("__width"),
-                    F.col("w.last").alias("__last")))
-
-
-def _slice_crowded(rows, crowded, keys, rules, slice_rows):
-    """Adds ``__slice`` and the state at the slice's start to every row."""
-    widths = materialise(_widths(rows, crowded, keys, slice_rows), "strike-widths")
-    slice_no = F.floor((_minute() - F.col("__first")) / F.col("__width"))
-    placed = _attach(rows, widths, keys, "left").withColumn(
-        "__slice", F.coalesce(slice_no, F.lit(0)))
 
+def slice_units(rows: DataFrame, keys: list[str], slice_rows: int) -> DataFrame:
+    """(keys, __second, __slice): the slice of every second in which a crowded user has messages.
+
+    ``__slice`` is the count of messages before the second over ``slice_rows``, so a
+    user has at most rows / slice_rows + 1 slices, however time is filled. The running
+    count is a sum over hours and one within the hour: no window holds more rows
+    than a user has hours, or an hour seconds.
+    """
+    per_second = (_attach(rows, _crowded(rows, keys, slice_rows), keys, "left_semi")
+                  .groupBy(*keys, _second().alias("__second")).agg(F.count("*").alias("n"))
+                  .withColumn("__span", F.floor(F.col("__second") / _SPAN)))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    spans = (per_second.groupBy(*keys, "__span").agg(F.sum("n").alias("n"))
+             .withColumn("__base", F.coalesce(F.sum("n").over(earlier(Window.partitionBy(*keys).orderBy("__span"))), F.lit(0))).drop("n"))
+    within = F.coalesce(F.sum("n").over(earlier(Window.partitionBy(*keys, "__span").orderBy("__second"))), F.lit(0))
+    counted = _attach(per_second.withColumn("__within", within), spans, keys, "inner", also=["__span"])
+    return counted.select(*keys, "__second", F.floor((F.col("__base") + F.col("__within")) / slice_rows).alias("__slice"))
+
+
+def _sliced(rows: DataFrame, keys: list[str], rules: Rules, slice_rows: int) -> DataFrame:
+    """The rows of crowded users with ``__slice`` and the state at the slice's start."""
+    units = slice_units(rows, keys, slice_rows)
+    entries = _entries(rows, units, keys, rules)
+    states = _attach(units, entries, keys, "inner", also=["__slice"])
+    return _attach(rows.withColumn("__second", _second()), states, keys, "inner", also=["__second"]).drop("__second")
+
+
+def _entries(rows: DataFrame, units: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
+    """(keys, __slice, __count, __until): the state in which every slice begins."""
     key_fields = [rows.schema[k] for k in keys]
     summary_schema = T.StructType([
         *key_fields, T.StructField("__slice", T.LongType()),
@@ -219,67 +215,48 @@ def _slice_crowded(rows, crowded, keys, rules, slice_rows):
             yield number, int(part["__start"].iloc[0]), tuple(
                 part[c].to_numpy() for c in ("kind", "upto", "count", "until"))
 
-    # 1. One summary per slice of a crowded user, from the rows that can change
-    # a state, and from a marker row per slice, as a slice may have no others.
-    start = (F.col("__first") + F.col("__slice") * F.col("__width")) * _MINUTE_US
-    crowded_rows = placed.filter(F.col("__width").isNotNull()).withColumn("__start", start)
-    columns = [*keys, "__slice", "__start", "__us", "__id", "__rejoin"]
-    deciding = crowded_rows.filter("__toxic OR __rejoin").select(*columns)
-    markers = crowded_rows.select(*keys, "__slice", "__start").distinct().withColumns({
-        "__us": F.lit(NEVER).cast("bigint"), "__rejoin": F.lit(False),
-        "__id": F.lit(None).cast(rows.schema["__id"].dataType)})
+    # One summary per slice, from the rows that can change a state, and from a
+    # marker row at the slice's first second, as a slice may have no others.
+    columns = [*keys, "__slice", "__us", "__id", "__rejoin", "__marker"]
+    deciding = _attach(rows.filter("__toxic OR __rejoin").withColumn("__second", _second()), units, keys, "inner", also=["__second"])
+    markers = units.groupBy(*keys, "__slice").agg((F.min("__second") * _SECOND_US).alias("__us")).withColumns({
+        "__rejoin": F.lit(False), "__id": F.lit(None).cast(rows.schema["__id"].dataType), "__marker": F.lit(True)})
 
     def summarise(group, pdf):
-        start = int(pdf["__start"].iloc[0])
-        found = pdf[pdf["__us"] != NEVER].sort_values(["__us", "__id"])
+        start = int(pdf.loc[pdf["__marker"], "__us"].iloc[0])
+        found = pdf[~pdf["__marker"]].sort_values(["__us", "__id"])
         table = machine.summarise(found["__us"].to_numpy(np.int64),
                                   found["__rejoin"].to_numpy(bool), rules, start + rules.mute_us)
         return frame(pdf, group[:-1], group[-1], start, table)
 
-    levels = [store(
-        deciding.unionByName(markers.select(*columns)).groupBy(*keys, "__slice")
-        .applyInPandas(summarise, summary_schema), "strike-summaries")]
+    summaries = (deciding.withColumn("__marker", F.lit(False)).select(*columns).unionByName(markers.select(*columns))
+                 .groupBy(*keys, "__slice").applyInPandas(summarise, summary_schema))
 
-    # 2. Chain up to FAN_IN summaries at a time until few are left per user ...
+    # Summaries are chained, and the state at the start of each is handed down.
     def chain(group, pdf):
         pieces = list(tables(pdf))
         start = pieces[0][1]
         table = machine.chain([t for *_, t in pieces], rules, start + rules.mute_us)
         return frame(pdf, group[:-1], group[-1], start, table)
 
-    parent = F.floor(F.col("__slice") / FAN_IN).alias("__parent")
-    last = widths.agg(F.max("__last")).first()[0]      # one number
-    while last >= FAN_IN:
-        last //= FAN_IN
-        levels.append(store(
-            levels[-1].df.groupBy(*keys, parent).applyInPandas(chain, summary_schema),
-            "strike-summaries"))
-
-    # ... and hand the state at the start of each slice back down.
-    def descend(group, pdf, entry):
-        counts, ends = np.array([0], np.int32), np.array([NEVER], np.int64)
-        if len(entry):
-            counts, ends = entry["__count"].to_numpy(np.int32), entry["__until"].to_numpy(np.int64)
+    def follow(group, pdf, counts, ends):
         out = []
         for number, _, table in tables(pdf):
-            out.append((*group[:-1], number, int(counts[0]), int(ends[0])))
+            out.append((*group, number, int(counts[0]), int(ends[0])))
             counts, ends = machine.follow(table, counts, ends)
         return pd.DataFrame(out, columns=entry_schema.names)
 
-    entries = rows.sparkSession.createDataFrame([], entry_schema)
-    for level in reversed(levels):
-        above = entries.withColumnRenamed("__slice", "__parent")
-        entries = (level.df.groupBy(*keys, parent)
-                   .cogroup(above.groupBy(*keys, "__parent"))
-                   .applyInPandas(descend, entry_schema))
-    entries = materialise(entries, "strike-entries")
-    for level in levels:
-        level.discard()
-
-    # 3. Every row gets its slice's entry state; all other users start clean.
-    return _attach(placed, entries, keys, "left", also=["__slice"]).withColumns({
-        "__count": F.coalesce("__count", F.lit(0)),
-        "__until": F.coalesce("__until", F.lit(NEVER).cast("bigint"))})
+    def first(group, pdf):
+        return follow(group, pdf, np.array([0], np.int32), np.array([NEVER], np.int64))
+
+    def descend(group, pdf, entry):
+        return follow(group[:-1], pdf, entry["__count"].to_numpy(np.int32), entry["__until"].to_numpy(np.int64))
+
+    parent = F.floor(F.col("__slice") / FAN_IN).alias("__parent")
+    chained = summaries.groupBy(*keys, parent).applyInPandas(chain, summary_schema)
+    above = chained.groupBy(*keys).applyInPandas(first, entry_schema).withColumnRenamed("__slice", "__parent")
+    return (summaries.groupBy(*keys, parent).cogroup(above.groupBy(*keys, "__parent"))
+            .applyInPandas(descend, entry_schema))
 
 
 def strike_status(actions: DataFrame, keys: Sequence[str], ts: str, event_id: str, now: Column,

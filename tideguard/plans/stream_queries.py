@@ -48,6 +48,18 @@ def strikes_with_rejoin(spark, sf_dir):
     return _shown(_actions(spark, sf_dir, _rejoin()))
 
 
+# Fixed values of the crowded fixture: one event in CROWD belongs to user -1, who is cut
+# into slices of SLICE messages.
+CROWD, SLICE = 3, 200
+
+
+def batch_strikes_sliced(spark, sf_dir):
+    """Strikes where one user has a third of all events and is replayed in slices."""
+    user = F.when(F.col("event_id") % CROWD == 0, -1).otherwise(F.col("user_id"))
+    events = table(spark, sf_dir, "events").withColumn("user_id", user)
+    return _shown(strikes.strike_actions(events, ["user_id"], "ts", "event_id", _toxic(), _rejoin(), slice_rows=SLICE))
+
+
 def strike_action_counts(spark, sf_dir):
     return strikes.action_counts(_actions(spark, sf_dir))
 
@@ -173,6 +185,7 @@ def stream_score(spark, sf_dir):
 QUERIES = {
     "batch_strikes": batch_strikes,
     "strikes_with_rejoin": strikes_with_rejoin,
+    "batch_strikes_sliced": batch_strikes_sliced,
     "strike_action_counts": strike_action_counts,
     "strike_status": strike_status,
     "stream_strikes": stream_strikes,
@@ -275,6 +288,8 @@ ORACLES = {
     "stream_strikes_event_time": _machine(False) + _SHOWN,
     "stream_status": _STATUS,
     "online_strikes": _CHAT,
+    "batch_strikes_sliced": "WITH RECURSIVE " + _steps(f"""SELECT event_id, CASE WHEN event_id % {CROWD} = 0 THEN -1 ELSE user_id END AS user_id,
+  ts, event_type = 'error' AS toxic, event_type = 'signup' AS rejoin FROM events""") + _SHOWN,
     "batch_strikes": _machine(False) + _SHOWN,
     "stream_strikes": _machine(False) + _SHOWN,
     "strikes_with_rejoin": _machine(True) + _SHOWN,
