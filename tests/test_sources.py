@@ -7,6 +7,7 @@ from tests.conftest import rows
 from tideguard.config import LABELS
 from tideguard.functions.labels import labels_from_grades, majority_of
 from tideguard.operators import harmonize
+from tideguard.operators.ids import number_copies
 from tideguard.plans import fixtures, moderation
 from tideguard.session import fresh_path, materialise, shared_dir
 from tideguard.sources import readers, writers
@@ -91,6 +92,104 @@ def test_publish_replaces_as_a_whole(spark, tmp_path):
     assert [tuple(r) for r in check.collect()] == [("b", 7, 8, False)]
 
 
+def _counted(spark, df):
+    """The table, and a counter of how often its rows are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(text):
+        seen.add(1)
+        return text
+
+    return df.withColumn("comment_text", F.udf(touch, "string")("comment_text")), seen
+
+
+def test_publishing_computes_each_source_once(spark, sf, tmp_path):
+    six = fixtures.six_label_comments(spark, sf).drop("id")
+    one, seen_one = _counted(spark, six.withColumn("source", F.lit("one")))
+    some = six.filter("toxic = 1 OR insult = 1")
+    two, seen_two = _counted(spark, some.withColumn("source", F.lit("two")))
+    none = six.filter("false").withColumn("source", F.lit("none"))
+    target = str(tmp_path / "corpus")
+    found = moderation.build_corpus([one, two, none], target)
+    n, m = six.count(), some.count()
+    assert sorted(tuple(r) for r in found.collect()) == [("one", n, n, True), ("two", m, m, True)]
+    assert (seen_one.value, seen_two.value) == (n, m)
+    assert writers.marker(spark, target) == writers.Published(n + m, {"one": n, "two": m})
+    plain, seen = _counted(spark, six)
+    assert writers.publish(plain, target) == n and seen.value == n
+    mixed = six.withColumn("source", F.when(F.col("toxic") == 1, "a"))
+    check = writers.publish_sources([mixed, six.withColumn("source", F.lit("a"))], target).collect()
+    assert sum(r.expected for r in check) == 2 * n and {r.source for r in check} == {"a", None} and all(r.matches for r in check)
+
+
+def test_recovery_after_a_crash(spark, tmp_path):
+    target = str(tmp_path / "t")
+    assert writers.recover(spark, target) == "none"
+    writers.publish(spark.range(3), target)
+    assert writers.recover(spark, target) == "whole"
+    (tmp_path / "t").rename(tmp_path / "t__previous")           # between the two renames, the new version half written
+    spark.range(9).write.parquet(target + "__staged")
+    assert writers.recover(spark, target) == "old" and spark.read.parquet(target).count() == 3
+    writers.publish(spark.range(5), str(tmp_path / "u"))
+    (tmp_path / "t").rename(tmp_path / "t__previous")           # the same, the new version whole
+    spark.range(1).write.mode("overwrite").parquet(target + "__staged")
+    writers._mark(spark, target + "__staged", writers.Published(1, {}))
+    assert writers.recover(spark, target) == "new" and spark.read.parquet(target).count() == 1
+
+
+def test_broken_records_are_set_aside_or_raise(spark, tmp_path):
+    good = '{"a": {"post_tokens": ["x"], "annotators": [{"label": "normal"}]}}'
+    (tmp_path / "p.json").write_text("\n".join([
+        good, good[:30], "", "[1]", "7", "{}", "null", '{"b": {"post_tokens": "x", "annotators": []}, "c": {"post_tokens": [], "annotators": []}}',
+        '{"d": {"post_tokens": ["x"]}}', '{"e": null}']))
+    kept, bad = readers.split_posts(spark, str(tmp_path))
+    assert sorted(r.post_id for r in kept.collect()) == ["a", "c"]
+    found = sorted((r.post_id or "", r.reason) for r in bad.collect())
+    assert found == sorted([("", "not_json"), ("", "no_posts"), ("", "no_posts"), ("", "no_posts"), ("", "no_posts"), ("b", "bad_tokens"),
+                            ("d", "bad_votes"), ("e", "bad_tokens")])
+    assert bad.filter("value IS NULL").count() == 0
+    with pytest.raises(Exception, match="cannot read a post"):
+        readers.read_posts(spark, str(tmp_path)).collect()
+
+
+def test_broken_csv_rows(spark, tmp_path):
+    zeros = ",0" * (len(LABELS) - 1)
+    (tmp_path / "c.csv").write_text("id,comment_text," + ",".join(LABELS) + f"\n1,fine,1{zeros}\ntwo,bad id,0{zeros}\n3,short,0\n4,,x{zeros}\n5,\"a\nb\",0{zeros}\n")
+    kept, bad = readers.split_csv(spark, str(tmp_path), readers.COMMENT_SCHEMA)
+    assert sorted(r.id for r in kept.select("id").collect()) == [1, 5] and bad.count() == 3
+    assert kept.schema == readers.COMMENT_SCHEMA
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_csv(spark, str(tmp_path), readers.COMMENT_SCHEMA).collect()
+    moderation.ingest(spark, str(tmp_path), f"{tmp_path}-out", f"{tmp_path}-bad")
+    assert spark.read.parquet(f"{tmp_path}-out").count() == 2 and spark.read.parquet(f"{tmp_path}-bad").count() == 3
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_ids_tell_copies_apart(spark, parts):
+    rows_in = [("same" if i % 3 == 0 else None if i % 7 == 0 else f"t{i}", f"s{i % 2}", i) for i in range(300)]
+    df = spark.createDataFrame(rows_in, "comment_text string, source string, other int").repartition(parts)
+    got = number_copies(df, ["comment_text", "source"]).collect()
+    assert len({r.id for r in got}) == 300 and sorted(r.other for r in got) == list(range(300))
+    content = {}
+    for r in got:
+        content.setdefault((r.comment_text, r.source), []).append(r.id)
+    for own in content.values():
+        base = min(own, key=len)
+        assert sorted(own) == sorted([base, *[f"{base}-{k}" for k in range(1, len(own))]])
+    assert number_copies(df.filter("false"), ["comment_text"]).count() == 0
+
+
+def test_predictions_of_copies_do_not_multiply_in_joins(spark, tmp_path):
+    class Model:
+        def score(self, df, keep):
+            return df.withColumn("clean_text", F.col("comment_text")).select(*keep, *[F.lit(0.5).alias(f"prob_{x}") for x in LABELS])
+
+    comments = spark.createDataFrame([("a", "s")] * 4 + [("b", "s"), (None, "s")], "comment_text string, source string")
+    moderation.predict(comments, Model(), str(tmp_path / "out"))
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 5 and out.join(out.select("id"), "id").count() == 5
+
+
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     kept = materialise(spark.range(3), "three")

@@ -16,22 +16,28 @@ from tideguard.config import DEFAULTS, LABELS, ModerationConfig
 from tideguard.functions.hashing import stable_row_id
 from tideguard.functions.scoring import apply_thresholds
 from tideguard.operators import harmonize, profile, reports, training
+from tideguard.operators.ids import number_copies
 from tideguard.sources import readers, writers
 
 
-def ingest(spark: SparkSession, csv_path: str, out: str) -> DataFrame:
-    """Labelled CSV to Parquet partitioned by ``toxic``; returns the NULL counts."""
-    writers.write_partitioned(readers.read_csv(spark, csv_path, readers.COMMENT_SCHEMA),
-                              out, "toxic")
+def ingest(spark: SparkSession, csv_path: str, out: str, quarantine: str | None = None) -> DataFrame:
+    """Labelled CSV to Parquet partitioned by ``toxic``; returns the NULL counts.
+
+    A row that does not parse is an error, or goes to the table at ``quarantine``.
+    """
+    if quarantine is None:
+        rows = readers.read_csv(spark, csv_path, readers.COMMENT_SCHEMA)
+    else:
+        rows, bad = readers.split_csv(spark, csv_path, readers.COMMENT_SCHEMA)
+        writers.write_table(bad, quarantine)
+    writers.write_partitioned(rows, out, "toxic")
     return profile.null_counts(spark.read.parquet(out))
 
 
 def build_corpus(sources: Sequence[DataFrame], target: str) -> DataFrame:
     """Harmonised sources published as one table; returns expected and stored
-    rows per source."""
-    corpus = harmonize.union_sources(*sources)
-    writers.publish(corpus, target)
-    return writers.verify_readback(corpus.sparkSession, target, corpus)
+    rows per source. Each source is computed once, and counted on its way."""
+    return writers.publish_sources([harmonize.conform(s) for s in sources], target)
 
 
 def train(corpus: DataFrame, model_path: str, card_path: str,
@@ -43,18 +49,29 @@ def train(corpus: DataFrame, model_path: str, card_path: str,
     return result
 
 
+def _content(comments: DataFrame) -> list[str]:
+    return [c for c in ("comment_text", "source") if c in comments.columns]
+
+
 def with_id(comments: DataFrame) -> DataFrame:
-    """A table without an id gets one from its content. Copies share it."""
+    """A table without an id gets one from its content. Copies share it, and so
+    never stand on both sides of a split."""
     if "id" in comments.columns:
         return comments
-    known = [F.col(c) for c in ("comment_text", "source") if c in comments.columns]
-    return comments.withColumn("id", stable_row_id(*known))
+    return comments.withColumn("id", stable_row_id(*[F.col(c) for c in _content(comments)]))
+
+
+def with_unique_id(comments: DataFrame) -> DataFrame:
+    """A table without an id gets one that tells copies apart, as results are joined on it."""
+    return comments if "id" in comments.columns else number_copies(comments, _content(comments))
 
 
 def predict(comments: DataFrame, model: training.MultiLabelModel, out: str) -> None:
-    """Score every comment with text, in one pass from scan to write."""
+    """Score every comment with text, in one pass from scan to write.
+
+    A table without ids is numbered first (stored once, and one shuffle)."""
     keep = ["id", "row_order", "clean_text", *[c for c in (*LABELS, "user_id") if c in comments.columns]]
-    text = with_id(in_row_order(comments)).filter(F.col("comment_text").isNotNull())
+    text = with_unique_id(in_row_order(comments)).filter(F.col("comment_text").isNotNull())
     # The text that is stored is the one the model's first stage has cleaned.
     scored = model.score(text, keep).withColumnRenamed("clean_text", "comment_text")
     writers.write_table(scored.withColumn("id", F.col("id").cast("string")), out)

@@ -104,6 +104,21 @@ def volume_buckets(spark, sf_dir):
     return reports.volume_buckets(flags(spark, sf_dir))
 
 
+def _skewed(flags_or_scores):
+    """An order and scores of which almost all values lie close together: row numbers to the fifth, scores in a millionth."""
+    return flags_or_scores.withColumns({
+        "place": F.pow(F.col("id").cast("double"), F.lit(5.0)),
+        **{f"prob_{x}": F.lit(0.5) + F.floor(F.col(f"prob_{x}") * 1000) / 2.0 ** 30 for x in LABELS}})
+
+
+def volume_buckets_skewed(spark, sf_dir):
+    return reports.volume_buckets(_skewed(flags(spark, sf_dir)), order="place")
+
+
+def auc_roc_skewed(spark, sf_dir):
+    return auc_exact(_skewed(predictions(spark, sf_dir))).select("label", F.round("auc_roc", 6).alias("auc_roc"))
+
+
 def user_label_matrix(spark, sf_dir):
     return reports.user_label_matrix(flags(spark, sf_dir))
 
@@ -182,6 +197,8 @@ QUERIES = {
     "user_stats_actual": user_stats_actual,
     "user_counts": user_counts,
     "volume_buckets": volume_buckets,
+    "volume_buckets_skewed": volume_buckets_skewed,
+    "auc_roc_skewed": auc_roc_skewed,
     "user_label_matrix": user_label_matrix,
     "flag_distribution": flag_distribution,
     "predicted_vs_actual": predicted_vs_actual,
@@ -207,7 +224,8 @@ _FLAGGED = f"""SELECT id, user_id, comment_text, {_TOP_LABEL} AS max_label,
   '{RUN_DATE}' AS run_date FROM F WHERE any_flagged"""
 _NAMES = "[" + ", ".join(
     f"CASE WHEN flag_{x} THEN '{DISPLAY_NAMES[x]}' END" for x in LABELS) + "]"
-_AUC = _P + """, L AS (""" + sql.per_label("prob_{L} AS score, {L} AS y", "P") + """),
+def _auc(score: str) -> str:
+    return _P + """, L AS (""" + sql.per_label(score + " AS score, {L} AS y", "P") + """),
 G AS (SELECT label, score, sum(y)::DOUBLE AS pos, sum(1 - y)::DOUBLE AS neg FROM L GROUP BY ALL),
 W AS (SELECT label, score, pos, neg,
   sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
@@ -217,6 +235,11 @@ S AS (SELECT *, tp / (tp + fp) AS prec,
   lag(tp / (tp + fp)) OVER (PARTITION BY label ORDER BY score DESC) AS prev_prec FROM W)
 """
 
+
+_ROC = """SELECT label,
+  round(sum(neg * (tp - pos / 2)) / (any_value(n_pos) * any_value(n_neg)), 6) AS auc_roc
+  FROM S GROUP BY label"""
+
 ORACLES = {
     "threshold_flags": _F + "SELECT id, " + sql.each_label("flag_{L}")
     + ", flagged_label_count, any_flagged FROM F",
@@ -266,6 +289,11 @@ SELECT id, CASE len(names) WHEN 0 THEN 'harmful content' WHEN 1 THEN names[1]
   SELECT any_flagged, ntile(20) OVER (ORDER BY id) - 1 AS b FROM F)
 SELECT CAST(b AS INTEGER) AS bucket_index, count(*) AS comment_count,
   CAST(sum(any_flagged::INTEGER) AS BIGINT) AS flagged_count FROM B GROUP BY b""",
+    "volume_buckets_skewed": _F + """, B AS (
+  SELECT any_flagged, ntile(20) OVER (ORDER BY pow(id::DOUBLE, 5)) - 1 AS b FROM F)
+SELECT CAST(b AS INTEGER) AS bucket_index, count(*) AS comment_count,
+  CAST(sum(any_flagged::INTEGER) AS BIGINT) AS flagged_count FROM B GROUP BY b""",
+    "auc_roc_skewed": _auc("floor(prob_{L} * 1000)") + _ROC,
     "user_label_matrix": _U + f""", T AS (SELECT * FROM U WHERE {sql.RISK}
   ORDER BY toxicity_ratio DESC, user_id LIMIT 20)
 """ + sql.per_label("user_id, {L}_count AS n", "T"),
@@ -303,10 +331,8 @@ SELECT R.*, T.threshold FROM R JOIN (VALUES """ + ", ".join(
   CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0.0::DOUBLE END AS r FROM M)
 SELECT label, tp, fp, fn, tn, round(p, 6) AS "precision", round(r, 6) AS recall,
   round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0::DOUBLE END, 6) AS f1 FROM Q""",
-    "auc_roc_exact": _AUC + """SELECT label,
-  round(sum(neg * (tp - pos / 2)) / (any_value(n_pos) * any_value(n_neg)), 6) AS auc_roc
-  FROM S GROUP BY label""",
-    "auc_pr_exact": _AUC + """SELECT label,
+    "auc_roc_exact": _auc("prob_{L}") + _ROC,
+    "auc_pr_exact": _auc("prob_{L}") + """SELECT label,
   round(sum(pos / n_pos * (prec + coalesce(prev_prec, prec)) / 2), 6) AS auc_pr
   FROM S GROUP BY label""",
 }

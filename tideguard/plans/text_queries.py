@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tideguard.config import DEFAULT_LEXICON, LABELS, THRESHOLDS
 from tideguard.functions.hashing import stable_row_id
+from tideguard.operators.ids import number_copies
 from tideguard.functions.labels import (
     CLASS_CODE_LABELS, labels_from_class, labels_from_grades,
 )
@@ -116,6 +117,42 @@ def _posts_from_json(spark, sf_dir):
     return readers.read_posts(spark, path)
 
 
+# Every so manyth line of the posts is cut off, has tokens of another shape, or is no object.
+CUT_OFF, NO_TOKENS, NO_OBJECT = 11, 13, 17
+
+
+def posts_with_quarantine(spark, sf_dir):
+    """Posts of which some lines are broken: those that can be read, and why the others cannot."""
+    number = F.col("post_id").cast("long")
+    post = F.struct("post_tokens", F.transform("votes", lambda v: F.struct(v.alias("label"))).alias("annotators"))
+    whole = F.to_json(F.create_map("post_id", post))
+    broken = F.to_json(F.create_map("post_id", F.struct(F.lit("x").alias("post_tokens"), F.lit(None).cast("string").alias("annotators"))))
+    line = (F.when(number % CUT_OFF == 0, F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int")))
+            .when(number % NO_TOKENS == 0, broken).when(number % NO_OBJECT == 0, F.lit("[1, 2]")).otherwise(whole))
+    path = fresh_path(spark, "broken-posts")
+    _posts(spark, sf_dir).select(line.alias("value")).write.text(path)
+    good, bad = readers.split_posts(spark, path)
+    return (good.select("post_id", F.size("post_tokens").alias("n_tokens"), F.size("votes").alias("n_votes"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select("post_id", "reason"), allowMissingColumns=True))
+
+
+def row_id_of_copies(spark, sf_dir):
+    """Ids for rows without any, where a third of the rows share a text and a source."""
+    third = F.col("id") % 3 == 0
+    rows = six_label_comments(spark, sf_dir).select(
+        F.when(third, "the same words").otherwise(F.col("comment_text")).alias("comment_text"),
+        F.when(third, "copies").otherwise(F.col("source")).alias("source"))
+    return number_copies(rows.repartition(7), ["comment_text", "source"])
+
+
+def publish_in_one_pass(spark, sf_dir):
+    """Two sources published as one table, with the rows per source that were counted on the way."""
+    path = fresh_path(spark, "published-sources")
+    comments = harmonize.from_six_labels(six_label_comments(spark, sf_dir), "documents", drop_empty=True)
+    turns = table(spark, sf_dir, "conversations").withColumn("class", F.lit(2))
+    return writers.publish_sources([comments, harmonize.from_class_code(turns, "conversations", text="text", drop_empty=True)], path)
+
+
 def nested_json_scan(spark, sf_dir):
     voted = harmonize.with_vote_labels(_posts_from_json(spark, sf_dir))
     return voted.withColumn("comment_text", clean_text(F.col("comment_text")))
@@ -370,6 +407,9 @@ QUERIES = {
     "staged_publish": staged_publish,
     "verify_readback": verify_readback,
     "nested_json_scan": nested_json_scan,
+    "posts_with_quarantine": posts_with_quarantine,
+    "row_id_of_copies": row_id_of_copies,
+    "publish_in_one_pass": publish_in_one_pass,
     "harmonize_class_code": harmonize_class_code,
     "harmonize_graded": harmonize_graded,
     "majority_vote": majority_vote,
@@ -497,6 +537,19 @@ ORACLES = {
     "staged_publish": _C + f"SELECT * REPLACE ({sql.clean('comment_text')} AS comment_text) FROM C",
     "verify_readback": """SELECT source, count(*) AS expected, count(*) AS found,
   true AS matches FROM documents GROUP BY source""",
+    "posts_with_quarantine": f"""WITH L AS (SELECT doc_id, len(regexp_split_to_array(text, '\\s+')) AS n,
+  CASE WHEN doc_id % {CUT_OFF} = 0 THEN 'not_json' WHEN doc_id % {NO_TOKENS} = 0 THEN 'bad_tokens'
+    WHEN doc_id % {NO_OBJECT} = 0 THEN 'no_posts' END AS reason FROM documents)
+SELECT CASE WHEN reason IS NULL OR reason = 'bad_tokens' THEN CAST(doc_id AS VARCHAR) END AS post_id,
+  CASE WHEN reason IS NULL THEN CAST(n AS INTEGER) END AS n_tokens, CASE WHEN reason IS NULL THEN 3 END AS n_votes, reason FROM L""",
+    "row_id_of_copies": """WITH R AS (SELECT CASE WHEN doc_id % 3 = 0 THEN 'the same words' ELSE text END AS comment_text,
+  CASE WHEN doc_id % 3 = 0 THEN 'copies' ELSE source END AS source FROM documents),
+I AS (SELECT *, md5(coalesce('+' || comment_text, '-') || chr(1) || coalesce('+' || source, '-')) AS h FROM R),
+N AS (SELECT *, row_number() OVER (PARTITION BY h) - 1 AS k FROM I)
+SELECT comment_text, source, CASE WHEN k = 0 THEN h ELSE h || '-' || k END AS id FROM N""",
+    "publish_in_one_pass": f"""SELECT *, expected AS found, true AS matches FROM (
+  SELECT 'documents' AS source, count(*) AS expected FROM documents WHERE {sql.clean('text')} <> ''
+  UNION ALL SELECT 'conversations', count(*) FROM conversations WHERE {sql.clean('text')} <> '') WHERE expected > 0""",
     "nested_json_scan": "WITH " + _POSTS + f"""
 SELECT CAST(id AS VARCHAR) AS post_id, {sql.clean(_SPLIT_TEXT)} AS comment_text,
   majority, {_VOTE_LABELS} FROM O""",
