@@ -7,13 +7,15 @@ the tests compare the models and their metrics with plain MLlib code.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tideguard.config import LABELS
+from tideguard.config import DEFAULTS, LABELS
 from tideguard.functions.scoring import with_probabilities
 from tideguard.operators import scoring, training
+from tideguard.operators.certificates import TOLERANCE, certify_training
 from tideguard.operators.evaluation import precision_recall_f1
 from tideguard.plans import sql_parts as sql
 from tideguard.plans.fixtures import long_texts, predictions, training_comments
@@ -82,6 +84,21 @@ def train_multilabel(spark, sf_dir):
     return _shown(_fit_six(spark, sf_dir).metrics)
 
 
+def fit_certificates(spark, sf_dir):
+    """Proof of the fits: is each as good as the optimum of its own loss, within the stated tolerance?"""
+    comments = training_comments(spark, sf_dir)
+    six = _fit_six(spark, sf_dir).model
+    found = [("six", x, c) for x, c in certify_training(comments, six.features, six.heads, True, DEFAULTS.reg_param,
+                                                        DEFAULTS.elastic_net, weights_of_all=True).items()]
+    for name, trained, settings in (
+            ("plain", training.train_plain(comments), {"weighted": False}), ("weighted", training.train_weighted(comments), {}),
+            ("final", training.train_final(comments), {"reg_param": DEFAULTS.reg_param, "elastic_net": DEFAULTS.elastic_net, "on_all": True})):
+        stages = trained.model.stages
+        found += [(name, x, c) for x, c in certify_training(comments, PipelineModel(stages[:-1]), {"toxic": stages[-1]}, **settings).items()]
+    return spark.createDataFrame([(fit, x, c.rows, c.residual <= TOLERANCE and c.loss < c.null_loss) for fit, x, c in found],
+                                 "fit string, label string, n_rows bigint, certified boolean")
+
+
 def model_metrics_table(spark, sf_dir):
     """The model card, written as JSON and read back."""
     card = training.model_card(_fit_six(spark, sf_dir).metrics)
@@ -157,6 +174,7 @@ QUERIES = {
     "train_final": train_final,
     "cv_grid": cv_grid,
     "train_multilabel": train_multilabel,
+    "fit_certificates": fit_certificates,
     "model_metrics_table": model_metrics_table,
     "model_leaderboard": model_leaderboard,
     "score_multilabel": score_multilabel,
@@ -174,6 +192,10 @@ ORACLES: dict[str, str] = {
     **{name: _ONE + "E" for name in ("train_lr", "train_lr_baseline", "train_lr_weighted", "train_gbt")},
     "train_final": _ONE + "T",
     "train_multilabel": _T + sql.per_label(_EACH, "E"),
+    "fit_certificates": _T + "SELECT fit, label, CASE WHEN fit = 'final' THEN (SELECT count(*) FROM T) "
+    "ELSE (SELECT count(*) FROM T) - (SELECT count(*) FROM E) END AS n_rows, true AS certified FROM ("
+    + " UNION ALL ".join(f"SELECT '{f}' AS fit, '{x}' AS label" for f, x in
+                         [*[("six", x) for x in LABELS], ("plain", "toxic"), ("weighted", "toxic"), ("final", "toxic")]) + ")",
     "cv_grid": "SELECT r::DOUBLE AS reg_param, e::DOUBLE AS elastic_net, true AS sound FROM "
     + f"(SELECT unnest({list(training.REG_GRID)}) AS r), (SELECT unnest({list(training.NET_GRID)}) AS e)",
     "model_metrics_table": _T + sql.per_label("""CAST(sum({L}) AS BIGINT) AS n_positive,
