@@ -40,6 +40,7 @@ WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 @dataclass(frozen=True)
 class FieldConfig:
     per_class: int = 3000   #: bound on the labelled documents that are learned from, per class
+    max_chars: int = 20_000  #: of a document that is learned from; longer ones are scored like all others
     least_docs: int = 3     #: toxic documents a vocabulary entry is in
     least_gain: float = 15.0  #: likelihood ratio (2 ln) against equal frequency in both classes
     least_ratio: float = 5.0  #: of its frequency in toxic and other documents
@@ -160,31 +161,39 @@ def number_of(word: bytes, words: dict[tuple[int, bytes], int], config: FieldCon
     return words.get((0, word), 0)
 
 
+def entries_of(text: bytes, config: FieldConfig) -> set[tuple[int, bytes]]:
+    """The words of a text and the beginnings of its longer words."""
+    words = set(text.translate(FOLD).split())
+    return {(0, w) for w in words}.union(*({(n, w[:n]) for w in words if len(w) > n} for n in config.beginnings))
+
+
 def vocabulary(sample: list[tuple[int, bytes]], config: FieldConfig) -> list[tuple[int, bytes]]:
     """Entries significantly more frequent in toxic documents, most significant first; ties by the entry.
 
     An entry that a shorter chosen beginning covers is left out.
     """
-    groups: list[dict[tuple, set]] = [{}, {}]
+    groups: list[dict[tuple, list[bytes]]] = [{}, {}]
     for y, text in sample:
-        words = set(text.translate(FOLD).split())
-        entries = {(0, w) for w in words}
-        for n in config.beginnings:
-            entries.update((n, w[:n]) for w in words if len(w) > n)
         # Near copies mostly share the two smallest hashes of their words.
-        groups[y].setdefault(tuple(sorted(map(zlib.crc32, words))[:2]), set()).update(entries)
+        mark = tuple(sorted(map(zlib.crc32, set(text.translate(FOLD).split())))[:2])
+        groups[y].setdefault(mark, []).append(text)
     if not all(groups):
         return []
+    # One group at a time, and of the other documents only what enough toxic ones hold: the driver never has the entries of all.
     seen: list[dict[tuple[int, bytes], int]] = [{}, {}]
-    for count, group in zip(seen, groups, strict=True):
-        for entries in group.values():
-            for e in entries:
-                count[e] = count.get(e, 0) + 1
+    for y in (1, 0):
+        count, wanted = seen[y], seen[1] if y == 0 else None
+        for texts in groups[y].values():
+            for e in set().union(*(entries_of(text, config) for text in texts)):
+                if wanted is None or e in wanted:
+                    count[e] = count.get(e, 0) + 1
+        if y == 1:
+            seen[1] = {e: a for e, a in count.items() if a >= config.least_docs}
     share = len(groups[1]) / (len(groups[0]) + len(groups[1]))
     found = []
     for e, a in seen[1].items():
         b = seen[0].get(e, 0)
-        if a < config.least_docs or a / len(groups[1]) < config.least_ratio * b / len(groups[0]):
+        if a / len(groups[1]) < config.least_ratio * b / len(groups[0]):
             continue
         gain = 2 * (a * math.log(a / (a + b) / share) + (b * math.log(b / (a + b) / (1 - share)) if b else 0))
         if gain >= config.least_gain:
@@ -292,7 +301,7 @@ def calibrate(model: Field, sample: list[tuple[int, bytes]], shares: dict[int, i
 
 def train(documents: DataFrame, labels: DataFrame, learn, config: FieldConfig = FieldConfig()) -> Field:
     """Fits the field to ``labels.toxic`` of the rows of ``labels`` that ``learn`` picks."""
-    sample = labelled_sample(documents, labels, "toxic", learn, config.per_class)
+    sample = labelled_sample(documents, labels, "toxic", learn, config.per_class, config.max_chars)
     model = fit_field(sample, vocabulary(sample, config), config)
     calibrate(model, sample, class_shares(labels, "toxic", learn))
     return model
