@@ -56,6 +56,20 @@ class SearchConfig:
     max_chars: int = 1 << 24    #: characters of a shard, or one item
 
 
+PIECE = 1 << 20  # blocks of postings looked at together
+
+
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The whole numbers from ``first`` on, ``size`` of them, for each pair, one after the other."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def length_class(n_words: int) -> int:
     """The smallest c with at most 2**c words."""
     return (n_words - 1).bit_length()
@@ -96,34 +110,52 @@ class Index:
         self.step = 1 << length_class(longest)
         self.terms = {w: i for i, w in enumerate(postings)}
         self.bound = np.array([max(x for _, x in p) for p in postings.values()] or [0.0])
-        self.items, self.impacts, self.blocks, self.maxima = [], [], [], []
-        for p in postings.values():
-            items_of, impacts = np.array([i for i, _ in p]), np.array([x for _, x in p])
-            block = items_of // config.block
-            blocks, where = np.unique(block, return_inverse=True)
-            maxima = np.zeros(len(blocks))
-            np.maximum.at(maxima, where, impacts)
-            self.items.append(items_of), self.impacts.append(impacts)
-            self.blocks.append(blocks), self.maxima.append(maxima)
+        # Postings in one piece, by term and item; the blocks of a term are ranges of them with their largest impact.
+        self.item = np.array([i for p in postings.values() for i, _ in p], dtype=np.int64)
+        self.impact = np.array([x for p in postings.values() for _, x in p])
+        term = np.repeat(np.arange(len(postings)), [len(p) for p in postings.values()])
+        block = self.item // config.block
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        self.low = np.flatnonzero(new)
+        self.high = np.append(self.low[1:], len(term))
+        self.block, self.maxima = block[self.low], np.maximum.reduceat(self.impact, self.low) if len(term) else np.zeros(0)
+        self.first_block = np.searchsorted(term[self.low], np.arange(len(postings) + 1))
         self.n_blocks = -(-len(self.ids) // config.block)
 
     def shingles(self, words: list[bytes]) -> frozenset:
         n = min(self.config.shingle, len(words))
         return frozenset(tuple(words[i: i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
 
-    def retrieve(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """(item, score) of all items that score at least the threshold for a passage of these distinct terms."""
-        least = self.config.least_score
-        bounds = np.bincount(np.concatenate([self.blocks[t] for t in terms]),
-                             np.concatenate([self.maxima[t] for t in terms]), self.n_blocks)
-        live = bounds >= least - 1e-9
-        if not live.any():
-            return []
-        items = np.concatenate([self.items[t] for t in terms])
-        impacts = np.concatenate([self.impacts[t] for t in terms])
-        use = live[items // self.config.block]
-        scores = np.bincount(items[use], impacts[use], len(self.ids))
-        return [(int(i), float(scores[i])) for i in np.flatnonzero(scores >= least - 1e-9)]
+    def retrieve(self, passage: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, item, score) of all items that score at least the threshold for their passage.
+
+        ``terms`` has the distinct terms of each passage; passages are numbered from
+        0 and come in order. Postings of blocks whose maxima do not add up to the
+        threshold are not read.
+        """
+        least, found = self.config.least_score - 1e-9, []
+        counts = self.first_block[terms + 1] - self.first_block[terms]
+        begin, ends = 0, np.cumsum(counts)
+        while begin < len(terms):  # as many passages as have about PIECE blocks, one at least
+            stop = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PIECE, "right"))
+            stop = int(np.searchsorted(passage, passage[min(stop, len(terms) - 1)], "left")) if stop < len(terms) else len(terms)
+            if stop <= begin:
+                stop = int(np.searchsorted(passage, passage[begin], "right"))
+            at = ranges(self.first_block[terms[begin:stop]], counts[begin:stop])
+            own = np.repeat(passage[begin:stop] - passage[begin], counts[begin:stop])
+            key = own * self.n_blocks + self.block[at]
+            bound = np.bincount(key, self.maxima[at])
+            use = bound[key] >= least
+            at, own = at[use], own[use]
+            size = self.high[at] - self.low[at]
+            post = ranges(self.low[at], size)
+            pair, where = np.unique(np.repeat(own, size) * len(self.ids) + self.item[post], return_inverse=True)
+            scores = np.bincount(where, self.impact[post], len(pair))
+            good = scores >= least
+            found.append((pair[good] // len(self.ids) + passage[begin], pair[good] % len(self.ids), scores[good]))
+            begin = stop
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
     def matches(self, words: list[list[bytes]], ids: np.ndarray) -> list[list[tuple[int, float, float, float, int]]]:
         """Per text: (item, score, question overlap, answer overlap, first word of the passage) of each passage with an item.
@@ -141,7 +173,7 @@ class Index:
         doc_of = np.searchsorted(ends, hit, "right")
         half = first[doc_of] + (hit - (ends - lengths)[doc_of]) // step
         # A term counts once in a half passage, as in the score.
-        keys = np.unique(half * len(self.bound) + ids[hit])
+        keys = distinct(half * len(self.bound) + ids[hit])
         of, terms = keys // len(self.bound), keys % len(self.bound)
         weight = np.bincount(of, self.bound[terms], int(first[-1]))
         owner = np.repeat(np.arange(len(words)), halves)
@@ -149,11 +181,14 @@ class Index:
         passage = weight + np.where(follows, np.append(weight[1:], 0), 0)
         alone = np.repeat(halves == 1, halves)
         ends = np.searchsorted(of, np.arange(int(first[-1]) + 1))
-        for h in np.flatnonzero((passage >= self.config.least_score - 1e-9) & (follows | alone)).tolist():
-            last = h + 2 if follows[h] else h + 1
-            got = self.retrieve(np.unique(terms[ends[h]: ends[last]]))
-            if not got:
-                continue
+        chosen = np.flatnonzero((passage >= self.config.least_score - 1e-9) & (follows | alone))
+        size = ends[np.where(follows[chosen], chosen + 2, chosen + 1)] - ends[chosen]
+        pairs = distinct(np.repeat(np.arange(len(chosen)), size) * len(self.bound) + terms[ranges(ends[chosen], size)])
+        number, item_of, score_of = self.retrieve(pairs // len(self.bound), pairs % len(self.bound))
+        cuts = np.searchsorted(number, distinct(number))
+        for c, d in zip(cuts.tolist(), [*cuts[1:].tolist(), len(number)], strict=False):
+            h = int(chosen[number[c]])
+            got = list(zip(item_of[c:d].tolist(), score_of[c:d].tolist(), strict=True))
             doc = int(owner[h])
             a = (h - int(first[doc])) * step
             stretch = words[doc][a: a + 2 * step]
