@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tideguard.llm import catalogue, decontamination, language_model, mixing, personal_data, quality_classifier
@@ -228,7 +229,7 @@ def test_exchange_raises_the_likelihood():
 
 # -- op5 -------------------------------------------------------------------
 def test_mix_meets_its_quotas(spark):
-    docs = table(spark, "/root/testdata/check_s", "documents").select("doc_id", "text", "source").limit(6000).cache()
+    docs = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text", "source").limit(6000).cache()
     config = mixing.MixConfig(entropy=0.97, max_repeats=2.0, blocks=64)
     plan = {r["source"]: r for r in mixing.plan(docs, config).collect()}
     drawn = mixing.mix(docs, config).select("source", mixing.n_tokens("text").alias("n")).groupBy("source").sum("n").collect()
@@ -243,6 +244,21 @@ def test_mix_meets_its_quotas(spark):
     assert all(r["quota"] <= 2.0 * r["total"] + 1 for r in plan.values())
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quotas_are_met_where_rows_share_an_id_or_have_none(spark, seed):
+    """Source a: a third of the rows are one row; b: half have no id; c is large, so that a and b are drawn in part epochs."""
+    rows = [(7, "the same five words here", "a")] * 800 + [(100 + i, f"a {i} some words", "a") for i in range(1600)]
+    rows += [(None, f"b {i} of many words", "b") for i in range(1200)] + [(5000 + i, f"b {i} words", "b") for i in range(1200)]
+    rows += [(10_000 + i, " ".join(["c"] * 10), "c") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).cache()
+    config = mixing.MixConfig(entropy=0.9, max_repeats=4.0, budget=0.4, blocks=64, seed=seed)
+    plan = {r["source"]: r for r in mixing.plan(docs, config).collect()}
+    drawn = {r["source"]: r["n"] for r in mixing.mix(docs, config).groupBy("source").agg(F.sum(mixing.n_tokens("text")).alias("n")).collect()}
+    assert 0.05 < plan["a"]["quota"] / plan["a"]["total"] % 1 < 0.98
+    for source, r in plan.items():
+        assert r["quota"] - 10 - r["total"] / 500 <= drawn[source] <= r["quota"]
+
+
 # -- op6 -------------------------------------------------------------------
 def test_token_files_equal_whole_text_encoding(spark, documents):
     tokenizer = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
@@ -303,7 +319,7 @@ def test_retrieval_is_that_of_plain_bm25():
         query = [b"t%d" % rng.randint(0, 60) for _ in range(25)]
         terms = np.unique([index.terms[w] for w in query if w in index.terms])
         want = {i for i, (_, t, _) in enumerate(items) if bm25(query, t.split()) >= 0.35 * bm25(t.split(), t.split())}
-        assert {i for i, _ in index.retrieve(terms)} == want
+        assert set(index.retrieve(np.zeros(len(terms), int), terms)[1].tolist()) == want
 
 
 def test_short_items_beside_a_very_long_one(spark):

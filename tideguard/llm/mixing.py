@@ -9,7 +9,8 @@ documents, and for the rest the first blocks of a permutation of its documents
 into blocks (and, of the block on the border, its first sub-blocks), so the
 budget is met to within one sub-block of each source, about a 260,000th of it,
 or one document. No ranking of a source's documents is needed: a hash of the
-id deals them to blocks, and only the sums of blocks are ordered.
+id, the text and the row's number deals them to blocks, so rows that repeat an id,
+or have none, spread like others; only the sums of blocks are ordered.
 
 Token counts are words cut at ASCII white space.
 """
@@ -103,7 +104,7 @@ def plan(documents: DataFrame, config: MixConfig = MixConfig(), key: str = "doc_
     comes before (cut_block, cut_sub).
     """
     slim = materialise(documents.select(F.col(source).alias("source"), n_tokens(text).alias("tokens"),
-                                        *places(F.col(key), config)), "mix-tokens")
+                                        *places(key, text, config)), "mix-tokens")
     sources = materialise(sources_of(slim), "mix-sources")
     a, z = exponent(sources, config)
     every = sources.agg(F.sum("total").alias("every"))
@@ -140,9 +141,14 @@ def plan(documents: DataFrame, config: MixConfig = MixConfig(), key: str = "doc_
     return materialise(out, "mix-plan")
 
 
-def places(key: Column, config: MixConfig) -> list[Column]:
-    """Block and sub-block of a document in the permutation of the part epoch."""
-    h = F.xxhash64(key, F.lit(config.seed))
+def places(key: str, text: str, config: MixConfig) -> list[Column]:
+    """Block and sub-block of a row in the permutation of the part epoch.
+
+    The number of the row tells apart rows that are equal. ``documents`` is read twice,
+    for the plan and for the mix, so give a stored table: rows that come in another
+    order the second time are drawn by other numbers, and quotas are met only nearly.
+    """
+    h = F.xxhash64(F.col(key), F.col(text), F.monotonically_increasing_id(), F.lit(config.seed))
     return [F.pmod(h, F.lit(config.blocks)).cast("int").alias("block"),
             F.pmod(F.shiftright(h, 20), F.lit(config.blocks)).cast("int").alias("sub")]
 
@@ -156,14 +162,16 @@ def mix(documents: DataFrame, config: MixConfig = MixConfig(), key: str = "doc_i
 
     Defined results: a null source is a source of its own; documents without
     words (null and empty texts) have no tokens and are never drawn; rows that
-    repeat an id lie in the same block; an empty table gives an empty mix; other
-    columns pass unchanged.
+    repeat an id, or have none, are drawn each on its own; an empty table gives an
+    empty mix; other columns pass unchanged.
     """
     if not set(documents.columns).isdisjoint({"mix_epoch", "mix_block"}):
         documents = documents.drop("mix_epoch", "mix_block")
     chosen = plan(documents, config, key, text, source).select(
         F.struct(F.col("source").alias("of"), "epochs", "cut_block", "cut_sub").alias("_mix_plan"))
-    block, sub = places(F.col(key), config)
+    # Before all else, so that rows are numbered as in the plan.
+    documents = documents.select("*", F.struct(*places(key, text, config)).alias("_mix_place"))
+    block, sub = F.col("_mix_place.block"), F.col("_mix_place.sub")
     more = (block < F.col("_mix_plan.cut_block")) | ((block == F.col("_mix_plan.cut_block")) & (sub < F.col("_mix_plan.cut_sub")))
     draws = F.col("_mix_plan.epochs") + more.cast("int")
     drawn = (documents.join(chosen, F.col(source).eqNullSafe(F.col("_mix_plan.of")))
@@ -172,7 +180,7 @@ def mix(documents: DataFrame, config: MixConfig = MixConfig(), key: str = "doc_i
              .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), draws - 1))))
     return (drawn.withColumn("mix_block", F.pmod(F.xxhash64(F.col(key), F.col("mix_epoch"), F.lit(config.seed)),
                                                  F.lit(config.blocks)).cast("int"))
-            .drop("_mix_plan"))
+            .drop("_mix_plan", "_mix_place"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
