@@ -198,12 +198,81 @@ def test_emissions_and_transitions_are_probabilities(spark):
     docs = table(spark, SF, "documents").limit(100).cache()
     model, counts = language_model.train(docs, fold("doc_id", 7) != 2, language_model.BrownConfig(symbols=20, classes=6, surfaces=8))
     assert np.allclose((10 ** model.move).sum(axis=1), 1)
-    symbols = language_model.Symbols(model.words[:20], model.config)
-    mass = np.zeros(6)
+    mass = np.ones(6)
     for r in counts.collect():
-        mass[model.of[symbols.of([bytes(r["word"])])[0]]] += r["n"] + 1
+        mass[r["class"]] += r["n"] + 1
     mass[5] += docs.where(fold("doc_id", 7) != 2).count() + 1
-    assert np.allclose(10 ** model.mass, mass + 1)
+    assert np.allclose(10 ** model.mass, mass)
+
+
+@pytest.mark.parametrize("n", [20, 200_000])
+def test_scores_are_those_of_a_plain_class_bigram(spark, documents, n):
+    """Counts, classes and transitions retold token by token; with 20 words in the broadcast nearly all come by the join."""
+    docs = table(spark, SF, "documents").limit(120).cache()
+    learn = fold("doc_id", 7) != 2
+    config = language_model.BrownConfig(symbols=30, classes=8, surfaces=8, broadcast_words=n, least=2)
+    model, counts = language_model.train(docs, learn, config)
+    rows = {bytes(r["word"]): (r["n"], r["class"]) for r in counts.collect()}
+    own = model.contexts.own()
+    end = config.classes - 1
+    texts = {r["doc_id"]: (r["text"] or "").encode().lower().split() for r in docs.collect()}
+    learned = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert {w: x[0] for w, x in rows.items()} == collections.Counter(w for t in learned for w in t)
+    before = lambda w: own.get(w, model.contexts.of_surface(w))
+    of = lambda w: rows[w][1] if w in rows else model.contexts.of_surface(w)
+    moves = np.zeros((config.classes, config.classes))
+    for t in learned:
+        for g, c in zip([end, *map(before, t)], [*map(of, t), end], strict=True):
+            moves[g, c] += 1
+    usual = (moves.sum(axis=0) + 1) / (moves.sum() + config.classes)
+    assert np.allclose(10 ** model.move, (moves + config.back_off * usual) / (moves.sum(axis=1, keepdims=True) + config.back_off))
+    got = {r["doc_id"]: r["score"] for r in language_model.score(docs, model, counts, len(learned)).collect()}
+    for i, t in texts.items():
+        plain = math.log10(len(learned) + 1) - model.mass[end] + model.move[before(t[-1]) if t else end, end]
+        for g, w in zip([end, *map(before, t)], t, strict=False):
+            plain += model.move[g, of(w)] + math.log10(rows.get(w, (0,))[0] + 1) - model.mass[of(w)]
+        assert got[i] == pytest.approx(plain, rel=1e-9)
+
+
+def test_best_classes_are_those_of_trying_all():
+    rng = np.random.default_rng(4)
+    k, words = 5, 40
+    f = lambda x: (x * np.log(np.maximum(x, 1e-300))).sum()
+    left, right = rng.integers(0, 6, (words, k)) * (rng.random((words, k)) < 0.5), rng.integers(0, 6, (words, k)) * (rng.random((words, k)) < 0.5)
+    left[:, 0] += 1
+    weight, old = left.sum(axis=1), rng.integers(0, k - 1, words)
+    table_ = rng.integers(30, 90, (k, k)).astype(float) * 50
+    both = np.concatenate([left, right], axis=1)
+    cells = [np.flatnonzero(row) for row in both]
+    starts = np.cumsum([0] + [len(c) for c in cells])[:-1]
+    got = language_model.best_classes(np.concatenate(cells), np.concatenate([row[c] for row, c in zip(both, cells, strict=True)]), starts,
+                                      weight.astype(float), old, table_)
+    for i in range(words):
+        gains = []
+        for c in range(k - 1):
+            without = lambda x, own: np.maximum(x - own, 0) if c == old[i] else x  # noqa: E731, B023
+            after, behind = without(table_[:, c], left[i]), without(table_[c], right[i])
+            out, in_ = without(table_.sum(axis=1)[c], weight[i]), without(table_.sum(axis=0)[c], weight[i])
+            gains.append(f(after + left[i]) - f(after) + f(behind + right[i]) - f(behind) - f(out + weight[i]) + f(out) - f(in_ + weight[i]) + f(in_))
+        assert gains[got[i]] == pytest.approx(max(gains))
+
+
+def test_classes_grow_with_the_vocabulary_and_a_flat_one_keeps_its_seeds(spark):
+    config = language_model.BrownConfig(symbols=50, classes=6, surfaces=4, broadcast_words=50)
+    rng = np.random.default_rng(6)
+    for size in (200, 800):   # equally frequent words, in texts of one of two halves
+        texts = []
+        for half in "ab" * 40:
+            order = rng.permutation(size // 2).reshape(-1, 20)
+            texts += [" ".join(f"{half}{j}x" for j in row) for row in order.tolist()]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        model, counts = language_model.train(docs, fold("doc_id", 7) >= 0, config)
+        assert 20 <= len(model.words) <= 50
+        rows = [(bytes(r["word"]), r["class"]) for r in counts.collect()]
+        assert len(rows) == size
+        # Words of the two halves never meet: the exchange tells them apart, whatever their surfaces are.
+        a, b = ({c: sum(x == c for w, x in rows if w.startswith(h)) for c in range(5)} for h in (b"a", b"b"))
+        assert sum(max(a[c], b[c]) for c in range(5)) > 0.8 * size
 
 
 def test_exchange_raises_the_likelihood():

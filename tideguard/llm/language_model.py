@@ -1,20 +1,28 @@
-"""LM scoring: Brown class-based bigrams.
+"""LM scoring: Brown class-based bigrams, every word with a class of its own.
 
 1. Words of all learning documents are counted (a table that grows with the
    corpus; workers add up before Spark shuffles).
-2. The most frequent words are symbols of their own; every other word belongs to
-   one of a fixed number of surface symbols, by a hash of its last bytes. Pairs
-   of neighbouring symbols are counted over all learning documents.
-3. Exchange clustering on these counts moves symbol after symbol to the class
-   that raises the likelihood of the class bigrams most, until a round moves
-   nothing (or a bounded number of rounds).
+2. Seeds: the most frequent words are symbols; every other word belongs to one
+   of a fixed number of surface symbols, by a hash of its last bytes. Exchange
+   clustering on the counts of neighbouring symbols moves symbol after symbol to
+   the class that raises the likelihood of the class bigrams most. This gives
+   the first class table.
+3. All words: Spark counts how often each word follows and precedes each class
+   (a table that grows with the vocabulary), and every word above a small count
+   moves to the class with the greatest exchange gain against the class table,
+   which holds still during a round. After a round the classes of the most
+   frequent words take the place of the seeds' classes as contexts. Rarer words
+   keep the class of their surface symbol, as unknown ones do.
 4. The probability of a token is P(class | class before) * P(word | class):
    class transitions smoothed towards the class frequencies, emissions with one
    count added to each word and one for all unknown words of a class.
 
-Counts of words come to the scoring tasks in two ways: the most frequent ones
-(``broadcast_words``, a fixed number) are broadcast, all others are joined by the
-hash of the word. So no broadcast grows with the vocabulary and no count is cut.
+Counts and classes of words come to the scoring tasks in two ways: those of the
+most frequent words (``broadcast_words``, a fixed number) are broadcast, all
+others are joined by the hash of the word. So no broadcast grows with the
+vocabulary, and neither a count nor a class is cut. As a context (the class
+before) a word outside the broadcast stands for its surface symbol, in counting
+and in scoring alike, so that no task needs to know its neighbours' hashes.
 
 A-Z counts as lower case, words are cut at ASCII white space, and an end token
 closes every text.
@@ -22,6 +30,7 @@ closes every text.
 
 from __future__ import annotations
 
+import collections
 import zlib
 from dataclasses import dataclass
 
@@ -37,11 +46,13 @@ from tideguard.session import materialise
 
 @dataclass(frozen=True)
 class BrownConfig:
-    symbols: int = 500            #: words that are symbols of their own
+    symbols: int = 500            #: seed words, symbols of their own in the first exchange
     surfaces: int = 64            #: symbols of all other words
     suffix: int = 3               #: bytes of the end of a word that decide its surface symbol
     classes: int = 48
-    rounds: int = 8               #: of the exchange
+    rounds: int = 8               #: of the exchange of the seeds
+    word_rounds: int = 2          #: of the exchange of all words, at least one
+    least: int = 3                #: count from which a word is moved by the exchange
     back_off: float = 5.0         #: pseudo-counts of the class frequencies in the transitions
     broadcast_words: int = 200_000
     held_words: int = 400_000     #: distinct words a counting task holds at a time
@@ -59,7 +70,7 @@ def signed_hash(word: bytes) -> int:
 def word_counts(documents: DataFrame, config: BrownConfig, text: str = "text") -> DataFrame:
     """(word, n, h, surface) of all words of ``documents``."""
     def run(batches):
-        held: dict[bytes, int] = {}
+        held: collections.Counter[bytes] = collections.Counter()
 
         def rows():
             words = list(held)
@@ -67,11 +78,10 @@ def word_counts(documents: DataFrame, config: BrownConfig, text: str = "text") -
 
         for batch in batches:
             for a, b in pieces(batch, 0):
-                for w in b"\n".join(batch.column(0)[a:b].to_pylist()).lower().split():
-                    held[w] = held.get(w, 0) + 1
+                held.update(b"\n".join(batch.column(0)[a:b].to_pylist()).lower().split())
                 if len(held) > config.held_words:
                     yield rows()
-                    held = {}
+                    held = collections.Counter()
         if held:
             yield rows()
 
@@ -198,13 +208,197 @@ def exchange(pairs: np.ndarray, config: BrownConfig) -> np.ndarray:
     return of
 
 
+def frequent(counts: DataFrame, limit: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """At most ``limit`` of the most frequent words, their counts and classes; most frequent first, ties by the word.
+
+    The least count comes from a histogram of a few hundred cells (eight to a
+    doubling), so nothing is sorted but what the driver gets. Of the cell on the
+    border the words with the smallest hashes are taken, so that a vocabulary of
+    equally frequent words fills the list as well.
+    """
+    cell = F.floor(8 * F.log2("n")).cast("int")
+    histogram = sorted(((r["cell"], r["v"]) for r in counts.groupBy(cell.alias("cell")).agg(F.count("*").alias("v")).collect()), reverse=True)
+    wanted, held = F.lit(False), 0
+    for k, v in histogram:
+        if held + v > limit:
+            share = (limit - held) / v
+            wanted = wanted | ((cell == k) & (F.col("h") < int(share * 2.0 ** 64) - (1 << 63)))
+            break
+        wanted, held = cell >= k, held + v
+    top = counts.where(wanted).select("word", "n", "class").toArrow()
+    rows = sorted(zip(*[top.column(i).to_pylist() for i in range(3)], strict=True), key=lambda r: (-r[1], r[0]))[:limit]
+    return [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.int64)
+
+
+@dataclass
+class Contexts:
+    """Class of a word as a neighbour: of its own for ``words``, that of its surface symbol for all others."""
+
+    words: list[bytes]
+    classes: np.ndarray
+    surfaces: np.ndarray
+    config: BrownConfig
+
+    def own(self) -> dict[bytes, int]:
+        return dict(zip(self.words, self.classes.tolist(), strict=True))
+
+    def of_surface(self, word: bytes) -> int:
+        return int(self.surfaces[surface(word, self.config)])
+
+
+def neighbour_counts(documents: DataFrame, contexts: Contexts, text: str = "text") -> DataFrame:
+    """(h, cells): how often each word (null: the end token) follows a class and precedes one.
+
+    A cell (c, n) with c below the number of classes counts class c before the
+    word, one with c from there on class c - classes behind it: at most twice
+    the number of classes a word. Tasks add up, then Spark does on both sides of
+    the shuffle, so that a word of every text loads no task.
+    """
+    config = contexts.config
+    k, end = config.classes, config.classes - 1
+    shared = documents.sparkSession.sparkContext.broadcast(contexts)
+
+    def run(batches):
+        known = shared.value
+        own = known.own()
+        room = config.held_words + 1
+        held = {"ids": {}, "classes": np.zeros(room, dtype=np.int64), "parts": [], "cells": 0}
+        held["classes"][0] = end
+
+        def merged():
+            keys = np.concatenate([p[0] for p in held["parts"]])
+            keys, place = np.unique(keys, return_inverse=True)
+            n = np.bincount(place, np.concatenate([p[1] for p in held["parts"]])).astype(np.int64)
+            held["parts"], held["cells"] = [(keys, n)], len(keys)
+            return keys, n
+
+        def rows():
+            keys, n = merged()
+            hashes = np.zeros(len(held["ids"]) + 1, dtype=np.int64)
+            hashes[1:] = [signed_hash(w) for w in held["ids"]]
+            word = keys // (2 * k)
+            for a in range(0, len(keys), 1 << 16):
+                b = a + (1 << 16)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[word[a:b]], pa.int64(), mask=word[a:b] == 0), pa.array((keys[a:b] % (2 * k)).astype(np.int32)),
+                     pa.array(n[a:b])], names=["h", "cell", "n"])
+            held["ids"], held["parts"], held["cells"] = {}, [], 0
+
+        for batch in batches:
+            for a, b in pieces(batch, 0):
+                tokens = [0]
+                for body in batch.column(0)[a:b].to_pylist():
+                    words = body.lower().split()
+                    ids = held["ids"]
+                    try:
+                        tokens += [ids[w] for w in words]
+                    except KeyError:
+                        for w in words:
+                            if w not in ids:
+                                at = ids[w] = len(ids) + 1
+                                if at >= len(held["classes"]):
+                                    held["classes"] = np.concatenate([held["classes"], np.zeros(at, dtype=np.int64)])
+                                c = own.get(w)
+                                held["classes"][at] = known.of_surface(w) if c is None else c
+                        tokens += [ids[w] for w in words]
+                    tokens.append(0)
+                tokens = np.array(tokens, dtype=np.int64)
+                of = held["classes"][tokens]
+                keys = np.concatenate([tokens[1:] * (2 * k) + of[:-1], tokens[:-1] * (2 * k) + k + of[1:]])
+                keys, n = np.unique(keys, return_counts=True)
+                held["parts"].append((keys, n))
+                held["cells"] += len(keys)
+                if held["cells"] > 8 * config.held_words:
+                    merged()
+                if len(held["ids"]) > config.held_words or held["cells"] > 6 * config.held_words:
+                    yield from rows()
+        if held["parts"]:
+            yield from rows()
+
+    return (documents.select(raw(text).alias("body")).mapInArrow(run, "h long, cell int, n long")
+            .groupBy("h", "cell").agg(F.sum("n").alias("n"))
+            .groupBy("h").agg(F.collect_list(F.struct("cell", "n")).alias("cells")))
+
+
+def x_log_x(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def best_classes(cells: np.ndarray, n: np.ndarray, starts: np.ndarray, weight: np.ndarray, old: np.ndarray,
+                 classes: np.ndarray) -> np.ndarray:
+    """Class with the greatest exchange gain of each word, against a class table that holds still.
+
+    ``cells`` and ``n`` are the cells of word after word, beginning at ``starts``; ``weight`` is a word's count. The
+    word's own part is taken out of its old class first; the last class is the end token's and takes no word.
+    """
+    sides = np.concatenate([classes, classes.T])        # [g]: classes after g; [k + g]: classes before g
+    sizes = np.diff(np.append(starts, len(cells)))
+    base = sides[cells]
+    at = np.arange(len(cells)), np.repeat(old, sizes)
+    base[at] = np.maximum(base[at] - n, 0)
+    gain = np.add.reduceat(x_log_x(base + n[:, None]) - x_log_x(base), starts, axis=0)
+    mine = np.arange(len(old)), old
+    for totals in (classes.sum(axis=1), classes.sum(axis=0)):
+        totals = np.repeat(totals[None, :], len(old), axis=0)
+        totals[mine] = np.maximum(totals[mine] - weight, 0)
+        gain -= x_log_x(totals + weight[:, None]) - x_log_x(totals)
+    gain[:, -1] = -np.inf
+    new = gain.argmax(axis=1)
+    return np.where(gain[np.arange(len(old)), new] > gain[mine] + 1e-9, new, old)
+
+
+def moved(counts: DataFrame, cells: DataFrame, classes: np.ndarray, config: BrownConfig) -> DataFrame:
+    """One round for all words: the rows of ``counts`` with their new classes, and the class table by the new classes.
+
+    Rows of the table have a null word: (before, class, n) says how often a token of the class follows the class ``before``.
+    """
+    k = config.classes
+    shared = counts.sparkSession.sparkContext.broadcast(classes.astype(np.float64))
+
+    def run(batches):
+        total = np.zeros(k * k, dtype=np.int64)
+        for batch in batches:
+            named = batch.column(2).is_valid()      # all but the end token
+            numbers = batch.column(1).fill_null(0).to_numpy()
+            sizes = np.diff(batch.column(5).offsets.to_numpy())
+            flat = batch.column(5).flatten()
+            cell, n = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            starts = np.cumsum(sizes) - sizes
+            new = batch.column(4).fill_null(k - 1).to_numpy().astype(np.int64)
+            asked = (numbers >= config.least) & (new != k - 1)
+            a = 0
+            while a < len(new):   # words with 16,384 cells at a time
+                b = max(a + 1, int(np.searchsorted(starts, starts[a] + (1 << 14))))
+                some = np.flatnonzero(asked[a:b]) + a
+                if len(some):
+                    mine = np.repeat(asked[a:b], sizes[a:b])
+                    part = slice(starts[a], starts[b - 1] + sizes[b - 1])
+                    new[some] = best_classes(cell[part][mine], n[part][mine], np.cumsum(sizes[some]) - sizes[some], numbers[some].astype(np.float64),
+                                             new[some], shared.value)
+                a = b
+            before = cell < k
+            total += np.bincount(cell[before] * k + np.repeat(new, sizes)[before], n[before], minlength=k * k).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(new.astype(np.int32)), pa.nulls(len(new), pa.int32())],
+                names=["word", "n", "h", "surface", "class", "before"]).filter(named)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(at), pa.binary()), pa.array(total[at]), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int32()),
+             pa.array((at % k).astype(np.int32)), pa.array((at // k).astype(np.int32))],
+            names=["word", "n", "h", "surface", "class", "before"])
+
+    return (cells.join(counts, "h", "left").select("word", "n", "h", "surface", "class", "cells")
+            .mapInArrow(run, "word binary, n long, h long, surface int, class int, before int"))
+
+
 @dataclass
 class Brown:
-    """What the scoring tasks need besides the counts of rare words; its size is fixed by the configuration."""
+    """What the scoring tasks need besides the counts and classes of rare words; its size is fixed by the configuration."""
 
-    words: list[bytes]        # most frequent first; the first ones are symbols
+    words: list[bytes]        # of the broadcast, most frequent first
     counts: np.ndarray
-    of: np.ndarray            # class of each symbol
+    classes: np.ndarray       # class of each of them
+    contexts: Contexts
     move: np.ndarray          # log10 P(class | class before)
     mass: np.ndarray          # log10 of the denominator of the emissions, per class
     total: int                # training tokens, with the end tokens
@@ -212,55 +406,84 @@ class Brown:
     config: BrownConfig
 
 
-def frequent(counts: DataFrame, config: BrownConfig) -> tuple[list[bytes], np.ndarray]:
-    """The most frequent words, at most ``broadcast_words``, and their counts; most frequent first, ties by the word.
-
-    The least count comes from a histogram of a few hundred cells (eight to a
-    doubling), so nothing is sorted but what the driver gets.
-    """
-    cell = F.floor(8 * F.log2("n")).cast("int")
-    histogram = sorted(((r["cell"], r["v"]) for r in counts.groupBy(cell.alias("cell")).agg(F.count("*").alias("v")).collect()), reverse=True)
-    least, held = None, 0
-    for k, v in histogram:
-        if held + v > config.broadcast_words:
-            break
-        least, held = k, held + v
-    if least is None:
-        return [], np.zeros(0, dtype=np.int64)
-    top = counts.where(cell >= least).select("word", "n").toArrow()
-    rows = sorted(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True), key=lambda r: (-r[1], r[0]))
-    return [w for w, _ in rows], np.array([n for _, n in rows], dtype=np.int64)
+def class_table(pairs: np.ndarray, of: np.ndarray, config: BrownConfig) -> np.ndarray:
+    member = np.zeros((len(pairs), config.classes))
+    member[np.arange(len(pairs)), of] = 1
+    return member.T @ pairs @ member
 
 
 def train(documents: DataFrame, learn: Column, config: BrownConfig = BrownConfig(), text: str = "text") -> tuple[Brown, DataFrame]:
-    """The model, and the table of the counts of all words."""
+    """The model, and the table of the counts and classes of all words: (word, n, h, surface, class)."""
+    spark = documents.sparkSession
     learning = documents.where(learn)
-    counts = materialise(word_counts(learning, config, text), "word-counts")
+    counts = materialise(word_counts(learning, config, text).withColumn("class", F.lit(0)), "word-counts")
     n_docs = learning.count()
     n_words, n_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    words, numbers = frequent(counts, config)
-    pairs = pair_counts(learning, words[: config.symbols], config, text)
+    seeds = frequent(counts, config.symbols)[0]
+    pairs = pair_counts(learning, seeds, config, text)
     of = exchange(pairs, config)
-    member = np.zeros((len(pairs), config.classes))
-    member[np.arange(len(pairs)), of] = 1
-    classes = member.T @ pairs @ member
+    classes = class_table(pairs, of, config)
+    surfaces = of[config.symbols: config.symbols + config.surfaces]
+    contexts = Contexts(seeds, of[: len(seeds)], surfaces, config)
+    first = spark.createDataFrame([(bytearray(w), int(c)) for w, c in zip(seeds, of, strict=False)], "word binary, seed int")
+    counts = (counts.join(F.broadcast(first), "word", "left")
+              .withColumn("class", F.coalesce("seed", F.get(F.array(*[F.lit(int(c)) for c in surfaces]), F.col("surface")))).drop("seed"))
+    for i in range(config.word_rounds):
+        if i:
+            words, _, own = frequent(counts, config.broadcast_words)
+            contexts = Contexts(words, own, surfaces, config)
+        stored = materialise(moved(counts, neighbour_counts(learning, contexts, text), classes, config), "word-classes")
+        counts = stored.where("before is null").drop("before")
+        classes = np.zeros((config.classes, config.classes))
+        for r in stored.where("before is not null").groupBy("before", "class").agg(F.sum("n").alias("n")).collect():
+            classes[r["before"], r["class"]] = r["n"]
     seen = classes.sum(axis=0)
     usual = (seen + 1) / (seen.sum() + config.classes)
     move = np.log10((classes + config.back_off * usual[None, :]) / (classes.sum(axis=1, keepdims=True) + config.back_off))
-    # Tokens and distinct words of each class: of its own symbols, and of its surfaces.
-    mass = np.zeros((2, len(pairs)))
-    mass[0, : len(words[: config.symbols])] = numbers[: config.symbols]
-    mass[1, : len(words[: config.symbols])] = 1
-    for r in counts.groupBy("surface").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-        mass[:, config.symbols + r["surface"]] = r["n"], r["v"]
-    for w, n in zip(words[: config.symbols], numbers[: config.symbols].tolist(), strict=True):
-        mass[:, config.symbols + surface(w, config)] -= (n, 1)
-    mass[:, -1] = n_docs, int(n_docs > 0)
-    denominators = np.log10((mass @ member).sum(axis=0) + 1)
-    model = Brown(words, numbers, of, move, denominators, n_words + n_docs, n_distinct + int(n_docs > 0), config)
+    # Tokens and distinct words of each class; the end token is alone in the last one.
+    mass = np.ones(config.classes)
+    for r in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        mass[r["class"]] += r["n"] + r["v"]
+    mass[-1] += n_docs + int(n_docs > 0)
+    words, numbers, own = frequent(counts, config.broadcast_words)
+    model = Brown(words, numbers, own, contexts, move, np.log10(mass), n_words + n_docs, n_distinct + int(n_docs > 0), config)
     return model, counts
 
 
+class Known:
+    """Words of a scoring task by number: log10 of the count plus one (NaN: not in the broadcast), class, class as a neighbour."""
+
+    def __init__(self, model: Brown):
+        self.model, self.neighbour = model, model.contexts.own()
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: dict[bytes, int] = {w: i for i, w in enumerate(self.model.words)}
+        self.words = list(self.model.words)
+        self.logs = np.log10(self.model.counts + 1.0)
+        of = [self.context(w) for w in self.words]
+        self.classes, self.contexts = self.model.classes, np.array(of, dtype=np.int64)
+
+    def context(self, word: bytes) -> int:
+        c = self.neighbour.get(word)
+        return self.model.contexts.of_surface(word) if c is None else c
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        if len(self.ids) > len(self.model.words) + self.model.config.held_words:
+            self.clear()
+        try:
+            return np.array([self.ids[w] for w in words], dtype=np.int64)
+        except KeyError:
+            new = [w for w in dict.fromkeys(words) if w not in self.ids]
+            for w in new:
+                self.ids[w] = len(self.ids)
+            self.words += new
+            self.logs = np.append(self.logs, np.full(len(new), np.nan))
+            self.classes = np.append(self.classes, [self.model.contexts.of_surface(w) for w in new])
+            self.contexts = np.append(self.contexts, [self.context(w) for w in new])
+            return np.array([self.ids[w] for w in words], dtype=np.int64)
+
+
 def score(documents: DataFrame, model: Brown, counts: DataFrame, n_ends: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, n_known, base_score, score) of every row, log10; ``n_ends``: training documents.
 
@@ -271,48 +494,60 @@ def score(documents: DataFrame, model: Brown, counts: DataFrame, n_ends: int, ke
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)
     kind = documents.schema[key].dataType.simpleString()
-    pair = pa.struct([("h", pa.int64()), ("k", pa.int32())])
-    state: dict[str, tuple] = {}
+    item = pa.struct([("h", pa.int64()), ("before", pa.int32()), ("k", pa.int32()), ("d", pa.float64())])
+    state: dict[str, Known] = {}
+    end, k = model.config.classes - 1, model.config.classes
+    gain = model.move - model.mass[None, :]   # log10 of a transition, less that of the denominator of its emission
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m, config = shared.value, shared.value.config
-        if "model" not in state:  # once per task
-            logs = dict(zip(m.words, np.log10(m.counts + 1.0).tolist(), strict=True))
-            state["model"] = logs, Symbols(m.words[: config.symbols], config)
-        logs, symbols = state["model"]
+        if "known" not in state:  # once per task
+            state["known"] = Known(shared.value)
+        known = state["known"]
         end_log = float(np.log10(n_ends + 1.0))
-        sizes, known, base, own, rare = [], [], [], [], []
-        for body in batch.column(1).to_pylist():
-            words = body.lower().split()
-            classes = m.of[np.array([symbols.end, *symbols.of(words), symbols.end])]
-            found = [logs[w] for w in words if w in logs]
-            count = sum(found) + end_log
-            sizes.append(len(words) + 1), known.append(len(found) + (n_ends > 0)), base.append(count)
-            own.append(float(m.move[classes[:-1], classes[1:]].sum() - m.mass[classes[1:]].sum()))
-            others: dict[bytes, int] = {}
-            if len(found) < len(words):
-                for w in words:
-                    if w not in logs:
-                        others[w] = others.get(w, 0) + 1
-            rare.append([{"h": signed_hash(w), "k": k} for w, k in others.items()])
+        docs = [body.lower().split() for body in batch.column(1).to_pylist()]
+        numbers = known.numbers([w for words in docs for w in words])
+        sizes = np.array([len(words) for words in docs], dtype=np.int64)
+        doc = np.repeat(np.arange(len(docs)), sizes)
+        start = np.cumsum(sizes) - sizes
+        before = np.append(np.int64(end), known.contexts[numbers])[:-1] if len(numbers) else numbers
+        before[start[sizes > 0]] = end
+        last = np.full(len(docs), end, dtype=np.int64)
+        last[sizes > 0] = known.contexts[numbers[(start + sizes - 1)[sizes > 0]]]
+        step = gain[before, known.classes[numbers]]
+        logs = known.logs[numbers]
+        rare = np.isnan(logs)
+        sums = lambda x: np.bincount(doc, x, minlength=len(docs))
+        base = sums(np.where(rare, 0.0, logs)) + end_log
+        own = sums(step) + gain[last, end]
+        seen = sums(~rare).astype(np.int64) + int(n_ends > 0)
+        # A rare word comes with its surface's class in ``own``; the join puts its class right. One item a document, word and class before.
+        keys, place, times = np.unique(np.stack([doc[rare], numbers[rare], before[rare]]), axis=1, return_index=True, return_counts=True)
+        hashes = [signed_hash(known.words[i]) for i in keys[1].tolist()]
+        items = pa.StructArray.from_arrays(
+            [pa.array(hashes, pa.int64()), pa.array(keys[2].astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(step[rare][place])],
+            fields=list(item))
+        offsets = np.searchsorted(keys[0], np.arange(len(docs) + 1)).astype(np.int32)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-             pa.array(own, pa.float64()), pa.array(rare, pa.list_(pair))],
+            [batch.column(0), batch.column(2), pa.array(sizes + 1), pa.array(seen), pa.array(base), pa.array(own),
+             pa.ListArray.from_arrays(pa.array(offsets), items)],
             names=["key", "row", "n_tokens", "known", "logs", "own", "rare"])
 
     rows = documents.select(F.col(key).alias("key"), raw(text).alias("body"), F.monotonically_increasing_id().alias("row"))
     # Stored: the row numbers must not change between the two uses below.
     first = materialise(map_slices(
-        rows, work, f"key {kind}, row long, n_tokens long, known long, logs double, own double, rare array<struct<h:long,k:int>>",
-        "body"), "scored-rows")
-    found = (first.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.k")
-             .join(counts.select("h", "n"), "h")
-             .groupBy("row").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + F.lit(1.0))).alias("more_logs")))
+        rows, work, f"key {kind}, row long, n_tokens long, known long, logs double, own double, "
+        "rare array<struct<h:long,before:int,k:int,d:double>>", "body"), "scored-rows")
+    steps = spark.createDataFrame([(b, c, float(gain[b, c])) for b in range(k) for c in range(k)], "before int, class int, step double")
+    found = (first.select("row", F.explode("rare").alias("r")).select("row", "r.*")
+             .join(counts.select("h", "n", "class"), "h").join(F.broadcast(steps), ["before", "class"])
+             .groupBy("row").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("n") + F.lit(1.0))).alias("more_logs"),
+                                 F.sum(F.col("k") * (F.col("step") - F.col("d"))).alias("more_own")))
     scale = float(np.log10(model.total + model.distinct + 1))
     every = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
     return (first.drop("rare").join(found, "row", "left")
             .select(F.col("key").alias(key), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-                    (every - F.col("n_tokens") * F.lit(scale)).alias("base_score"), (every + F.col("own")).alias("score")))
+                    (every - F.col("n_tokens") * F.lit(scale)).alias("base_score"),
+                    (every + F.col("own") + F.coalesce("more_own", F.lit(0.0))).alias("score")))
 
 
 def perplexity(score_: Column, n_tokens: Column) -> Column:
