@@ -105,7 +105,8 @@ class ByteNet:
             return np.empty(0)
         flat, first = self.lay_out(texts)
         mean, top, *_ = self.features(self.pooled_halves(flat)[0], first)
-        z = np.hstack([mean, top]).astype(np.float64) @ self.out + self.shift
+        # Summed row by row: a product of matrices rounds by the number of rows, and equal texts must score alike.
+        z = (np.hstack([mean, top]).astype(np.float64) * self.out).sum(axis=1) + self.shift
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
