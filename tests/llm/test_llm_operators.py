@@ -467,6 +467,41 @@ def test_base_spans_without_runs_of_digits(spark):
     assert all(r["base"] for r in found)
 
 
+def test_spaced_forms_without_context_are_no_addresses(spark):
+    rows = [f"please mail ann{i} [at] host{i}.org today" for i in range(40)] + [f"we look @ home{i}.now and then" for i in range(40)]
+    rows += [f"see x{i}@site{i}.net" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r["doc_id"]: r["s"] for r in personal_data.personal_data(docs).select("doc_id", personal_data.joined("spans").alias("s")).collect()}
+    assert all(found[i].startswith("email:12:") for i in range(40))
+    assert all(found[i] == "" for i in range(40, 80))
+    assert all(found[i].startswith("email:4:") for i in range(80, 120))
+
+
+def test_candidates_inside_base_spans_of_a_crowded_text(spark):
+    """Blocks of 256 spans: against a plain search over all base spans."""
+    body = " ".join(f"call +1 415 555 {i:04d} or 415 555 {i:04d}, card 4111 1111 1111 1111, 10.0.{i % 256}.7" for i in range(900))
+    docs = spark.createDataFrame([(1, body), (2, "call 415 555 0000"), (3, None)], "doc_id long, text string")
+    found = personal_data.spans(docs)
+    everything = sorted({c["pattern"] for r in found.collect() for c in r["more"]})
+    original = personal_data.accepted
+    try:
+        personal_data.accepted = lambda *_: everything
+        got = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in personal_data.personal_data(docs).collect()}
+    finally:
+        personal_data.accepted = original
+    for r in found.collect():
+        base = {tuple(b) for b in r["base"]}
+        plain = base | {(c["start"], c["kind"], c["end"]) for c in r["more"] if not any(a <= c["start"] and c["end"] <= e for a, _, e in base)}
+        assert got[r["doc_id"]] == sorted(plain)
+    assert len(got[1]) > 3000 and got[3] == []
+
+
+def test_redaction_keeps_a_column_of_its_own_name(spark):
+    docs = spark.createDataFrame([(1, "a@b.cd here", 7), (2, None, 8)], "doc_id long, text string, spans int")
+    got = [tuple(r) for r in personal_data.redact(docs, personal_data.personal_data(docs)).orderBy("doc_id").collect()]
+    assert got == [(1, "a@b.cd here", 7, "[email] here"), (2, None, 8, None)]
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é a.b@c.d x 1.2.3.4"), (2, "none"), (3, None)], "doc_id long, text string")
     found = personal_data.personal_data(docs)

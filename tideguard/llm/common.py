@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores behind it until no column of ``taken`` has that name."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def raw(column: str = "text") -> Column:
     """The text as UTF-8 bytes; a null text is an empty one."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideguard.llm.common import map_slices, raw, table
+from tideguard.llm.common import free_name, map_slices, raw, table
 
 #: A-Z to lower case, ASCII punctuation to spaces.
 FOLD = bytes(32 if chr(b) in string.punctuation else b for b in bytes(range(256)).lower())
@@ -312,7 +312,7 @@ def contaminations(documents: DataFrame, benchmark: DataFrame, config: SearchCon
 
 def clean(documents: DataFrame, benchmark: DataFrame, config: SearchConfig = SearchConfig(), text: str = "text") -> DataFrame:
     """The documents, all columns as they are, that hold no benchmark item; a pass per shard, no join."""
-    columns, body = documents.columns, "_body_of_the_row"
+    columns, body = documents.columns, free_name("_body_of_the_row", documents.columns)
     at, schema = len(columns), documents.schema
     for index in shards(benchmark, config):
         model = documents.sparkSession.sparkContext.broadcast(index)

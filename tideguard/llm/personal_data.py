@@ -5,11 +5,14 @@ by regular expressions and validated (octets, Luhn, number of digits); their
 spans always stay. High-recall generators propose further spans, which may
 overlap each other and the base ones. Each candidate has a pattern: its kind and
 ten yes/no features of its format and context. Candidates that a validator can
-judge are weakly labelled by it; the validators' verdicts are no features. Spark
+judge are weakly labelled by it; the validators' verdicts are no features. An
+e-mail candidate counts as right if it is written plainly or a word like "mail"
+or "contact" stands before it: "look @ home.now" alone is no address. Spark
 counts the labelled candidates of all documents by pattern (at most 5,120
 patterns, whatever the corpus), MLlib's gradient-boosted trees learn from the
 counts of half of the documents, and the other half calibrates one threshold per
-kind: the lowest score at which the candidates above it are right often enough.
+kind: the lowest score, a half at least, at which the candidates above it are
+right often enough.
 A candidate of an accepted pattern that no base span contains becomes a span.
 
 Matches and offsets: a text is cut by the same expression that extracts the
@@ -28,7 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideguard.llm.common import table
+from tideguard.llm.common import free_name, table
 from tideguard.session import materialise
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -111,6 +114,13 @@ def valid(kind: str, text: Column) -> Column:
             "secret": text.rlike("[0-9]") & text.rlike(r"[=:] ?[\"']?.*[A-Za-z]") & (F.length(text) >= 20)}[kind]
 
 
+def plausible(kind: str, m: Column) -> Column:
+    """The weak label of a candidate."""
+    if kind == "email":
+        return ~m["text"].rlike(r"[ \[(]") | m["left"].rlike(NEARBY)
+    return valid(kind, m["text"])
+
+
 def valid_spans(column: str, kind: str) -> Column:
     """(start, kind, end) of the matches that the validator lets pass."""
     return F.transform(F.filter(column, lambda m: valid(kind, m["text"])),
@@ -130,7 +140,7 @@ def described(column: str, kind: str, config: PrivacyConfig) -> Column:
         for i, bit in enumerate(bits):
             pattern = pattern + bit.cast("int") * (1 << i)
         return F.struct(m["start"], F.lit(number).alias("kind"), m["end"], pattern.alias("pattern"),
-                        valid(kind, body).cast("int").alias("label"))
+                        plausible(kind, m).cast("int").alias("label"))
 
     return F.transform(column, one)
 
@@ -177,7 +187,7 @@ def accepted(found: DataFrame, config: PrivacyConfig = PrivacyConfig()) -> list[
         for i, r in enumerate(held):
             right, all_ = right + r["n"] * r["label"], all_ + r["n"]
             if right >= config.precision * all_ and (i + 1 == len(held) or held[i + 1]["p"] < r["p"]):
-                threshold = r["p"]
+                threshold = max(r["p"], 0.5)  # never what the trees hold for wrong
         chosen += sorted({r["pattern"] for r in mine if r["p"] >= threshold})
     return chosen
 
@@ -191,14 +201,22 @@ def personal_data(documents: DataFrame, key: str = "doc_id", text: str = "text",
     """
     found = materialise(spans(documents, key, text, config), "personal-data")
     patterns = accepted(found, config)
-    plain = lambda c: F.struct(c["start"], c["kind"], c["end"])
-    inside = lambda c: F.exists("base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"]))
-    if patterns:
-        wanted = F.array(*[F.lit(p) for p in patterns])
-        extra = F.transform(F.filter("more", lambda c: F.array_contains(wanted, c["pattern"]) & ~inside(c)), plain)
-    else:
-        extra = F.transform(F.slice("more", 1, 0), plain)
-    return found.select("doc_id", "base", F.array_sort(F.array_union("base", extra)).alias("spans"))
+    wanted = F.array(*[F.lit(p) for p in patterns]).cast("array<int>")
+    own = F.transform("base", lambda b: F.struct(b["start"], F.lit(0).alias("place"), b["kind"], b["end"]))
+    extra = F.transform(F.filter("more", lambda c: F.array_contains(wanted, c["pattern"])),
+                        lambda c: F.struct(c["start"], F.lit(1).alias("place"), c["kind"], c["end"]))
+    # A candidate lies in a base span if the greatest end of the base spans up to it in the order of starts reaches its
+    # own end: maxima of blocks of 256, then within a block, so that a text full of matches costs no quadratic time.
+    df = found.withColumn("_all", F.array_sort(F.concat(own, extra)))
+    df = df.withColumn("_e", F.transform("_all", lambda x: F.when(x["place"] == 0, x["end"]).otherwise(F.lit(0))))
+    df = df.withColumn("_s", F.when(F.size("_e") > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_e") - 1) / 256).cast("int")),
+        lambda b: F.array_max(F.slice(F.col("_e"), b * 256 + 1, 256)))).otherwise(F.array().cast("array<bigint>")))
+    df = df.withColumn("_b", F.transform("_s", lambda _, b: F.coalesce(F.array_max(F.slice(F.col("_s"), 1, b)), F.lit(0))))
+    block = lambda i: F.floor(i / 256).cast("int")
+    reached = lambda i: F.greatest(F.get("_b", block(i)), F.array_max(F.slice(F.col("_e"), block(i) * 256 + 1, i % 256 + 1)))
+    df = df.withColumn("_kept", F.filter("_all", lambda x, i: (x["place"] == 0) | (reached(i) < x["end"])))
+    return df.select("doc_id", "base", F.array_sort(F.transform("_kept", lambda x: F.struct(x["start"], x["kind"], x["end"]))).alias("spans"))
 
 
 def joined(column: str) -> Column:
@@ -212,17 +230,21 @@ def redact(documents: DataFrame, found: DataFrame, key: str = "doc_id", text: st
     """``documents`` with redacted: the text with every span of ``found`` replaced by its kind in brackets.
 
     ``found`` is what ``personal_data`` returns for a table with unique keys. Of overlapping spans the first covers.
+
+    Defined results: a null text stays null; rows whose key is null or not in ``found`` keep their text; an own column
+    ``redacted`` is replaced, all others stay as they are, ``spans`` among them.
     """
+    mine = free_name("spans", documents.columns)
     names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     def step(a, s):
         clean = F.substr(F.col(text), (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
         return F.when(s["start"] < a["at"], F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at"))).otherwise(
             F.struct(F.concat(a["out"], clean, F.get(names, s["kind"])).alias("out"), s["end"].alias("at")))
-    done = documents.join(found.select(F.col("doc_id").alias(key), "spans"), key, "left")
-    folded = F.aggregate(F.coalesce("spans", F.array().cast(found.schema["spans"].dataType)), start, step,
+    done = documents.join(found.select(F.col("doc_id").alias(key), F.col("spans").alias(mine)), key, "left")
+    folded = F.aggregate(F.coalesce(mine, F.array().cast(found.schema["spans"].dataType)), start, step,
                          lambda a: F.concat(a["out"], F.substr(F.col(text), (a["at"] + 1).cast("int"))))
-    return done.withColumn("redacted", folded).drop("spans")
+    return done.withColumn("redacted", folded).drop(mine)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

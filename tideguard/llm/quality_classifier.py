@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideguard.llm.common import class_shares, fold, labelled_sample, map_slices, raw, table
+from tideguard.llm.common import class_shares, fold, free_name, labelled_sample, map_slices, raw, table
 
 HALF = 512  # bytes of a half chunk; a chunk is two of them
 
@@ -194,7 +194,7 @@ def accepted(documents: DataFrame, net: ByteNet, threshold: float, text: str = "
         keep = model.value.probability(batch.column(at).to_pylist()) >= threshold
         return pa.RecordBatch.from_arrays(batch.columns[:at], schema=pa.schema(list(batch.schema)[:at])).filter(pa.array(keep))
 
-    body = "_body_of_the_row"
+    body = free_name("_body_of_the_row", columns)
     return map_slices(documents.withColumn(body, raw(text)), work, documents.schema, body).select(*columns)
 
 
