@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideguard.llm import decontamination, mixing, quality_classifier, setsketch, token_files
-from tideguard.llm.common import table
+from tideguard.llm.common import free_name, table
 from tideguard.session import materialise
 
 
@@ -27,7 +27,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows are judged by a stored number, so rows that repeat an id or have none count each; a null id comes last.
     """
-    row = "_row_of_the_stage"
+    row = free_name("_row_of_the_stage", docs.columns)
     numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     judged = setsketch.near_duplicates(numbered, key=row).select(F.col("doc_id").alias(row), "component_id")
     stays = (judged.join(numbered.select(row, "doc_id"), row).groupBy("component_id")
