@@ -310,7 +310,9 @@ def neighbour_counts(documents: DataFrame, contexts: Contexts, text: str = "text
                 held["cells"] += len(keys)
                 if held["cells"] > 8 * config.held_words:
                     merged()
-                if len(held["ids"]) > config.held_words or held["cells"] > 6 * config.held_words:
+                    if held["cells"] > 5 * config.held_words:   # little is left to add up
+                        yield from rows()
+                if len(held["ids"]) > config.held_words:
                     yield from rows()
         if held["parts"]:
             yield from rows()
@@ -336,7 +338,9 @@ def best_classes(cells: np.ndarray, n: np.ndarray, starts: np.ndarray, weight: n
     base = sides[cells]
     at = np.arange(len(cells)), np.repeat(old, sizes)
     base[at] = np.maximum(base[at] - n, 0)
-    gain = np.add.reduceat(x_log_x(base + n[:, None]) - x_log_x(base), starts, axis=0)
+    without = x_log_x(sides)[cells]
+    without[at] = x_log_x(base[at])
+    gain = np.add.reduceat(x_log_x(base + n[:, None]) - without, starts, axis=0)
     mine = np.arange(len(old)), old
     for totals in (classes.sum(axis=1), classes.sum(axis=0)):
         totals = np.repeat(totals[None, :], len(old), axis=0)
