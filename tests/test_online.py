@@ -1,6 +1,9 @@
 """The online job against its parts on a stored table."""
 
+import glob
+import os
 import random
+import shutil
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tideguard.config import DEFAULT_LEXICON, LABELS
 from tideguard.operators.strikes import strike_actions
+from tideguard.plans.stream_queries import QUERIES
 from tideguard.streaming.online import Scorer, judge, linear_scorer, moderate, moderate_online
 from tideguard.streaming.strikes import stream_status
 
@@ -138,3 +142,24 @@ def test_status_from_the_state_of_the_stream(spark, tmp_path):
         users, f"{tmp_path}/state", ["chat", "user"], F.lit(T0 + timedelta(minutes=12))).collect()}
     assert found == {("a", 1): (3, "muted", None, 21), ("a", None): (1, "warned", 2, None), ("b", 1): (0, "none", None, None),
                      ("c", 5): (0, "none", None, None)}
+
+
+def _tables(spark, folder, files):
+    turns = [(c, t, "system" if t == 0 else "user", f"bad {DEFAULT_LEXICON[0]} {c}" if (c + t) % 3 else "fine words") for c in range(6) for t in range(3)]
+    texts = [(i, f"words of text {i}" if i % 4 else "  ", "en", "web", 10) for i in range(12)]
+    for name, data, schema in (("conversations", turns, "conv_id long, turn long, role string, text string"),
+                               ("documents", texts, "doc_id long, text string, lang string, source string, n_chars long")):
+        df = spark.createDataFrame(data, schema).repartition(files)
+        df.write.parquet(f"{folder}/written/{name}")
+        if files > 1:
+            shutil.copytree(f"{folder}/written/{name}", f"{folder}/in/{name}.parquet")
+        else:
+            os.makedirs(f"{folder}/in", exist_ok=True)
+            shutil.copy(glob.glob(f"{folder}/written/{name}/part-*.parquet")[0], f"{folder}/in/{name}.parquet")
+    return f"{folder}/in"
+
+
+@pytest.mark.parametrize("name", ["online_strikes", "stream_score"])
+def test_streams_read_tables_of_one_file_and_of_a_folder(spark, tmp_path, name):
+    one, many = (rows(QUERIES[name](spark, _tables(spark, f"{tmp_path}/{n}", n))) for n in (1, 3))
+    assert one == many and len(one) > 10

@@ -18,10 +18,14 @@ from tideguard.session import store
 
 def read_table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType,
                       files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
+    """The tables ``name*.parquet`` of a folder as a stream, each a file or a folder of files.
+
+    The name is part of the path: a filter on file names would miss the files of a folder.
+    """
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(f"{folder}/{name}*.parquet")
 
 
 def score_stream(comments: DataFrame, scorer: Callable[[DataFrame], DataFrame], out: str,
