@@ -2,16 +2,20 @@
 
 import random
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, rows
 from tideguard.config import ModerationConfig
 from tideguard.functions import strikes as machine
+from tideguard.functions.strikes import Rules
 from tideguard.operators import strikes
 from tideguard.operators.strikes import slice_units, strike_actions, strike_status
+from tideguard.streaming import strikes as strike_stream
 from tideguard.streaming.strikes import first_of_repeats, stream_strikes
 
 T0 = datetime(2024, 3, 1, 12, 0, 0)
@@ -222,3 +226,99 @@ def test_repeated_delivery_is_dropped(spark, tmp_path):
             str(tmp_path / "in"))
     once = first_of_repeats(source(spark, tmp_path / "in"), "id", "ts", "1 hour")
     assert drain(once, tmp_path).count() == 3
+
+
+class State:
+    """State of one user, in memory; counts the calls."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers = 0, {}, set()
+
+    def getValueState(self, name, _):
+        return Slot(self, name)
+
+    getMapState = lambda self, name, *_: Slot(self, name)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+
+class Slot:
+    def __init__(self, state, name):
+        self.state, self.name = state, name
+
+    def at(self, key=()):
+        self.state.calls += 1
+        return (self.name, *key)
+
+    def get(self):
+        return self.state.values.get(self.at())
+
+    def exists(self):
+        return self.at() in self.state.values
+
+    def update(self, value):
+        self.state.values[self.at()] = value
+
+    def clear(self):
+        self.state.values.pop(self.at(), None)
+
+    def getValue(self, key):
+        return self.state.values[self.at(key)]
+
+    def containsKey(self, key):
+        return self.at(key) in self.state.values
+
+    def updateValue(self, key, value):
+        self.state.values[self.at(key)] = value
+
+    def removeKey(self, key):
+        del self.state.values[self.at(key)]
+
+
+@pytest.mark.parametrize("parcel", [1, 7, 512])
+def test_state_calls_follow_micro_batches_and_not_messages(monkeypatch, parcel):
+    monkeypatch.setattr(strike_stream, "PARCEL", parcel, raising=False)
+    state, slot_ms = State(), 60_000
+    processor = strike_stream.StrikesInTime(Rules(3, 30 * 60_000_000), "long", slot_ms)
+    processor.init(state)
+    rng = random.Random(5)
+    messages = [(i, 20_000_000 * i + rng.randrange(10 ** 7), rng.random() < 0.5, rng.random() < 0.05) for i in range(600)]
+    messages += [(600 + i, *messages[7 * i][1:]) for i in range(40)]     # equal times
+    arrivals = sorted(messages, key=lambda m: m[1] + rng.randrange(3_000_000_000))
+    got, watermark = [], 0
+    for k in range(4):
+        part = arrivals[160 * k: 160 * (k + 1)]
+        list(processor.handleInputRows(("u",), iter([pd.DataFrame(part, columns=["id", "us", "toxic", "rejoin"])]), None))
+        watermark = 10 ** 9 if k == 3 else (max(m[1] for m in arrivals[:160 * (k + 1)]) - 3_000_000_000) // 1000
+        while due := [t for t in sorted(state.timers) if t <= watermark]:
+            state.timers.discard(due[0])
+            for out in processor.handleExpiredTimer(("u",), SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark),
+                                                  SimpleNamespace(getExpiryTimeInMs=lambda: due[0])):
+                got += list(zip(out["id"], out["action"], out["strikes"], strict=True))
+    assert got == [(i, a, c) for i, (a, c) in _plain(sorted(messages, key=lambda m: (m[1], m[0])))]
+    assert not state.values and not state.timers     # nothing waits, and no mute is left
+    assert parcel < 512 or state.calls < 80
+
+
+def _plain(messages):
+    """The machine one message at a time."""
+    count, until = 0, None
+    for i, us, toxic, rejoin in messages:
+        if until is not None and us >= until:
+            count, until = 0, None
+        action = "pass"
+        if rejoin:
+            count, until, action = 0, None, "rejoin"
+        elif until is not None:
+            action = "muted"
+        elif toxic:
+            count += 1
+            action = {1: "warn", 2: "final_warning"}.get(count, "mute")
+            until = us + 30 * 60_000_000 if count >= 3 else None
+        yield i, (action, count)

@@ -21,7 +21,10 @@ from tideguard.session import keep_state_on_disk
 #: Keyed state of a user: strikes, and the end of a mute in microseconds.
 STATE = "count int, until long"
 _ROW = ["id", "us", "toxic", "rejoin"]
+_WAITING = [*_ROW, "arrival"]
 _NO_ID = -(1 << 63)
+#: Messages of a user that wait together, and more if one slot has more.
+PARCEL = 512
 
 
 def folded(df: DataFrame, keys: Sequence[str], ts: str, event_id: str) -> list[Column]:
@@ -85,11 +88,14 @@ class StrikesOnArrival(StatefulProcessor):
 
 
 class StrikesInTime(StrikesOnArrival):
-    """Messages wait in slots of time until the watermark has passed the slot.
-
-    A slot's messages are a few map entries, one for each micro-batch that brought
-    some, with a timer at the slot's end. A micro-batch writes what has arrived and
-    reads what is settled; messages that wait on are not touched.
+    """Messages wait until the watermark has passed their slot of time.
+
+    They wait in parcels, each under its first slot: what a micro-batch brings a user,
+    in order of time, cut between slots into pieces of ``PARCEL`` messages or more.
+    A user has one timer, at the end of the first slot that waits. When it rings,
+    all parcels that have begun to settle are read together, the settled messages are
+    played at once, and the rest is put back; later parcels are not touched. So the
+    calls to the state follow users and micro-batches, not slots or messages.
     """
 
     def __init__(self, rules: Rules, id_type: str, slot_ms: int) -> None:
@@ -99,40 +105,90 @@ class StrikesInTime(StrikesOnArrival):
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "slot long, part int",
-                                          f"ids array<{self.id_type}>, times array<long>, toxic array<boolean>, rejoin array<boolean>")
-        self.parts = handle.getMapState("parts", "slot long", "n int")
+        self.waiting = handle.getMapState("waiting", "parcel long", f"ids array<{self.id_type}>, times array<long>, "
+                                          "toxic array<boolean>, rejoin array<boolean>, arrival array<long>")
+        self.index = handle.getValueState("index", "slots array<long>, parcels array<long>, next long, timer long")
+
+    def known(self) -> tuple[list[int], list[int], int, int]:
+        """First slots and numbers of the parcels, the next number, and the timer that is set (NEVER: none)."""
+        found = self.index.get()
+        return (list(found[0]), list(found[1]), found[2], found[3]) if found else ([], [], 0, NEVER)
+
+    def put(self, rows: dict[str, np.ndarray], slots: list[int], parcels: list[int], next_: int) -> int:
+        """Rows into parcels, in order of time; gives the next free number."""
+        order = np.argsort(rows["us"], kind="stable")
+        of = rows["us"][order] // (1000 * self.slot_ms)
+        at = 0
+        while at < len(of):
+            last = min(at + PARCEL, len(of)) - 1
+            stop = int(np.searchsorted(of, of[last], side="right"))
+            self.waiting.updateValue((next_,), tuple(rows[c][order[at:stop]].tolist() for c in _WAITING))
+            slots.append(int(of[at]))
+            parcels.append(next_)
+            at, next_ = stop, next_ + 1
+        return next_
+
+    def settle(self, slots: list[int], parcels: list[int], next_: int, timer: int, until: int) -> None:
+        """Writes the index down, with the timer for the first slot or the end of a mute."""
+        ends = [(min(slots) + 1) * self.slot_ms] if slots else []
+        if until != NEVER:
+            ends.append((until // (1000 * self.slot_ms) + 1) * self.slot_ms)
+        wanted = min(ends, default=NEVER)
+        if wanted != timer:
+            if timer != NEVER:
+                self.handle.deleteTimer(timer)
+            if wanted != NEVER:
+                self.handle.registerTimer(wanted)
+        if wanted == NEVER:
+            self.index.clear()
+        else:
+            self.index.update((slots, parcels, next_, wanted))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        rows = pd.concat([r[_ROW] for r in rows], ignore_index=True)
-        for slot, own in rows.groupby(rows["us"].to_numpy(np.int64) // (1000 * self.slot_ms)):
-            slot = (int(slot),)
-            n = self.parts.getValue(slot)[0] if self.parts.containsKey(slot) else 0
-            self.waiting.updateValue((*slot, n), tuple(own[c].tolist() for c in _ROW))
-            self.parts.updateValue(slot, (n + 1,))
-            if n == 0:
-                self.handle.registerTimer((slot[0] + 1) * self.slot_ms)
+        slots, parcels, next_, timer = self.known()
+        rows = list(rows)
+        brought = {c: np.concatenate([r[c].to_numpy() for r in rows]) for c in _ROW}
+        # Numbers only grow, so this tells earlier micro-batches from later ones.
+        brought["arrival"] = np.full(len(brought["us"]), next_)
+        first = len(slots)
+        next_ = self.put(brought, slots, parcels, next_)
+        end = (min(slots[first:]) + 1) * self.slot_ms
+        if timer == NEVER or end < timer:
+            if timer != NEVER:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(end)
+            timer = end
+        self.index.update((slots, parcels, next_, timer))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Timers of a user come in order of time: all slots before this one have been played."""
-        ends = expiredTimerInfo.getExpiryTimeInMs()
-        slot = (ends // self.slot_ms - 1,)
-        before = tuple(self.state.get()) if self.state.exists() else (0, NEVER)
+        rang = expiredTimerInfo.getExpiryTimeInMs()
+        slots, parcels, next_, timer = self.known()
+        if timer != rang:
+            return
+        # All slots that end by the watermark; a message still to come is behind it.
+        passed = max(rang, timerValues.getCurrentWatermarkInMs()) // self.slot_ms
+        before = tuple(self.state.get() or (0, NEVER))
         after = before
-        if self.parts.containsKey(slot):
-            found = [self.waiting.getValue((*slot, k)) for k in range(self.parts.getValue(slot)[0])]
-            for k in range(len(found)):
-                self.waiting.removeKey((*slot, k))
-            self.parts.removeKey(slot)
-            rows = pd.concat([pd.DataFrame(dict(zip(_ROW, part, strict=True))) for part in found])
-            out, after = played(key[0], sorted_rows([rows]), *before, self.rules)
+        due = [(s, n) for s, n in zip(slots, parcels, strict=True) if s < passed]
+        if due:
+            found = [self.waiting.getValue((n,)) for _, n in due]
+            for _, n in due:
+                self.waiting.removeKey((n,))
+            kept = [(s, n) for s, n in zip(slots, parcels, strict=True) if s >= passed]
+            slots, parcels = [s for s, _ in kept], [n for _, n in kept]
+            # Equal times and ids stay in order of arrival.
+            rows = {c: np.array([x for part in found for x in part[k]], dtype=object if c == "id" else None) for k, c in enumerate(_WAITING)}
+            order = np.argsort(rows["arrival"], kind="stable")
+            settled = rows["us"][order] < 1000 * passed * self.slot_ms
+            played_now = pd.DataFrame({c: rows[c][order[settled]] for c in _ROW}).infer_objects()
+            out, after = played(key[0], sorted_rows([played_now]), *before, self.rules)
+            next_ = self.put({c: rows[c][order[~settled]] for c in _WAITING}, slots, parcels, next_)
             yield out
-        if after[1] != NEVER and after[1] <= 1000 * ends:
+        if after[1] != NEVER and after[1] <= 1000 * passed * self.slot_ms:
             after = (0, NEVER)           # the mute is over for all that can still come
-        elif after[1] != NEVER and after != before:
-            self.handle.registerTimer((after[1] // (1000 * self.slot_ms) + 1) * self.slot_ms)
         self.keep(before, after)
+        self.settle(slots, parcels, next_, NEVER, after[1])    # the timer that rang is gone
 
 
 def stream_strikes(messages: DataFrame, keys: Sequence[str], ts: str, event_id: str,
@@ -150,8 +206,7 @@ def stream_strikes(messages: DataFrame, keys: Sequence[str], ts: str, event_id:
     A task holds one user's part of one micro-batch, or of one slot; size
     micro-batches with the source's limits (``maxFilesPerTrigger``,
     ``maxOffsetsPerTrigger``). State is kept in RocksDB: two numbers per user who
-    has strikes, nothing for the others, and the waiting messages, each written and
-    read once. Messages without a time are left out. ``ts`` comes back as a timestamp.
+    has strikes, nothing for the others, and the waiting messages in parcels. Messages without a time are left out. ``ts`` comes back as a timestamp.
     """
     rules = rules_of(config)
     keep_state_on_disk(messages.sparkSession)
