@@ -67,6 +67,24 @@ def signed_hash(word: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def signed_hashes(words: list[bytes]) -> np.ndarray:
+    """``signed_hash`` of many words."""
+    return np.array(list(map(xxhash.xxh64_intdigest, words)), dtype=np.uint64).view(np.int64)
+
+
+class Numbers(dict):
+    """Words by number; ``words`` has those that were not known, in order, until it is emptied."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.words: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.words.append(word)
+        at = self[word] = len(self)
+        return at
+
+
 def word_counts(documents: DataFrame, config: BrownConfig, text: str = "text") -> DataFrame:
     """(word, n, h, surface) of all words of ``documents``."""
     def run(batches):
@@ -88,7 +106,7 @@ def word_counts(documents: DataFrame, config: BrownConfig, text: str = "text") -
     def marked(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = batch.column(0).to_pylist()
         return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array([signed_hash(w) for w in words], pa.int64()),
+            [*batch.columns, pa.array(signed_hashes(words)),
              pa.array([surface(w, config) for w in words], pa.int32())], names=["word", "n", "h", "surface"])
 
     counted = (documents.select(raw(text).alias("body")).mapInArrow(run, "word binary, n long")
@@ -104,20 +122,25 @@ class Symbols:
         self.own = {w: i for i, w in enumerate(words)}
         self.end = config.symbols + config.surfaces
         self.size = self.end + 1
-        self.seen: dict[bytes, int] = {}
+        self.seen = Seen(self)
 
     def of(self, words: list[bytes]) -> list[int]:
-        known = self.seen
-        try:
-            return [known[w] for w in words]
-        except KeyError:
-            if len(known) > self.config.held_words:
-                self.seen = known = {}
-            for w in words:
-                if w not in known:
-                    k = self.own.get(w)
-                    known[w] = self.config.symbols + surface(w, self.config) if k is None else k
-            return [known[w] for w in words]
+        if len(self.seen) > self.config.held_words:
+            self.seen = Seen(self)
+        return list(map(self.seen.__getitem__, words))
+
+
+class Seen(dict):
+    """Symbols of the words that a task has met."""
+
+    def __init__(self, symbols: Symbols):
+        super().__init__()
+        self.symbols = symbols
+
+    def __missing__(self, word: bytes) -> int:
+        k, config = self.symbols.own.get(word), self.symbols.config
+        self[word] = k = config.symbols + surface(word, config) if k is None else k
+        return k
 
 
 def pair_counts(documents: DataFrame, words: list[bytes], config: BrownConfig, text: str = "text") -> np.ndarray:
@@ -131,6 +154,12 @@ def pair_counts(documents: DataFrame, words: list[bytes], config: BrownConfig, t
         symbols = Symbols(shared.value, config)
         n = symbols.size
         total = np.zeros(n * n, dtype=np.int64)
+        waiting, size = [], 0
+
+        def add():
+            pairs = np.concatenate(waiting)
+            total[:] += np.bincount(pairs, minlength=n * n)
+
         for batch in batches:
             for a, b in pieces(batch, 0):
                 ids = [symbols.end]
@@ -138,7 +167,13 @@ def pair_counts(documents: DataFrame, words: list[bytes], config: BrownConfig, t
                     ids += symbols.of(body.lower().split())
                     ids.append(symbols.end)
                 ids = np.array(ids, dtype=np.int64)
-                total += np.bincount(ids[:-1] * n + ids[1:], minlength=n * n)
+                waiting.append(ids[:-1] * n + ids[1:])
+                size += len(ids)
+                if size > 1 << 21:    # a bin for each pair: worth its cost for many pairs at once only
+                    add()
+                    waiting, size = [], 0
+        if waiting:
+            add()
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["pair", "n"])
 
@@ -246,13 +281,22 @@ class Contexts:
         return int(self.surfaces[surface(word, self.config)])
 
 
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sum of each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(n[order], first)
+
+
 def neighbour_counts(documents: DataFrame, contexts: Contexts, text: str = "text") -> DataFrame:
-    """(h, cells): how often each word (null: the end token) follows a class and precedes one.
+    """(h, parts): how often each word (null: the end token) follows a class and precedes one.
 
-    A cell (c, n) with c below the number of classes counts class c before the
-    word, one with c from there on class c - classes behind it: at most twice
-    the number of classes a word. Tasks add up, then Spark does on both sides of
-    the shuffle, so that a word of every text loads no task.
+    A cell c below the number of classes counts class c before the word, one from
+    there on class c - classes behind it: at most twice the number of classes a
+    word. A task adds up and sends a word's cells in one piece, n * 2 * classes + c
+    each, so that a word is shuffled once with its hash, whatever its cells; the
+    pieces of a word (``parts``) are a few for each task, also of one in every text.
     """
     config = contexts.config
     k, end = config.classes, config.classes - 1
@@ -262,52 +306,48 @@ def neighbour_counts(documents: DataFrame, contexts: Contexts, text: str = "text
         known = shared.value
         own = known.own()
         room = config.held_words + 1
-        held = {"ids": {}, "classes": np.zeros(room, dtype=np.int64), "parts": [], "cells": 0}
+        # Number 0 is the end token's; no word holds white space.
+        held = {"ids": Numbers({b" ": 0}), "classes": np.zeros(room, dtype=np.int64), "parts": [], "cells": 0}
         held["classes"][0] = end
 
         def merged():
-            keys = np.concatenate([p[0] for p in held["parts"]])
-            keys, place = np.unique(keys, return_inverse=True)
-            n = np.bincount(place, np.concatenate([p[1] for p in held["parts"]])).astype(np.int64)
+            keys, n = summed(*[np.concatenate([p[i] for p in held["parts"]]) for i in (0, 1)])
             held["parts"], held["cells"] = [(keys, n)], len(keys)
             return keys, n
 
         def rows():
             keys, n = merged()
-            hashes = np.zeros(len(held["ids"]) + 1, dtype=np.int64)
-            hashes[1:] = [signed_hash(w) for w in held["ids"]]
-            word = keys // (2 * k)
-            for a in range(0, len(keys), 1 << 16):
-                b = a + (1 << 16)
+            hashes = signed_hashes(list(held["ids"]))
+            word, packed = keys // (2 * k), n * (2 * k) + keys % (2 * k)
+            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            word, ends = word[starts], np.append(starts, len(keys))
+            for a in range(0, len(word), 1 << 13):
+                own = ends[a: a + (1 << 13) + 1]
+                some = word[a: a + (1 << 13)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[word[a:b]], pa.int64(), mask=word[a:b] == 0), pa.array((keys[a:b] % (2 * k)).astype(np.int32)),
-                     pa.array(n[a:b])], names=["h", "cell", "n"])
-            held["ids"], held["parts"], held["cells"] = {}, [], 0
+                    [pa.array(hashes[some], pa.int64(), mask=some == 0),
+                     pa.ListArray.from_arrays(pa.array((own - own[0]).astype(np.int32)), pa.array(packed[own[0]: own[-1]]))], names=["h", "cells"])
+            held["ids"], held["parts"], held["cells"] = Numbers({b" ": 0}), [], 0
 
         for batch in batches:
             for a, b in pieces(batch, 0):
-                tokens = [0]
+                tokens, ids = [0], held["ids"]
                 for body in batch.column(0)[a:b].to_pylist():
-                    words = body.lower().split()
-                    ids = held["ids"]
-                    try:
-                        tokens += [ids[w] for w in words]
-                    except KeyError:
-                        for w in words:
-                            if w not in ids:
-                                at = ids[w] = len(ids) + 1
-                                if at >= len(held["classes"]):
-                                    held["classes"] = np.concatenate([held["classes"], np.zeros(at, dtype=np.int64)])
-                                c = own.get(w)
-                                held["classes"][at] = known.of_surface(w) if c is None else c
-                        tokens += [ids[w] for w in words]
+                    tokens += map(ids.__getitem__, body.lower().split())
                     tokens.append(0)
+                if ids.words:
+                    at = len(ids) - len(ids.words)
+                    if len(ids) > len(held["classes"]):
+                        held["classes"] = np.concatenate([held["classes"], np.zeros(len(ids), dtype=np.int64)])
+                    held["classes"][at: len(ids)] = [known.of_surface(w) if (c := own.get(w)) is None else c for w in ids.words]
+                    ids.words.clear()
                 tokens = np.array(tokens, dtype=np.int64)
                 of = held["classes"][tokens]
                 keys = np.concatenate([tokens[1:] * (2 * k) + of[:-1], tokens[:-1] * (2 * k) + k + of[1:]])
-                keys, n = np.unique(keys, return_counts=True)
-                held["parts"].append((keys, n))
-                held["cells"] += len(keys)
+                keys.sort()
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                held["parts"].append((keys[first], np.diff(np.append(first, len(keys)))))
+                held["cells"] += len(first)
                 if held["cells"] > 8 * config.held_words:
                     merged()
                     if held["cells"] > 5 * config.held_words:   # little is left to add up
@@ -317,9 +357,8 @@ def neighbour_counts(documents: DataFrame, contexts: Contexts, text: str = "text
         if held["parts"]:
             yield from rows()
 
-    return (documents.select(raw(text).alias("body")).mapInArrow(run, "h long, cell int, n long")
-            .groupBy("h", "cell").agg(F.sum("n").alias("n"))
-            .groupBy("h").agg(F.collect_list(F.struct("cell", "n")).alias("cells")))
+    return (documents.select(raw(text).alias("body")).mapInArrow(run, "h long, cells array<long>")
+            .groupBy("h").agg(F.collect_list("cells").alias("parts")))
 
 
 def x_log_x(x: np.ndarray) -> np.ndarray:
@@ -364,9 +403,12 @@ def moved(counts: DataFrame, cells: DataFrame, classes: np.ndarray, config: Brow
         for batch in batches:
             named = batch.column(2).is_valid()      # all but the end token
             numbers = batch.column(1).fill_null(0).to_numpy()
-            sizes = np.diff(batch.column(5).offsets.to_numpy())
-            flat = batch.column(5).flatten()
-            cell, n = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            # Cells of a word, added up over its pieces.
+            pieces_ = batch.column(5).flatten()
+            at = np.append(0, np.cumsum(np.diff(pieces_.offsets.to_numpy())))[np.append(0, np.cumsum(np.diff(batch.column(5).offsets.to_numpy())))]
+            packed = pieces_.flatten().to_numpy()
+            keys, n = summed(np.repeat(np.arange(len(batch)), np.diff(at)) * (2 * k) + packed % (2 * k), packed // (2 * k))
+            cell, sizes = keys % (2 * k), np.bincount(keys // (2 * k), minlength=len(batch))
             starts = np.cumsum(sizes) - sizes
             new = batch.column(4).fill_null(k - 1).to_numpy().astype(np.int64)
             asked = (numbers >= config.least) & (new != k - 1)
@@ -391,7 +433,7 @@ def moved(counts: DataFrame, cells: DataFrame, classes: np.ndarray, config: Brow
              pa.array((at % k).astype(np.int32)), pa.array((at // k).astype(np.int32))],
             names=["word", "n", "h", "surface", "class", "before"])
 
-    return (cells.join(counts, "h", "left").select("word", "n", "h", "surface", "class", "cells")
+    return (cells.join(counts, "h", "left").select("word", "n", "h", "surface", "class", "parts")
             .mapInArrow(run, "word binary, n long, h long, surface int, class int, before int"))
 
 
@@ -429,7 +471,7 @@ def train(documents: DataFrame, learn: Column, config: BrownConfig = BrownConfig
     classes = class_table(pairs, of, config)
     surfaces = of[config.symbols: config.symbols + config.surfaces]
     contexts = Contexts(seeds, of[: len(seeds)], surfaces, config)
-    first = spark.createDataFrame([(bytearray(w), int(c)) for w, c in zip(seeds, of, strict=False)], "word binary, seed int")
+    first = spark.createDataFrame(pa.table({"word": pa.array(seeds, pa.binary()), "seed": pa.array(of[: len(seeds)].astype(np.int32))}))
     counts = (counts.join(F.broadcast(first), "word", "left")
               .withColumn("class", F.coalesce("seed", F.get(F.array(*[F.lit(int(c)) for c in surfaces]), F.col("surface")))).drop("seed"))
     for i in range(config.word_rounds):
@@ -462,11 +504,12 @@ class Known:
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[bytes, int] = {w: i for i, w in enumerate(self.model.words)}
+        self.ids = Numbers(zip(self.model.words, range(len(self.model.words)), strict=True))
         self.words = list(self.model.words)
-        self.logs = np.log10(self.model.counts + 1.0)
-        of = [self.context(w) for w in self.words]
-        self.classes, self.contexts = self.model.classes, np.array(of, dtype=np.int64)
+        n, room = len(self.words), np.zeros(self.model.config.held_words, dtype=np.int64)
+        self.logs = np.concatenate([np.log10(self.model.counts + 1.0), room.astype(np.float64)])
+        self.classes = np.concatenate([self.model.classes, room])
+        self.contexts = np.concatenate([np.array([self.context(w) for w in self.words[:n]], dtype=np.int64), room])
 
     def context(self, word: bytes) -> int:
         c = self.neighbour.get(word)
@@ -475,17 +518,20 @@ class Known:
     def numbers(self, words: list[bytes]) -> np.ndarray:
         if len(self.ids) > len(self.model.words) + self.model.config.held_words:
             self.clear()
-        try:
-            return np.array([self.ids[w] for w in words], dtype=np.int64)
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.ids]
-            for w in new:
-                self.ids[w] = len(self.ids)
+        numbers = np.fromiter(map(self.ids.__getitem__, words), dtype=np.int64, count=len(words))
+        new = self.ids.words
+        if new:
+            a = len(self.words)
             self.words += new
-            self.logs = np.append(self.logs, np.full(len(new), np.nan))
-            self.classes = np.append(self.classes, [self.model.contexts.of_surface(w) for w in new])
-            self.contexts = np.append(self.contexts, [self.context(w) for w in new])
-            return np.array([self.ids[w] for w in words], dtype=np.int64)
+            b = len(self.words)
+            if b > len(self.logs):
+                room = np.zeros(b, dtype=np.int64)
+                self.logs, self.classes, self.contexts = (np.concatenate([x, room.astype(x.dtype)]) for x in (self.logs, self.classes, self.contexts))
+            self.logs[a:b] = np.nan
+            self.classes[a:b] = [self.model.contexts.of_surface(w) for w in new]
+            self.contexts[a:b] = [self.context(w) for w in new]
+            new.clear()
+        return numbers
 
 
 def score(documents: DataFrame, model: Brown, counts: DataFrame, n_ends: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -525,10 +571,13 @@ def score(documents: DataFrame, model: Brown, counts: DataFrame, n_ends: int, ke
         own = sums(step) + gain[last, end]
         seen = sums(~rare).astype(np.int64) + int(n_ends > 0)
         # A rare word comes with its surface's class in ``own``; the join puts its class right. One item a document, word and class before.
-        keys, place, times = np.unique(np.stack([doc[rare], numbers[rare], before[rare]]), axis=1, return_index=True, return_counts=True)
-        hashes = [signed_hash(known.words[i]) for i in keys[1].tolist()]
+        width = len(known.words)
+        packed, place, times = np.unique((doc[rare] * width + numbers[rare]) * k + before[rare], return_index=True, return_counts=True)
+        keys = packed // (width * k), packed // k % width, packed % k
+        distinct, which = np.unique(keys[1], return_inverse=True)
+        hashes = signed_hashes([known.words[i] for i in distinct.tolist()])[which]
         items = pa.StructArray.from_arrays(
-            [pa.array(hashes, pa.int64()), pa.array(keys[2].astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(step[rare][place])],
+            [pa.array(hashes), pa.array(keys[2].astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(step[rare][place])],
             fields=list(item))
         offsets = np.searchsorted(keys[0], np.arange(len(docs) + 1)).astype(np.int32)
         return pa.RecordBatch.from_arrays(
