@@ -1,5 +1,7 @@
 """Plans and results that must hold at any size: skew, pruning, partitioning."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from tests.conftest import plan_of, rows
 from tideguard.config import LABELS
 from tideguard.operators import features, sampling
 from tideguard.operators.evaluation import auc_exact
+from tideguard.operators.features import frequency_of_counts
 from tideguard.operators.harmonize import majority_vote
 from tideguard.operators.joins import lookup_even
 from tideguard.plans import catalogue, fixtures
@@ -159,3 +162,37 @@ def test_plans_do_not_depend_on_the_number_of_files(spark, sf, tmp_path, name):
         text = plan_of(catalogue.QUERIES[name](spark, str(folder)))
         exchanges.append([text.count("Exchange hashpartitioning"), text.count("BroadcastExchange"), text.count("SortMergeJoin")])
     assert exchanges[0] == exchanges[1]
+
+
+@pytest.fixture
+def plain_plans(spark):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+
+def test_word_counts_are_shuffled_once(spark, tmp_path, plain_plans):
+    """Scores and frequencies read the same shuffle; the NULL term of a row without words is no word."""
+    docs = [(1, "alpha beta alpha"), (2, "beta gamma"), (3, ""), (4, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    scores = catalogue.QUERIES["linear_score_tokens"](spark, str(tmp_path))
+    assert len(re.findall(r"[+:]- Exchange hashpartitioning\(id#\d+L?, term#", plan_of(scores))) == 1
+    assert sorted(r.id for r in scores.collect()) == [1, 2, 3, 4]
+    counts = spark.createDataFrame([(1, "a", 2), (2, "a", 1), (2, "", 1), (3, None, 1)], "id long, term string, tf long")
+    assert sorted(map(tuple, frequency_of_counts(counts).collect())) == [("", 1), ("a", 2)]
+
+
+@pytest.mark.parametrize("hot_rows", [10, 10 ** 6])
+def test_rows_of_hot_keys_are_spread(spark, plain_plans, hot_rows):
+    """By a limit of rows, and by a share of all rows."""
+    facts = spark.range(400).selectExpr("id", "IF(id < 390, 'often', IF(id < 395, 'rare', IF(id < 398, NULL, 'unknown'))) AS term")
+    lookup = spark.createDataFrame([("often", 390, 1.5), ("rare", 5, 2.5)], "term string, df long, w double")
+    found = lookup_even(facts, lookup, "term", "df", "id", how="left", hot_rows=hot_rows)
+    at = found.withColumn("at", F.spark_partition_id()).collect()
+    assert len({r["at"] for r in at if r.term == "often"}) > 4
+    assert sorted((r.id, r.term, r.df, r.w) for r in at) == [
+        (i, *(("often", 390, 1.5) if i < 390 else ("rare", 5, 2.5) if i < 395 else (None if i < 398 else "unknown", None, None)))
+        for i in range(400)]

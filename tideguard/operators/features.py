@@ -41,9 +41,12 @@ def document_frequency(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 def frequency_of_counts(counts: DataFrame) -> DataFrame:
     """(term, df) from term counts. It reads ``tf``, so that both uses of the
-    counts ask for the same columns and Spark shuffles them only once."""
-    return (counts.filter(F.col("term").isNotNull())
-            .groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df")))
+    counts ask for the same columns and Spark shuffles them only once. For that
+    no filter on the term may sink below the counts either, neither one from here
+    nor one that a join on the result would add: the NULL term goes by its count."""
+    some = F.col("term").isNotNull() & (F.col("tf") > 0)
+    return (counts.groupBy("term").agg(F.count_if(some).alias("df")).filter("df > 0")
+            .select(F.coalesce("term", F.lit("")).alias("term"), "df"))
 
 
 def idf(n_rows: Column, df: Column, min_doc_freq: int = MIN_DOC_FREQ) -> Column:
