@@ -1,6 +1,7 @@
 """Training and scoring against single-purpose MLlib code."""
 
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
@@ -11,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of, rows
-from tideguard.config import LABELS, ModerationConfig
+from tideguard.config import DEFAULTS, LABELS, ModerationConfig
 from tideguard.functions.scoring import apply_thresholds, sigmoid
 from tideguard.functions.text import model_tokens
 from tideguard.operators import features, scoring, training
@@ -224,3 +225,13 @@ def test_fitted_model_on_a_stream(spark, trained, comments, tmp_path):
     query.awaitTermination()
     kept = comments.filter(F.char_length("comment_text") <= 5000).count()
     assert 0 < spark.read.parquet(str(tmp_path / "out")).count() <= kept + 5
+
+
+def test_a_task_of_a_tree_fit_holds_a_bounded_part(spark, monkeypatch):
+    monkeypatch.setattr(training, "TREE_TASK_BYTES", 1000)
+    config = replace(DEFAULTS, num_features=10)
+    rows_ = spark.range(200).coalesce(1)     # 40 bytes a row, stored in one part
+    held = [len(part) for part in training.dealt_for_trees(rows_, config).rdd.glom().collect()]
+    assert sum(held) == 200 and len(held) == 8 and max(held) <= 30
+    assert training.dealt_for_trees(rows_.limit(20), config).rdd.getNumPartitions() == 1
+    assert training.dealt_for_trees(rows_, replace(config, fit_tasks=1)).rdd.getNumPartitions() == 1

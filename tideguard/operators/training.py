@@ -36,6 +36,9 @@ from tideguard.session import Stored, materialise, store
 FOLDS = 3
 REG_GRID = (0.01, 0.1, 0.5)
 NET_GRID = (0.0, 0.5)
+#: What a task of a tree fit holds at most (it reads up to three times as much). Fewer rows a task would make more tasks
+#: send their sums to the one that decides a split.
+TREE_TASK_BYTES = 1 << 27
 
 
 # --- features ---------------------------------------------------------------
@@ -70,6 +73,17 @@ def packed(rows: DataFrame, config: ModerationConfig) -> DataFrame:
     return rows.coalesce(config.fit_tasks) if config.fit_tasks else rows
 
 
+def dealt_for_trees(rows: DataFrame, config: ModerationConfig) -> DataFrame:
+    """``rows`` over as many tasks as trees need, which hold a whole number for every
+    row and column, filled or not, and read them in each round: a task gets
+    ``TREE_TASK_BYTES`` of them, however the rows were stored."""
+    if config.fit_tasks:
+        return packed(rows, config)
+    tasks = -(-rows.count() * 4 * config.num_features // TREE_TASK_BYTES)
+    # Always dealt anew when a task is not enough for all: stored parts may be uneven.
+    return rows.repartition(max(tasks, rows.rdd.getNumPartitions())) if tasks > 1 else rows
+
+
 def idf_stage(min_doc_freq: int) -> IDF:
     return IDF(inputCol="raw_features", outputCol="features", minDocFreq=min_doc_freq)
 
@@ -171,7 +185,8 @@ def metrics_of(predictions: DataFrame, labels: Sequence[str]) -> DataFrame:
 def _train(counted: Counted, label: str, head, min_doc_freq: int, config: ModerationConfig,
            idf_rows: DataFrame | None = None, fit_rows: DataFrame | None = None) -> Trained:
     idf = idf_stage(min_doc_freq).fit(idf_rows if idf_rows is not None else counted.train)
-    rows = packed(fit_rows if fit_rows is not None else counted.train, config)
+    rows = fit_rows if fit_rows is not None else counted.train
+    rows = dealt_for_trees(rows, config) if isinstance(head, GBTClassifier) else packed(rows, config)
     model = head.fit(idf.transform(rows).drop("raw_features"))
     scored = lean(model.transform(idf.transform(counted.test)), [label])
     return Trained(PipelineModel([*counted.stages.stages, idf, model]),
