@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -277,6 +278,63 @@ def test_classes_grow_with_the_vocabulary_and_a_flat_one_keeps_its_seeds(spark):
         assert sum(max(a[c], b[c]) for c in range(5)) > 0.8 * size
 
 
+def test_texts_are_cut_into_words_once(spark, documents):
+    """Training and scoring read the stored slices, not the texts again."""
+    learned = [(i, t) for i, t in documents[:60] if zlib.crc32(str(i).encode()) % 7 != 2]
+    seen = spark.sparkContext.accumulator(0)
+
+    def met(text):
+        seen.add(1)
+        return text
+
+    docs = spark.createDataFrame(learned, "doc_id long, text string").withColumn("text", F.udf(met, "string").asNondeterministic()("text"))
+    model, counts = language_model.train(docs, F.lit(True), language_model.BrownConfig(symbols=20, classes=6, surfaces=8))
+    assert seen.value == len(learned)
+    language_model.score(docs, model, counts, len(learned)).collect()
+    assert seen.value == 2 * len(learned)
+
+
+@pytest.mark.parametrize("limits", [{"slice_bytes": 400}, {"slice_bytes": 3000, "held_words": 40, "file_slices": 1}])
+def test_small_slices_and_little_room_change_no_score(spark, documents, limits):
+    docs = spark.createDataFrame([*documents[:80], (None, "A word of\x0bits own"), (-1, None), (-2, " ")], "doc_id long, text string").cache()
+    results = []
+    for more in ({}, limits):
+        config = language_model.BrownConfig(symbols=20, classes=6, surfaces=8, broadcast_words=50, least=2, **more)
+        slices = language_model.encoded(docs, fold("doc_id", 7) != 2, config, "doc_id")
+        model, counts, n = language_model.train_slices(slices.df, config)
+        assert n == docs.where(fold("doc_id", 7) != 2).count()
+        scored = language_model.score_slices(slices.df, model, counts, n, "doc_id")
+        results.append(({bytes(r["word"]): (r["n"], r["class"]) for r in counts.collect()}, model.move,
+                        {r["doc_id"]: (r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in scored.collect()}))
+    assert results[0][0] == results[1][0] and np.array_equal(results[0][1], results[1][1])
+    assert results[0][2].keys() == results[1][2].keys()
+    for i, r in results[0][2].items():
+        assert results[1][2][i] == pytest.approx(r, rel=1e-9)
+
+
+def test_rows_of_a_word_come_together():
+    hashes = [None, None, 0, 0, 0, 0, 0, 3, 4, 4]
+    for cuts in ([2, 5], [1, 3, 4], [7], [0, 9]):
+        batches = [pa.RecordBatch.from_arrays([pa.array(hashes[a:b], pa.int64()), pa.array(range(a, b), pa.int64())], names=["h", "row"])
+                   for a, b in zip([0, *cuts], [*cuts, 10], strict=True)]
+        words = []
+        for batch, first in language_model.whole_words(batches, 0):
+            rows = batch.column(1).to_pylist()
+            words += [rows[a:b] for a, b in zip(first, [*first[1:], len(rows)], strict=True)]
+        assert words == [[0, 1], [2, 3, 4, 5, 6], [7], [8, 9]]
+
+
+def test_logarithms_from_the_table_choose_the_same_classes(monkeypatch):
+    rng = np.random.default_rng(5)
+    k, words = 6, 50
+    n = rng.integers(1, 60, words * 4)
+    cells = np.concatenate([np.sort(rng.choice(2 * k, 4, replace=False)) for _ in range(words)])
+    rest = (np.arange(words) * 4, n.reshape(words, 4).sum(axis=1).astype(float), rng.integers(0, k - 1, words), rng.integers(100, 999, (k, k)).astype(float))
+    some = language_model.best_classes(cells, n, *rest)
+    monkeypatch.setattr(language_model, "TABLED", 60)
+    assert some.tolist() == language_model.best_classes(cells, n, *rest).tolist()
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(2)
     config = language_model.BrownConfig(classes=4, rounds=5)

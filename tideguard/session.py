@@ -81,14 +81,15 @@ class Stored:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def store(df: DataFrame, name: str) -> Stored:
-    """Write ``df`` to the shared folder and read it back.
+def store(df: DataFrame, name: str, file_rows: int | None = None, codec: str | None = None) -> Stored:
+    """Write ``df`` to the shared folder and read it back; at most ``file_rows`` rows in a file, if given.
 
     Cuts the lineage with something that survives a lost executor, and, unlike
     ``checkpoint()``, lets later reads prune columns.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    limits = {"maxRecordsPerFile": file_rows} if file_rows else {}
+    df.write.options(**limits).parquet(path, compression=codec)
     return Stored(df.sparkSession.read.schema(df.schema).parquet(path), path)
 
 
