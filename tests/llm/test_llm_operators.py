@@ -633,3 +633,42 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 300)], "a long, b long")
     found = {r["rep"]: r["component"] for r in setsketch.components(links).collect()}
     assert all(found[i] == 0 for i in range(1, 201)) and found[500] == 300
+
+
+def test_small_tables_get_few_files_and_few_steps(spark, documents, monkeypatch):
+    stored, store = [], setsketch.store
+
+    def counting(df, name, *args):
+        out = store(df, name, *args)
+        stored.append((name, len(out.df.inputFiles()), out.df.count()))
+        return out
+
+    monkeypatch.setattr(setsketch, "store", counting)
+    monkeypatch.setattr(setsketch, "materialise", lambda df, name: counting(df, name).df)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    docs = [(i, t) for i, t in list(documents)[:150]] + [(50_000 + i, " ".join(f"w{j}" for j in range(60 + i))) for i in range(8)]
+    try:
+        got = setsketch.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), setsketch.QUERY_CONFIG).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(docs, 2)
+    assert all(n == 1 for name, n, _ in stored if name in ("classes", "shared", "pairs", "texts", "links", "left"))
+    rounds = [i for i, (name, _, _) in enumerate(stored) if name == "tried"]
+    assert len(rounds) <= 3  # one that finds all links, one that finds none, and the exact join
+
+
+def test_components_take_stars_found_before(spark, monkeypatch):
+    steps, store = [], setsketch.store
+    monkeypatch.setattr(setsketch, "store", lambda df, name: steps.append(name) or store(df, name))
+    stars = spark.createDataFrame([(i, i // 10 * 10) for i in range(100) if i % 10], "a long, b long")
+    assert {r["rep"]: r["component"] for r in setsketch.components(stars).collect()} == {i: i // 10 * 10 for i in range(100) if i % 10}
+    assert len(steps) == 1  # no step only to see that nothing changes
+    known = setsketch.components(stars)
+    assert setsketch.extended(known, stars.limit(0)) is known
+    links = spark.createDataFrame([(57, 13, 1, 1), (99, 57, 1, 1), (200, 201, 1, 1)], "a long, b long, common long, total long")
+    found = {r["rep"]: r["component"] for r in setsketch.extended(known, links).collect()}
+    joined = {r["rep"]: r["component"] for r in setsketch.components(links.select("a", "b").unionByName(stars)).collect()}
+    assert found == joined and found[50] == found[99] == found[90] == 10 and found[201] == 200 and found[45] == 40

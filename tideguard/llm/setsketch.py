@@ -17,6 +17,7 @@ truncated minima. Sketches of two sets merge by a maximum. The steps:
 5. Verified links are contracted to components. Where a band still holds several
    components, the next round takes another centre in each band, by a hash of id
    and band, and pairs it with the members of other components (3. and 4. apply).
+   A round that finds no link is the last one.
 
 6. Members of bands that hold several components after the last round go to an
    exact join: sets that reach the threshold share a shingle of their prefixes in
@@ -41,6 +42,9 @@ from pyspark.sql import functions as F
 from tideguard.llm.common import map_slices, mix, raw, table
 from tideguard.session import materialise, store
 
+#: Bytes that a file of a stored table holds about.
+FILE_BYTES = 1 << 22
+
 
 @dataclass(frozen=True)
 class SketchConfig:
@@ -48,7 +52,7 @@ class SketchConfig:
     percent: int = 80      #: link if 100 * intersection >= percent * union
     bands: int = 48
     rows: int = 7          #: registers of a band
-    rounds: int = 4        #: centres that each band gets in turn
+    rounds: int = 4        #: centres that each band gets in turn, at most
     base: float = 1.001    #: of the exponents
     rate: float = 20.0     #: of the exponential distribution
     limit: int = 65_534    #: largest exponent
@@ -60,6 +64,15 @@ class SketchConfig:
         return self.bands * self.rows
 
 
+def files(rows: int, width: int) -> int:
+    """How many files ``rows`` rows of ``width`` bytes fill.
+
+    A stored table of few rows gets few files, whatever the number of shuffle
+    partitions is: making a file takes longer than its rows do.
+    """
+    return max(1, -(-rows * width // FILE_BYTES))
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of the words of a text, A-Z in lower case; words are cut at ASCII white space."""
     digest = xxhash.xxh64_intdigest
@@ -234,29 +247,42 @@ def verified(pairs: DataFrame, texts: DataFrame, config: SketchConfig) -> DataFr
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(rep, component): the smallest id that links reach, for every id in ``links`` (columns a, b).
+    """(rep, component): the smallest id that links reach, for every id in ``links`` (columns a, b; a stored table).
 
     Alternates large-star and small-star steps over stored tables until the
     links are stars; the steps grow with the logarithm of the longest chain.
+    Components found before can be among the links, as stars.
     """
-    edges = store(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
-    state = None
+    edges = links.select(F.col("a").alias("v"), F.col("b").alias("u"))
+    into, stored = files(edges.count(), 16), None
     while True:
-        both = edges.df.select("u", "v").unionByName(edges.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select("v", F.col("m").alias("u")).where("u < v").distinct()
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v")
         small = (small.select(F.col("u").alias("v"), F.col("m").alias("u")).where("u < v")
                  .unionByName(least.select("v", F.col("m").alias("u"))).distinct())
-        after = store(small, "links")
-        edges.discard()
-        edges = after
-        new = tuple(edges.df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if new == state:
+        after = store(small.coalesce(into), "links")
+        if stored is not None:
+            stored.discard()
+        stored, edges = after, after.df
+        # Stars: an id is linked to one smaller id, and then no larger id to it.
+        ends = edges.select(F.col("v").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+            edges.select(F.col("u").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+        ends = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        if not ends.where("below > 1 or below = 1 and above = 1").agg(F.count("*")).first()[0]:
             break
-        state = new
-    return edges.df.select(F.col("v").alias("rep"), F.col("u").alias("component"))
+    return edges.select(F.col("v").alias("rep"), F.col("u").alias("component"))
+
+
+def extended(components_of: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components (rep, component) after further links; found links need not be looked at again."""
+    if components_of is None:
+        return components(links)
+    if links.isEmpty():
+        return components_of
+    return components(links.select("a", "b").unionByName(components_of.toDF("a", "b")))
 
 
 def prefixes(members: DataFrame, texts: DataFrame, config: SketchConfig) -> DataFrame:
@@ -338,13 +364,16 @@ def near_duplicates(documents: DataFrame, config: SketchConfig = SketchConfig(),
     equal results; other columns are not looked at.
     """
     found = materialise(sketches(documents, config, key, text), "sketches")
+    rows, shingles = found.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     usable = found.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = materialise(usable.groupBy("f1", "f2", F.col("n_shingles").alias("n"))
-                          .agg(F.min("doc_id").alias("rep"), F.min("registers").alias("registers")), "classes")
+                          .agg(F.min("doc_id").alias("rep"), F.min("registers").alias("registers"))
+                          .coalesce(files(rows, 2 * config.registers + 32)), "classes")
     bands = banded(classes, config)
     size = bands.groupBy("band", "code").agg(F.count("*").alias("size")).where("size > 1")
     # Members of bands with more than one class; stored, as every round reads them.
-    shared = materialise(bands.join(size, ["band", "code"]), "shared")
+    shared = materialise(bands.join(size, ["band", "code"]).coalesce(files(classes.count() * config.bands, 36)), "shared")
+    into = files(shared.count(), 16)
     links = components_of = texts = tried = None
     for k in range(config.rounds):
         members = shared
@@ -364,30 +393,34 @@ def near_duplicates(documents: DataFrame, config: SketchConfig = SketchConfig(),
                  .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "tried")
+        pairs = materialise(pairs.coalesce(into), "tried")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        pairs = materialise(likely(pairs, classes, config), "pairs")
+        pairs = materialise(likely(pairs, classes, config).repartition(files(pairs.count(), 16)), "pairs")
         if texts is None:
             wanted = (pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
                       .unionByName(shared.where("size > 2").select("rep")).distinct())
             texts = materialise(documents.select(F.col(key).cast("long").alias("rep"), raw(text).alias("body"))
-                                .join(wanted, "rep", "left_semi"), "texts")
-        good = materialise(verified(pairs, texts, config), "links")
+                                .join(wanted, "rep", "left_semi").coalesce(files(shingles, 8)), "texts")
+        good = materialise(verified(pairs, texts, config).coalesce(files(pairs.count(), 32)), "links")
         links = good if links is None else links.unionByName(good)
-        components_of = components(links.select("a", "b"))
+        components_of = extended(components_of, good)
+        if good.isEmpty():  # the exact join does the rest
+            break
     members = (shared.where("size > 2").join(components_of, "rep", "left")
                .withColumn("component", F.coalesce("component", "rep")))
     mixed = members.groupBy("band", "code").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    left = materialise(members.join(mixed, ["band", "code"], "left_semi").select("rep", "component").distinct(), "left")
-    pairs = materialise(exact_pairs(left, texts, config).join(tried, ["a", "b"], "left_anti"), "tried")
-    good = materialise(verified(materialise(likely(pairs, classes, config), "pairs"), texts, config), "links")
-    links = links.unionByName(good)
-    components_of = components(links.select("a", "b"))
+    left = materialise(members.join(mixed, ["band", "code"], "left_semi").select("rep", "component").distinct().coalesce(into), "left")
+    if not left.isEmpty():
+        pairs = materialise(exact_pairs(left, texts, config).join(tried, ["a", "b"], "left_anti"), "tried")
+        pairs = materialise(likely(pairs, classes, config).repartition(files(pairs.count(), 16)), "pairs")
+        good = materialise(verified(pairs, texts, config).coalesce(files(pairs.count(), 32)), "links")
+        links = links.unionByName(good)
+        components_of = extended(components_of, good)
     degree = (links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
               .groupBy("rep").agg(F.count("*").alias("links")))
     of_class = (classes.select("f1", "f2", F.col("n").alias("n_shingles"), "rep")
                 .join(components_of, "rep", "left").join(degree, "rep", "left"))
-    return (found.drop("registers").join(of_class, ["f1", "f2", "n_shingles"], "left")
+    return (found.drop("registers").join(of_class, ["f1", "f2", "n_shingles"], "left").coalesce(files(rows, 48))
             .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"),
                     F.coalesce("links", F.lit(0)).alias("links"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
