@@ -15,8 +15,9 @@ from tideguard.functions import strikes as machine
 from tideguard.functions.strikes import Rules
 from tideguard.operators import strikes
 from tideguard.operators.strikes import slice_units, strike_actions, strike_status
+from tideguard.plans import stream_queries
 from tideguard.streaming import strikes as strike_stream
-from tideguard.streaming.strikes import first_of_repeats, stream_strikes
+from tideguard.streaming.strikes import first_of_repeats, stream_status, stream_strikes
 
 T0 = datetime(2024, 3, 1, 12, 0, 0)
 SCHEMA = "user long, id long, ts timestamp, bad boolean, back boolean"
@@ -306,6 +307,88 @@ def test_state_calls_follow_micro_batches_and_not_messages(monkeypatch, parcel):
     assert parcel < 512 or state.calls < 80
 
 
+@pytest.mark.parametrize("kind, parcel", [("long", 16), ("long", 16_384), ("string", 100)])
+def test_state_calls_do_not_follow_the_users_of_a_bucket(monkeypatch, kind, parcel):
+    """Users of a bucket are played together, each by their own messages, and in order of arrival where times and ids are equal."""
+    monkeypatch.setattr(strike_stream, "PARCEL", parcel, raising=False)
+    state = State()
+    processor = strike_stream.StrikesInTime(Rules(3, 30 * 60_000_000), kind, 60_000)
+    processor.init(state)
+    rng = random.Random(9)
+    messages = [(f"u{rng.randrange(150)}", i, rng.randrange(7_200_000_000), rng.random() < 0.6, rng.random() < 0.05) for i in range(3000)]
+    messages += [(u, i, us, not toxic, back) for u, i, us, toxic, back in messages[:200]]     # the same message again, judged otherwise
+    if kind == "string":
+        messages = [(u, None if i % 50 == 0 else str(i), *rest) for u, i, *rest in messages]
+    got, calls = {}, []
+    for k in range(4):
+        state.calls = 0
+        part = sorted(messages, key=lambda m: m[2])[800 * k:800 * (k + 1)]
+        rng.shuffle(part)
+        frames = [pd.DataFrame(part[j:j + 300], columns=["key", "id", "us", "toxic", "rejoin"]) for j in range(0, 800, 300)]
+        list(processor.handleInputRows((3,), iter(frames), None))
+        for j, m in enumerate(part):
+            got.setdefault(m[0], []).append((m[2], m[1] is not None, "" if m[1] is None else m[1], k, j, m))
+        watermark = 10 ** 9 if k == 3 else max(m[2] for m in part) // 1000 - 600_000
+        while due := [t for t in sorted(state.timers) if t <= watermark]:
+            state.timers.discard(due[0])
+            for out in processor.handleExpiredTimer((3,), SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark),
+                                                    SimpleNamespace(getExpiryTimeInMs=lambda: due[0])):
+                calls += list(zip(out["key"], out["id"], out["action"], out["strikes"], strict=True))
+        assert parcel < 10_000 or state.calls < 30
+    for user, mine in got.items():
+        expected = [(i, a, c) for i, (a, c) in _plain([m[1:] for *_, m in sorted(mine, key=lambda x: x[:5])])]
+        assert [x[1:] for x in calls if x[0] == user] == expected
+    assert len(calls) == len(messages) and set(state.values) == {("strikes",)} and not state.timers    # who is warned stays so
+    last = {user: (count, action) for user, _, action, count in calls}
+    users, counts, untils = state.values["strikes",]
+    assert dict(zip(users, counts, strict=True)) == {u: c for u, (c, a) in last.items() if c and a not in ("mute", "muted")} and set(untils) == {machine.NEVER}
+
+
+def test_many_users_at_once_equal_one_after_the_other():
+    rng, rules = np.random.default_rng(4), Rules(3, 50)
+    sizes = rng.integers(1, 60, 200)
+    users = np.repeat(np.arange(200), sizes)
+    times = np.concatenate([np.sort(rng.integers(0, 400, n)) for n in sizes])
+    toxic, rejoin = rng.random(len(users)) < 0.4, rng.random(len(users)) < 0.03
+    counts = rng.integers(0, 4, 200).astype(np.int32)
+    ends = np.where(counts == 3, rng.integers(0, 500, 200), machine.NEVER)
+    expected = [machine.play(times[users == u], toxic[users == u], rejoin[users == u], int(counts[u]), int(ends[u]), rules) for u in range(200)]
+    action, strikes, end = machine.play_users(users, times, toxic, rejoin, counts, ends, rules)
+    for got, k in ((action, 0), (strikes, 1), (end, 2)):
+        assert (got == np.concatenate([x[k] for x in expected])).all()
+    assert list(zip(counts.tolist(), ends.tolist(), strict=True)) == [x[3] for x in expected]
+
+
+def test_status_of_a_stream_in_event_time(spark, tmp_path):
+    messages = made_up(200, 21, 600, users=(1, 2, 3, 4, None))
+    write_batches(spark, messages, tmp_path / "in", 2)
+    closing = [(9, 900, T0 + timedelta(days=2), False, False)]
+    spark.createDataFrame(closing, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    got = stream_strikes(source(spark, tmp_path / "in"), ["user"], "ts", "id", F.col("bad"), F.col("back"), delay="700 minutes", buckets=3)
+    assert {i: v for i, v in result(drain(got, tmp_path)).items() if i < 900} == brute(messages)
+    now = F.lit(T0 + timedelta(days=2))
+    users = spark.createDataFrame([(u,) for u in (1, 2, 3, 4, None, 77)], "user long")
+    played = strike_actions(spark.createDataFrame(messages, SCHEMA), ["user"], "ts", "id", F.col("bad"), F.col("back"))
+    expected = {r.user: r.strikes if r.status == "warned" else 0 for r in strike_status(played, ["user"], "ts", "id", now).collect()} | {77: 0}
+    found = {r.user: r.strikes for r in stream_status(users, str(tmp_path / "checkpoint"), ["user"], now).collect()}
+    assert found == expected and any(expected.values())
+
+
+def test_late_events_in_many_files(spark, tmp_path, monkeypatch):
+    """Micro-batches of several files each, some of them without a row, bring every event in order."""
+    monkeypatch.setattr(stream_queries, "FILE_EVENTS", 4, raising=False)
+    messages = made_up(60, 5, 600) + [(u, 100 + i, ts + timedelta(days=9), bad, back) for u, i, ts, bad, back in made_up(60, 6, 600)]
+    events = [(i, ts, u, "error" if bad else "view") for u, i, ts, bad, _ in messages]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    arrivals = stream_queries._arrivals(spark, str(tmp_path), 5)
+    counts = {}
+    (arrivals.writeStream.foreachBatch(lambda part, k: counts.update({k: part.count()})).option("checkpointLocation", f"{tmp_path}/seen")
+     .trigger(availableNow=True).start().awaitTermination())
+    assert [counts[k] for k in range(6)] == [60, 0, 0, 0, 60, 1]
+    found = stream_queries.stream_strikes_event_time(spark, str(tmp_path))
+    assert rows(found) == rows(stream_queries.batch_strikes(spark, str(tmp_path)))
+
+
 def _plain(messages):
     """The machine one message at a time."""
     count, until = 0, None

@@ -69,6 +69,47 @@ def play(times, toxic, rejoin, count, until, rules):
     return action, counts, ends, (int(count), int(until))
 
 
+def play_users(users, times, toxic, rejoin, counts, ends, rules):
+    """``play`` for many users at once: rows by user and time, ``users`` the place of each row's user.
+
+    ``counts`` and ``ends`` hold the entry states by place and are overwritten with
+    the states afterwards. Python steps over the deciding rows only; the others follow
+    from the deciding row before them, as a mute ends by the clock alone.
+    """
+    deciding = np.flatnonzero(toxic | rejoin)
+    acts, had, held = [], [], []
+    at, count, until = None, 0, NEVER
+    for user, time, back in zip(users[deciding].tolist(), times[deciding].tolist(), rejoin[deciding].tolist(), strict=True):
+        if user != at:
+            at, count, until = user, int(counts[user]), int(ends[user])
+        if until != NEVER and time >= until:
+            count, until = 0, NEVER
+        if back:
+            act, count, until = REJOIN, 0, NEVER
+        elif until != NEVER:
+            act = MUTED
+        else:
+            count += 1
+            act = MUTE if count >= rules.max_strikes else FINAL if count == rules.max_strikes - 1 else WARN
+            if act == MUTE:
+                until = time + rules.mute_us
+        acts.append(act)
+        had.append(count)
+        held.append(until)
+    strikes, until = counts[users].astype(np.int32), ends[users].astype(np.int64)
+    if len(deciding):
+        before = np.cumsum(np.bincount(deciding, minlength=len(users))) - 1
+        own = (before >= 0) & (users[deciding[before]] == users)
+        strikes[own], until[own] = np.array(had, np.int32)[before[own]], np.array(held, np.int64)[before[own]]
+    over = (until != NEVER) & (times >= until)
+    strikes[over], until[over] = 0, NEVER
+    action = np.where(until != NEVER, MUTED, PASS).astype(np.int8)
+    action[deciding] = acts
+    last = np.flatnonzero(np.append(users[1:] != users[:-1], True)) if len(users) else deciding
+    counts[users[last]], ends[users[last]] = strikes[last], until[last]
+    return action, strikes, until
+
+
 def summarise(times, rejoin, rules, last_entry):
     """A stretch of deciding rows as a function from entry to exit state.
 

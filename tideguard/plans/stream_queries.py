@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -99,21 +100,30 @@ def stream_status(spark, sf_dir):
 
 # Events arrive up to LATE_HOURS late, in so many micro-batches.
 LATE_HOURS, ARRIVALS = 12, 5
+#: Events in a file of a micro-batch, about; each file can be written and read by a task of its own.
+FILE_EVENTS = 500_000
 
 
 def _arrivals(spark, sf_dir, batches):
     """The events as a stream that brings them late and out of order, then a last message that settles all."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     hours = F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000 + F.pmod(F.col("event_id") * 37, F.lit(LATE_HOURS))
-    bounds = events.agg(F.min(hours).alias("a"), F.max(hours).alias("b"), F.max("ts").alias("last")).first()
+    bounds = events.agg(F.min(hours).alias("a"), F.max(hours).alias("b"), F.max("ts").alias("last"), F.count("*").alias("n")).first()
     width = (bounds["b"] - bounds["a"]) / batches
+    files = max(1, math.ceil(bounds["n"] / batches / FILE_EVENTS))
     source = fresh_path(spark, "late-events")
-    for k in range(batches):  # a file each, written in the order of arrival, as a stream lists files by their age
+
+    def written():
+        return len(spark.read.schema(events.schema).parquet(source).inputFiles())
+
+    for k in range(batches):  # as many files each, written in the order of arrival, as a stream lists files by their age
         arrives = F.least(F.floor((hours - bounds["a"]) / width), F.lit(batches - 1))
-        events.filter(arrives == k).coalesce(1).write.mode("append").parquet(source)
+        events.filter(arrives == k).repartition(files).write.mode("append").parquet(source)
+        for _ in range(written(), (k + 1) * files):  # parts without a row have left no file
+            spark.createDataFrame([], events.schema).coalesce(1).write.mode("append").parquet(source)
     late = bounds["last"] + datetime.timedelta(days=30)
     spark.createDataFrame([(-1, late, None, "")], events.schema).coalesce(1).write.mode("append").parquet(source)
-    return stream_scoring.read_table_stream(spark, source, "part-", events.schema, files_per_trigger=1)
+    return stream_scoring.read_table_stream(spark, source, "part-", events.schema, files_per_trigger=files)
 
 
 def stream_strikes_event_time(spark, sf_dir, batches=ARRIVALS):
