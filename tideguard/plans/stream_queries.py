@@ -118,7 +118,7 @@ def _arrivals(spark, sf_dir, batches):
 
     for k in range(batches):  # as many files each, written in the order of arrival, as a stream lists files by their age
         arrives = F.least(F.floor((hours - bounds["a"]) / width), F.lit(batches - 1))
-        events.filter(arrives == k).repartition(files).write.mode("append").parquet(source)
+        events.filter(arrives == k).repartition(files, "event_id").write.mode("append").parquet(source)
         for _ in range(written(), (k + 1) * files):  # parts without a row have left no file
             spark.createDataFrame([], events.schema).coalesce(1).write.mode("append").parquet(source)
     late = bounds["last"] + datetime.timedelta(days=30)
